@@ -1,0 +1,347 @@
+"""Near-duplicate records with small edits.
+
+Two records belong together when both fields have a likeness (see ``bags.likeness``) of at least ``threshold``.
+
+1. ``fingerprints``: one pass over the texts gives each row the key of its exact class (equal word bags), a 64-bit SimHash
+   and ``BANDS`` banded-minima keys. Rows of one class are collapsed; only one representative goes on.
+2. ``link_classes``: a *shard* is the set of representatives that share one band key. In each shard a BK-tree over the
+   SimHash fingerprints (children keyed by the integer Hamming distance to their parent) is built, and every member
+   follows only edges within ``RADIUS``. A shard above ``BLOCK`` members is cut into blocks; each pair of blocks is a task
+   of its own, so no shard is ever held by one task.
+3. ``verify``: exact likeness of both fields of the linked representatives.
+4. ``expand``: links between classes and membership give the pairs of records.
+
+Trees of single shards are built where the shard lies instead of being broadcast, as their total size grows with the
+data. A single tree over all fingerprints is no use here: texts of likeness 0.85 differ in about 11 of 64 bits, unrelated
+ones in about 25 to 32, and at the radius this needs the triangle inequality prunes next to nothing.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import bags, sketches
+from ..session import materialise
+
+RADIUS = 26  # bits; the distance at likeness 0.85 has mean 11 and deviation 3
+BLOCK = 1024
+THRESHOLD = 0.85
+_CHUNK_CHARS = 1_500_000
+
+
+def _chunks(cols: list[list], size: int = _CHUNK_CHARS) -> Iterator[tuple[int, int]]:
+    """Row ranges whose texts hold about size characters."""
+    a = total = 0
+    for i, row in enumerate(zip(*cols)):
+        total += sum(len(t) for t in row if t)
+        if total >= size:
+            yield a, i + 1
+            a, total = i + 1, 0
+    if cols and a < len(cols[0]):
+        yield a, len(cols[0])
+
+
+def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = batch.schema.names
+        keep = [n for n in names if n not in ("_q", "_c")]
+        q, c = batch.column(names.index("_q")).to_pylist(), batch.column(names.index("_c")).to_pylist()
+        for a, z in _chunks([q, c]):
+            hq, nq = bags.hash_texts(q[a:z])
+            hc, nc = bags.hash_texts(c[a:z])
+            fq, fc = bags.bag_features(hq, nq, 1), bags.bag_features(hc, nc, 2)
+            qk = bags.mix(bags.segment_sum(fq, nq) + nq.astype(np.uint64))
+            ck = bags.mix(bags.segment_sum(fc, nc) + nc.astype(np.uint64))
+            # elements of both fields side by side, and one that stands for an empty record
+            oq, oc = np.repeat(np.arange(z - a), nq), np.repeat(np.arange(z - a), nc)
+            empty = np.nonzero(nq + nc == 0)[0]
+            owner = np.concatenate([oq, oc, empty])
+            order = np.argsort(owner, kind="stable")
+            f = np.concatenate([fq, fc, np.full(len(empty), np.uint64(77))])[order]
+            n = np.maximum(nq + nc, 1)
+            keys, sim = sketches.band_keys(f, n), sketches.simhash(f, n)
+            arrays = [batch.column(names.index(k)).slice(a, z - a) for k in keep]
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.arange(0, (z - a + 1) * sketches.BANDS, sketches.BANDS, dtype=np.int32)), pa.array(keys.view(np.int64).ravel())
+            )
+            arrays += [pa.array(qk.view(np.int64)), pa.array(ck.view(np.int64)), pa.array(sim.view(np.int64)), lists]
+            yield pa.RecordBatch.from_arrays(arrays, [*keep, "qk", "ck", "sim", "bands"])
+
+
+def fingerprints(df: DataFrame, q: str, c: str, keep: list[str]) -> DataFrame:
+    """keep columns + (qk, ck) class key, sim, bands; one row per row of df. NULL texts count as empty."""
+    src = df.select(*keep, F.col(q).alias("_q"), F.col(c).alias("_c"))
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name not in ("_q", "_c"))
+    return src.mapInArrow(_fingerprint, f"{kept}, qk bigint, ck bigint, sim bigint, bands array<bigint>")
+
+
+class BKTree:
+    """Burkhard-Keller tree over 64-bit fingerprints; equal fingerprints share a node."""
+
+    __slots__ = ("nodes", "items")
+
+    def __init__(self) -> None:
+        self.nodes: list[tuple[int, dict[int, int]]] = []
+        self.items: list[list[int]] = []
+
+    def add(self, fp: int, item: int) -> None:
+        if not self.nodes:
+            self.nodes.append((fp, {}))
+            self.items.append([item])
+            return
+        at = 0
+        while True:
+            key, kids = self.nodes[at]
+            d = (key ^ fp).bit_count()
+            if d == 0:
+                self.items[at].append(item)
+                return
+            nxt = kids.get(d)
+            if nxt is None:
+                kids[d] = len(self.nodes)
+                self.nodes.append((fp, {}))
+                self.items.append([item])
+                return
+            at = nxt
+
+    def within(self, fp: int, radius: int) -> list[int]:
+        """Items of all nodes within radius, following only edges between d - radius and d + radius."""
+        out: list[int] = []
+        stack = [0] if self.nodes else []
+        while stack:
+            at = stack.pop()
+            key, kids = self.nodes[at]
+            d = (key ^ fp).bit_count()
+            if d <= radius:
+                out.extend(self.items[at])
+            if kids:
+                lo, hi = d - radius, d + radius
+                stack.extend(n for e, n in kids.items() if lo <= e <= hi)
+        return out
+
+
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("sim", pa.int64()), ("blk", pa.int32())])
+
+
+def _search_shards(radius: int, block: int):
+    """Over rows (key, rep, sim) sorted by key: links of shards up to block members; rows of larger shards as they are,
+    with the number of their block, and one row (a = b = NULL, sim = NULL) per such shard with its number of blocks."""
+
+    def shard(sims: np.ndarray, reps: np.ndarray, out: set[tuple[int, int]]) -> None:
+        if len(reps) == 2:
+            if int(sims[0] ^ sims[1]).bit_count() <= radius:
+                out.add((int(min(reps)), int(max(reps))))
+            return
+        tree, s, r = BKTree(), sims.tolist(), reps.tolist()
+        for fp, rep in zip(s, r):
+            for other in tree.within(fp, radius):
+                out.add((min(other, rep), max(other, rep)))
+            tree.add(fp, rep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ck, cr, cs = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        big_key, big_n = None, 0  # a large shard that is being passed on
+        links: set[tuple[int, int]] = set()
+
+        def flush_links() -> pa.RecordBatch:
+            ab = list(links)
+            links.clear()
+            n = len(ab)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in ab], pa.int64()), pa.array([y for _, y in ab], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], schema=_PAIR)
+
+        def overflow(key: int, reps: np.ndarray, sims: np.ndarray, at: int) -> pa.RecordBatch:
+            n = len(reps)
+            blk = ((at + np.arange(n)) // block).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(reps), pa.nulls(n, pa.int64()), pa.array(np.full(n, key)), pa.array(sims.view(np.int64)), pa.array(blk)], schema=_PAIR)
+
+        def close_big() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([big_key]), pa.nulls(1, pa.int64()), pa.array([-(-big_n // block)], pa.int32())], schema=_PAIR)
+
+        def work(k, r, s, last: bool) -> Iterator[pa.RecordBatch]:
+            """Handles all runs but the last one, which may go on in the next batch, and returns that."""
+            nonlocal big_key, big_n, ck, cr, cs
+            edge = np.nonzero(k[1:] != k[:-1])[0] + 1
+            starts, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(k)]])
+            size = ends - starts
+            todo = np.nonzero(size > 1)[0] if len(size) else []
+            tail = 0 if last else 1
+            for i in todo:
+                if i >= len(size) - tail:
+                    break
+                a, z = starts[i], ends[i]
+                if big_key is not None and k[a] == big_key:
+                    continue
+                if size[i] <= block:
+                    shard(s[a:z], r[a:z], links)
+                else:
+                    yield overflow(int(k[a]), r[a:z], s[a:z], 0)
+                    big, n = int(k[a]), int(size[i])
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([big]), pa.nulls(1, pa.int64()), pa.array([-(-n // block)], pa.int32())], schema=_PAIR)
+            if not last:
+                a = starts[-1]
+                if len(k) - a > block and big_key is None:
+                    big_key, big_n = int(k[a]), 0
+                ck, cr, cs = k[a:], r[a:], s[a:]
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k = np.concatenate([ck, batch.column(0).to_numpy(zero_copy_only=False)])
+            r = np.concatenate([cr, batch.column(1).to_numpy(zero_copy_only=False)])
+            s = np.concatenate([cs, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)])
+            if big_key is not None:
+                m = int(np.searchsorted(k != big_key, True)) if (k != big_key).any() else len(k)
+                yield overflow(big_key, r[:m], s[:m], big_n)
+                big_n += m
+                k, r, s = k[m:], r[m:], s[m:]
+                if len(k):
+                    yield close_big()
+                    big_key = None
+                else:
+                    ck, cr, cs = k, r, s
+                    continue
+            yield from work(k, r, s, False)
+            if big_key is not None:
+                yield overflow(big_key, cr, cs, 0)
+                big_n = len(cr)
+                ck, cr, cs = ck[:0], cr[:0], cs[:0]
+            if len(links) > 50_000:
+                yield flush_links()
+        if big_key is not None:
+            yield close_big()
+            big_key = None
+        elif len(ck):
+            yield from work(ck, cr, cs, True)
+        if links:
+            yield flush_links()
+
+    return run
+
+
+def _search_blocks(radius: int):
+    """Over rows (key, i, j, blk, rep, sim) sorted by (key, i, j, blk): links between blocks i and j, or within i = j."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, tree = None, BKTree()
+        for batch in batches:
+            a, b = [], []
+            for key, i, j, blk, rep, sim in zip(*(c.to_pylist() for c in batch.columns)):
+                if (key, i, j) != at:
+                    at, tree = (key, i, j), BKTree()
+                fp = sim & 0xFFFFFFFFFFFFFFFF
+                if i == j or blk == j:
+                    for other in tree.within(fp, radius):
+                        if other != rep:
+                            a.append(min(other, rep))
+                            b.append(max(other, rep))
+                if blk == i:
+                    tree.add(fp, rep)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def link_classes(reps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """(a, b): representatives that share a shard and lie within radius of each other; a < b, each pair once.
+
+    reps: (rep, sim, bands).
+    """
+    rows = reps.select(F.explode("bands").alias("key"), "rep", "sim").repartition("key").sortWithinPartitions("key", "rep")
+    found = materialise(rows.mapInArrow(_search_shards(radius, block), "a bigint, b bigint, key bigint, sim bigint, blk int"))
+    links = found.where("key is null").select("a", "b")
+    many = found.where("key is not null and a is null").select("key", F.col("blk").alias("n"))
+    big = found.where("key is not null and a is not null").select("key", "blk", F.col("a").alias("rep"), "sim").join(many, "key")
+    pairs = big.select(
+        "key", "blk", "rep", "sim", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("o")
+    ).select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "rep", "sim")
+    more = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "blk").mapInArrow(_search_blocks(radius), "a bigint, b bigint")
+    return links.unionByName(more).distinct()
+
+
+def _verify(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[tuple[int, str], list[int]] = {}
+
+        def bag(key: int, kind: str, text: str | None) -> list[int]:
+            k = (key, kind)
+            got = cache.get(k)
+            if got is None:
+                if len(cache) > 4000:
+                    cache.clear()
+                got = cache[k] = bags.word_hashes(bags.words(text))
+            return got
+
+        for batch in batches:
+            out = []
+            for a, b, qa, ca, qb, cb in zip(*(c.to_pylist() for c in batch.columns)):
+                x = bags.likeness(bag(a, "q", qa), bag(b, "q", qb))
+                if x < threshold:
+                    continue
+                y = bags.likeness(bag(a, "c", ca), bag(b, "c", cb))
+                if y >= threshold:
+                    out.append((a, b, x, y))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))], ["a", "b", "like_q", "like_c"]
+            )
+
+    return run
+
+
+def verify(links: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, like_q, like_c) of the links whose two fields are both alike. texts: (rep, q, c), rep unique."""
+    need = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).distinct()
+    t = materialise(texts.join(need, "rep"))
+    ta = t.select(F.col("rep").alias("a"), F.col("q").alias("qa"), F.col("c").alias("ca"))
+    tb = t.select(F.col("rep").alias("b"), F.col("q").alias("qb"), F.col("c").alias("cb"))
+    both = links.join(ta, "a").join(tb, "b").select("a", "b", "qa", "ca", "qb", "cb")
+    return both.mapInArrow(_verify(threshold), "a bigint, b bigint, like_q double, like_c double")
+
+
+def expand(links: DataFrame, members: DataFrame) -> DataFrame:
+    """(id_a, id_b), id_a < id_b: all pairs of records of linked classes and within a class. members: (rep, id)."""
+    ma, mb = members.select(F.col("rep").alias("a"), F.col("id").alias("ia")), members.select(F.col("rep").alias("b"), F.col("id").alias("ib"))
+    across = links.select("a", "b").join(ma, "a").join(mb, "b").select("ia", "ib")
+    inside = ma.join(mb, F.col("a") == F.col("b")).where("ia < ib").select("ia", "ib")
+    return across.unionByName(inside).select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
+
+
+def classes(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", extra: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(members, reps) of the records of df.
+
+    members: (id, rep, ...extra), one row per distinct non-null id (that of its smallest row); reps: (rep, sim, bands), one
+    row per class of records with equal word bags in both fields; rep is the smallest row of the class.
+    """
+    extra = extra or []
+    src = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(row_col).cast("bigint").alias("row"), *extra, F.col(q).alias("q"), F.col(c).alias("c"))
+    fp = materialise(fingerprints(src, "q", "c", ["id", "row", *extra]))
+    reps = fp.groupBy("qk", "ck").agg(F.min_by(F.struct(F.col("row").alias("rep"), "sim", "bands"), "row").alias("x")).select("qk", "ck", "x.*")
+    one = fp.groupBy("id").agg(F.min_by(F.struct("qk", "ck", *extra), "row").alias("x")).select("id", "x.*")
+    members = one.join(reps.select("qk", "ck", "rep"), ["qk", "ck"]).select("id", "rep", *extra)
+    return members, reps.select("rep", "sim", "bands")
+
+
+def near_duplicates(
+    df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id",
+    threshold: float = THRESHOLD, radius: int = RADIUS, block: int = BLOCK,
+) -> tuple[DataFrame, DataFrame]:
+    """(links between class representatives, members).
+
+    Rows with a NULL id are no records; rows that repeat an id are the same record and count once. NULL and empty texts
+    are alike (likeness 1), an empty and a non-empty text are not (0). Other columns of df are ignored. An empty df gives
+    empty results.
+    """
+    members, reps = classes(df, q, c, id_col, row_col)
+    links = link_classes(reps, radius, block)
+    texts = df.select(F.col(row_col).cast("bigint").alias("rep"), F.col(q).alias("q"), F.col(c).alias("c"))
+    return verify(materialise(links), texts, threshold), members
+
+
+def near_duplicate_pairs(df: DataFrame, **kw) -> DataFrame:
+    """(id_a, id_b): all pairs of different records whose two fields are alike; see ``near_duplicates``."""
+    links, members = near_duplicates(df, **kw)
+    return expand(links, materialise(members))

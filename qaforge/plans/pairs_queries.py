@@ -1,0 +1,16 @@
+"""Queries of the operators on pairs of records."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators import neardup
+from ..session import table
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicate_pairs(table(spark, sf_dir, "qa_samples"))
+
+
+QUERIES = {"p1_found": p1_found}
+ORACLES: dict[str, str] = {}
