@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import bags, sketches
 from ..session import materialise
 
-RADIUS = 26  # bits; the distance at likeness 0.85 has mean 11 and deviation 3
+RADIUS = 22  # bits; the distance at likeness 0.85 has mean 11 and deviation 3
 BLOCK = 1024
 THRESHOLD = 0.85
 _CHUNK_CHARS = 1_500_000
@@ -46,38 +46,70 @@ def _chunks(cols: list[list], size: int = _CHUNK_CHARS) -> Iterator[tuple[int, i
         yield a, len(cols[0])
 
 
-def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(q: list, c: list):
+    """Per row: class keys of both fields, features of both in one run, and their number (at least 1)."""
+    hq, nq = bags.hash_texts(q)
+    hc, nc = bags.hash_texts(c)
+    fq, fc = bags.bag_features(hq, nq, 1), bags.bag_features(hc, nc, 2)
+    qk = bags.mix(bags.segment_sum(fq, nq) + nq.astype(np.uint64))
+    ck = bags.mix(bags.segment_sum(fc, nc) + nc.astype(np.uint64))
+    empty = np.nonzero(nq + nc == 0)[0]
+    owner = np.concatenate([np.repeat(np.arange(len(q)), nq), np.repeat(np.arange(len(q)), nc), empty])
+    f = np.concatenate([fq, fc, np.full(len(empty), np.uint64(77))])[np.argsort(owner, kind="stable")]
+    return qk, ck, f, np.maximum(nq + nc, 1)
+
+
+def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many rows hold each feature that is common in a batch (half of COMMON), and the number of rows (feature NULL)."""
     for batch in batches:
-        names = batch.schema.names
-        keep = [n for n in names if n not in ("_q", "_c")]
-        q, c = batch.column(names.index("_q")).to_pylist(), batch.column(names.index("_c")).to_pylist()
+        q, c = (x.to_pylist() for x in batch.columns)
         for a, z in _chunks([q, c]):
-            hq, nq = bags.hash_texts(q[a:z])
-            hc, nc = bags.hash_texts(c[a:z])
-            fq, fc = bags.bag_features(hq, nq, 1), bags.bag_features(hc, nc, 2)
-            qk = bags.mix(bags.segment_sum(fq, nq) + nq.astype(np.uint64))
-            ck = bags.mix(bags.segment_sum(fc, nc) + nc.astype(np.uint64))
-            # elements of both fields side by side, and one that stands for an empty record
-            oq, oc = np.repeat(np.arange(z - a), nq), np.repeat(np.arange(z - a), nc)
-            empty = np.nonzero(nq + nc == 0)[0]
-            owner = np.concatenate([oq, oc, empty])
-            order = np.argsort(owner, kind="stable")
-            f = np.concatenate([fq, fc, np.full(len(empty), np.uint64(77))])[order]
-            n = np.maximum(nq + nc, 1)
-            keys, sim = sketches.band_keys(f, n), sketches.simhash(f, n)
-            arrays = [batch.column(names.index(k)).slice(a, z - a) for k in keep]
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, (z - a + 1) * sketches.BANDS, sketches.BANDS, dtype=np.int32)), pa.array(keys.view(np.int64).ravel())
+            f, n = np.unique(_features(q[a:z], c[a:z])[2], return_counts=True)
+            keep = n >= max(2, sketches.COMMON / 2 * (z - a))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*f[keep].view(np.int64).tolist(), None], pa.int64()), pa.array([*n[keep].tolist(), z - a], pa.int64())], ["f", "n"]
             )
-            arrays += [pa.array(qk.view(np.int64)), pa.array(ck.view(np.int64)), pa.array(sim.view(np.int64)), lists]
-            yield pa.RecordBatch.from_arrays(arrays, [*keep, "qk", "ck", "sim", "bands"])
+
+
+def common_features(df: DataFrame, q: str, c: str) -> tuple[np.ndarray, np.ndarray]:
+    """Features that more than COMMON of all rows hold, sorted, and their inverse weights.
+
+    At most (mean number of words) / COMMON features can be that common, so what the driver holds does not grow with the
+    number of rows; a further bound keeps the most common 200,000.
+    """
+    counts = df.select(F.col(q).alias("q"), F.col(c).alias("c")).mapInArrow(_count_features, "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
+    total = counts.where("f is null").select(F.col("n").alias("t"))
+    got = counts.where("f is not null").crossJoin(F.broadcast(total)).where(F.col("n") > F.col("t") * sketches.COMMON).orderBy(F.desc("n"), "f").limit(200_000).toArrow()
+    f = got.column("f").to_numpy().view(np.uint64)
+    w = sketches.inverse_weight(got.column("n").to_numpy() / np.maximum(got.column("t").to_numpy(), 1))
+    order = np.argsort(f)
+    return f[order], w[order]
+
+
+def _fingerprint(known: np.ndarray, inverse: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.schema.names
+            keep = [n for n in names if n not in ("_q", "_c")]
+            q, c = batch.column(names.index("_q")).to_pylist(), batch.column(names.index("_c")).to_pylist()
+            for a, z in _chunks([q, c]):
+                qk, ck, f, n = _features(q[a:z], c[a:z])
+                inv = sketches.lookup(f, known, inverse)
+                keys, sim = sketches.band_keys(f, inv, n), sketches.simhash(f, inv, n)
+                arrays = [batch.column(names.index(k)).slice(a, z - a) for k in keep]
+                ends = pa.array(np.arange(0, (z - a + 1) * sketches.BANDS, sketches.BANDS, dtype=np.int32))
+                lists = pa.ListArray.from_arrays(ends, pa.array(keys.view(np.int64).ravel()))
+                arrays += [pa.array(qk.view(np.int64)), pa.array(ck.view(np.int64)), pa.array(sim.view(np.int64)), lists]
+                yield pa.RecordBatch.from_arrays(arrays, [*keep, "qk", "ck", "sim", "bands"])
+
+    return run
 
 
 def fingerprints(df: DataFrame, q: str, c: str, keep: list[str]) -> DataFrame:
     """keep columns + (qk, ck) class key, sim, bands; one row per row of df. NULL texts count as empty."""
     src = df.select(*keep, F.col(q).alias("_q"), F.col(c).alias("_c"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name not in ("_q", "_c"))
-    return src.mapInArrow(_fingerprint, f"{kept}, qk bigint, ck bigint, sim bigint, bands array<bigint>")
+    return src.mapInArrow(_fingerprint(*common_features(df, q, c)), f"{kept}, qk bigint, ck bigint, sim bigint, bands array<bigint>")
 
 
 class BKTree:
