@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pairs_queries
+from . import pairs_queries, sampling_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-for _m in (pairs_queries,):
+for _m in (pairs_queries, sampling_queries):
     QUERIES.update(_m.QUERIES)
     ORACLES.update(_m.ORACLES)

@@ -1,0 +1,40 @@
+"""Queries of the sampling operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators import quota_sample
+from ..session import table
+
+
+def _plan(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return quota_sample.plan(table(spark, sf_dir, "sample_refs"), table(spark, sf_dir, "qa_samples"), table(spark, sf_dir, "sample_targets"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plan(spark, sf_dir)[1].where("not reachable").select("request_id", "category")
+
+
+def p3_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plan(spark, sf_dir)[0]
+
+
+def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plan(spark, sf_dir)[1]
+
+
+_POOL = """
+with pool as (select distinct sample_id as id from sample_refs where sample_id in (select id from qa_samples)),
+named as (
+  select distinct sample_id as id, 'task_domain' as field_name, lower(trim(task_domain)) as category from sample_refs
+  union all select distinct id, 'task_type', lower(trim(task_type)) from qa_samples
+  union all select distinct id, 'language', lower(trim(language)) from qa_samples),
+have as (
+  select t.request_id, t.category, t.min_rows, t.target_share * t.sample_share * (select count(*) from pool) as goal,
+    (select count(*) from pool p join named n on p.id = n.id where n.field_name = t.field_name and n.category = t.category) as n
+  from sample_targets t)
+"""
+
+QUERIES = {"p3_found": p3_found, "p3_sample": p3_sample, "p3_report": p3_report}
+ORACLES = {"p3_found": _POOL + "select request_id, category from have where n < greatest(min_rows, goal)"}
