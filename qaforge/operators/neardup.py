@@ -2,13 +2,13 @@
 
 Two records belong together when both fields have a likeness (see ``bags.likeness``) of at least ``threshold``.
 
-1. ``fingerprints``: one pass over the texts gives each row the key of its exact class (equal word bags), a 64-bit SimHash
-   and ``BANDS`` banded-minima keys. Rows of one class are collapsed; only one representative goes on.
-2. ``link_classes``: a *shard* is the set of representatives that share one band key. In each shard a BK-tree over the
+1. ``fingerprints``: a pass over the texts gives each row the key of its exact class (equal word bags), a 64-bit SimHash
+   and ``BANDS`` banded-minima keys. Rows of one class are collapsed.
+2. ``link_classes``: a *shard* is the set of classes that share one band key. In each shard a BK-tree over the
    SimHash fingerprints (children keyed by the integer Hamming distance to their parent) is built, and every member
    follows only edges within ``RADIUS``. A shard above ``BLOCK`` members is cut into blocks; each pair of blocks is a task
    of its own, so no shard is ever held by one task.
-3. ``verify``: exact likeness of both fields of the linked representatives.
+3. ``verify``: exact likeness of both fields of the linked classes.
 4. ``expand``: links between classes and membership give the pairs of records.
 
 Trees of single shards are built where the shard lies instead of being broadcast, as their total size grows with the
@@ -60,15 +60,13 @@ def _features(q: list, c: list):
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many rows hold each feature that is common in a batch (half of COMMON), and the number of rows (feature NULL)."""
+    """How many rows hold each feature that is common in a batch (half of COMMON)."""
     for batch in batches:
         q, c = (x.to_pylist() for x in batch.columns)
         for a, z in _chunks([q, c]):
             f, n = np.unique(_features(q[a:z], c[a:z])[2], return_counts=True)
             keep = n >= max(2, sketches.COMMON / 2 * (z - a))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*f[keep].view(np.int64).tolist(), None], pa.int64()), pa.array([*n[keep].tolist(), z - a], pa.int64())], ["f", "n"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(f[keep].view(np.int64)), pa.array(n[keep])], ["f", "n"])
 
 
 def common_features(df: DataFrame, q: str, c: str) -> tuple[np.ndarray, np.ndarray]:
@@ -77,11 +75,12 @@ def common_features(df: DataFrame, q: str, c: str) -> tuple[np.ndarray, np.ndarr
     At most (mean number of words) / COMMON features can be that common, so what the driver holds does not grow with the
     number of rows; a further bound keeps the most common 200,000.
     """
-    counts = df.select(F.col(q).alias("q"), F.col(c).alias("c")).mapInArrow(_count_features, "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
-    total = counts.where("f is null").select(F.col("n").alias("t"))
-    got = counts.where("f is not null").crossJoin(F.broadcast(total)).where(F.col("n") > F.col("t") * sketches.COMMON).orderBy(F.desc("n"), "f").limit(200_000).toArrow()
+    texts = df.select(F.col(q).alias("q"), F.col(c).alias("c"))
+    total = df.count()
+    counts = texts.mapInArrow(_count_features, "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
+    got = counts.where(F.col("n") > total * sketches.COMMON).orderBy(F.desc("n"), "f").limit(200_000).toArrow()
     f = got.column("f").to_numpy().view(np.uint64)
-    w = sketches.inverse_weight(got.column("n").to_numpy() / np.maximum(got.column("t").to_numpy(), 1))
+    w = sketches.inverse_weight(got.column("n").to_numpy() / max(total, 1))
     order = np.argsort(f)
     return f[order], w[order]
 
@@ -94,22 +93,33 @@ def _fingerprint(known: np.ndarray, inverse: np.ndarray):
             q, c = batch.column(names.index("_q")).to_pylist(), batch.column(names.index("_c")).to_pylist()
             for a, z in _chunks([q, c]):
                 qk, ck, f, n = _features(q[a:z], c[a:z])
+                with np.errstate(over="ignore"):
+                    cls = bags.mix(qk * np.uint64(3) + bags.mix(ck))
+                # keys only for the first row of each class in the batch
+                first = np.zeros(z - a, dtype=bool)
+                first[np.unique(cls, return_index=True)[1]] = True
+                f, n = f[np.repeat(first, n)], n[first]
                 inv = sketches.lookup(f, known, inverse)
-                keys, sim = sketches.band_keys(f, inv, n), sketches.simhash(f, inv, n)
+                keys, sim = sketches.band_keys(f, inv, n), np.zeros(z - a, np.uint64)
+                sim[first] = sketches.simhash(f, inv, n)
                 arrays = [batch.column(names.index(k)).slice(a, z - a) for k in keep]
-                ends = pa.array(np.arange(0, (z - a + 1) * sketches.BANDS, sketches.BANDS, dtype=np.int32))
-                lists = pa.ListArray.from_arrays(ends, pa.array(keys.view(np.int64).ravel()))
-                arrays += [pa.array(qk.view(np.int64)), pa.array(ck.view(np.int64)), pa.array(sim.view(np.int64)), lists]
-                yield pa.RecordBatch.from_arrays(arrays, [*keep, "qk", "ck", "sim", "bands"])
+                ends = np.concatenate([[0], np.cumsum(first) * sketches.BANDS]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel()))
+                arrays += [pa.array(cls.view(np.int64)), pa.array(sim.view(np.int64)), lists]
+                yield pa.RecordBatch.from_arrays(arrays, [*keep, "cls", "sim", "bands"])
 
     return run
 
 
 def fingerprints(df: DataFrame, q: str, c: str, keep: list[str]) -> DataFrame:
-    """keep columns + (qk, ck) class key, sim, bands; one row per row of df. NULL texts count as empty."""
+    """keep columns + cls (key of the class of equal word bags in both fields), sim, bands; one row per row of df.
+
+    bands is empty for all but the first row of a class in a batch, so that copies add next to nothing to what is shuffled.
+    NULL texts count as empty.
+    """
     src = df.select(*keep, F.col(q).alias("_q"), F.col(c).alias("_c"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name not in ("_q", "_c"))
-    return src.mapInArrow(_fingerprint(*common_features(df, q, c)), f"{kept}, qk bigint, ck bigint, sim bigint, bands array<bigint>")
+    return src.mapInArrow(_fingerprint(*common_features(df, q, c)), f"{kept}, cls bigint, sim bigint, bands array<bigint>")
 
 
 class BKTree:
@@ -195,8 +205,11 @@ def _search_shards(radius: int, block: int):
             return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([big_key]), pa.nulls(1, pa.int64()), pa.array([-(-big_n // block)], pa.int32())], schema=_PAIR)
 
         def work(k, r, s, last: bool) -> Iterator[pa.RecordBatch]:
-            """Handles all runs but the last one, which may go on in the next batch, and returns that."""
+            """Handles all runs but the last one, which may go on in the next batch, and keeps that."""
             nonlocal big_key, big_n, ck, cr, cs
+            new = np.ones(len(k), dtype=bool)  # a class can come from several batches
+            new[1:] = (k[1:] != k[:-1]) | (r[1:] != r[:-1])
+            k, r, s = k[new], r[new], s[new]
             edge = np.nonzero(k[1:] != k[:-1])[0] + 1
             starts, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(k)]])
             size = ends - starts
@@ -278,12 +291,12 @@ def _search_blocks(radius: int):
     return run
 
 
-def link_classes(reps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """(a, b): representatives that share a shard and lie within radius of each other; a < b, each pair once.
+def link_classes(fp: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """(a, b): classes that share a shard and lie within radius of each other; a < b, each pair once.
 
-    reps: (rep, sim, bands).
+    fp: (cls, sim, bands) of ``fingerprints``.
     """
-    rows = reps.select(F.explode("bands").alias("key"), "rep", "sim").repartition("key").sortWithinPartitions("key", "rep")
+    rows = fp.select(F.explode("bands").alias("key"), F.col("cls").alias("rep"), "sim").repartition("key").sortWithinPartitions("key", "rep")
     found = materialise(rows.mapInArrow(_search_shards(radius, block), "a bigint, b bigint, key bigint, sim bigint, blk int"))
     links = found.where("key is null").select("a", "b")
     many = found.where("key is not null and a is null").select("key", F.col("blk").alias("n"))
@@ -324,53 +337,57 @@ def _verify(threshold: float):
     return run
 
 
-def verify(links: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, like_q, like_c) of the links whose two fields are both alike. texts: (rep, q, c), rep unique."""
-    need = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep"))).distinct()
-    t = materialise(texts.join(need, "rep"))
-    ta = t.select(F.col("rep").alias("a"), F.col("q").alias("qa"), F.col("c").alias("ca"))
-    tb = t.select(F.col("rep").alias("b"), F.col("q").alias("qb"), F.col("c").alias("cb"))
+BROADCAST_ROWS = 1_000_000
+
+
+def at_most(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df to be broadcast if it has no more than so many rows (of a few numbers each), else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def verify(links: DataFrame, rows: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, like_q, like_c) of the linked classes whose two fields are both alike.
+
+    rows: (cls, row), the class of each row; texts: (row, q, c).
+    """
+    need = links.select(F.col("a").alias("cls")).unionByName(links.select(F.col("b").alias("cls"))).distinct()
+    first = materialise(rows.join(need, "cls", "left_semi").groupBy("cls").agg(F.min("row").alias("row")))
+    t = materialise(texts.join(at_most(first), "row").select("cls", "q", "c"))
+    ta = t.select(F.col("cls").alias("a"), F.col("q").alias("qa"), F.col("c").alias("ca"))
+    tb = t.select(F.col("cls").alias("b"), F.col("q").alias("qb"), F.col("c").alias("cb"))
     both = links.join(ta, "a").join(tb, "b").select("a", "b", "qa", "ca", "qb", "cb")
     return both.mapInArrow(_verify(threshold), "a bigint, b bigint, like_q double, like_c double")
 
 
 def expand(links: DataFrame, members: DataFrame) -> DataFrame:
-    """(id_a, id_b), id_a < id_b: all pairs of records of linked classes and within a class. members: (rep, id)."""
-    ma, mb = members.select(F.col("rep").alias("a"), F.col("id").alias("ia")), members.select(F.col("rep").alias("b"), F.col("id").alias("ib"))
+    """(id_a, id_b), id_a < id_b: all pairs of records of linked classes and within a class. members: (cls, id)."""
+    ma, mb = members.select(F.col("cls").alias("a"), F.col("id").alias("ia")), members.select(F.col("cls").alias("b"), F.col("id").alias("ib"))
     across = links.select("a", "b").join(ma, "a").join(mb, "b").select("ia", "ib")
     inside = ma.join(mb, F.col("a") == F.col("b")).where("ia < ib").select("ia", "ib")
     return across.unionByName(inside).select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
 
 
-def classes(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", extra: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(members, reps) of the records of df.
-
-    members: (id, rep, ...extra), one row per distinct non-null id (that of its smallest row); reps: (rep, sim, bands), one
-    row per class of records with equal word bags in both fields; rep is the smallest row of the class.
-    """
-    extra = extra or []
-    src = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(row_col).cast("bigint").alias("row"), *extra, F.col(q).alias("q"), F.col(c).alias("c"))
-    fp = materialise(fingerprints(src, "q", "c", ["id", "row", *extra]))
-    reps = fp.groupBy("qk", "ck").agg(F.min_by(F.struct(F.col("row").alias("rep"), "sim", "bands"), "row").alias("x")).select("qk", "ck", "x.*")
-    one = fp.groupBy("id").agg(F.min_by(F.struct("qk", "ck", *extra), "row").alias("x")).select("id", "x.*")
-    members = one.join(reps.select("qk", "ck", "rep"), ["qk", "ck"]).select("id", "rep", *extra)
-    return members, reps.select("rep", "sim", "bands")
+def records(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", extra: list[str] | None = None) -> DataFrame:
+    """Fingerprints (id, row, ...extra, cls, sim, bands) of all rows with an id, written once."""
+    src = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(row_col).cast("bigint").alias("row"), *(extra or []), F.col(q).alias("q"), F.col(c).alias("c"))
+    return materialise(fingerprints(src, "q", "c", ["id", "row", *(extra or [])]))
 
 
 def near_duplicates(
     df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id",
     threshold: float = THRESHOLD, radius: int = RADIUS, block: int = BLOCK,
 ) -> tuple[DataFrame, DataFrame]:
-    """(links between class representatives, members).
+    """(links between classes (a, b, like_q, like_c), members (id, cls)).
 
-    Rows with a NULL id are no records; rows that repeat an id are the same record and count once. NULL and empty texts
-    are alike (likeness 1), an empty and a non-empty text are not (0). Other columns of df are ignored. An empty df gives
-    empty results.
+    A class is a set of records with equal word bags in both fields. Rows with a NULL id are no records; rows that repeat an
+    id are the same record and count once, with the texts of the smallest row. NULL and empty texts are alike (likeness 1),
+    an empty and a non-empty text are not (0). Other columns of df are ignored. An empty df gives empty results.
     """
-    members, reps = classes(df, q, c, id_col, row_col)
-    links = link_classes(reps, radius, block)
-    texts = df.select(F.col(row_col).cast("bigint").alias("rep"), F.col(q).alias("q"), F.col(c).alias("c"))
-    return verify(materialise(links), texts, threshold), members
+    fp = records(df, q, c, id_col, row_col)
+    members = fp.groupBy("id").agg(F.min_by("cls", "row").alias("cls"))
+    links = materialise(link_classes(fp, radius, block))
+    texts = df.select(F.col(row_col).cast("bigint").alias("row"), F.col(q).alias("q"), F.col(c).alias("c"))
+    return verify(links, fp.select("cls", "row"), texts, threshold), members
 
 
 def near_duplicate_pairs(df: DataFrame, **kw) -> DataFrame:
