@@ -1,0 +1,315 @@
+"""Same or near-same records across splits.
+
+Evaluation records (val and test) are spread over *shards* of bounded size, each with a compressed full-text index (an
+FM-index over words) of the shard's texts. Training texts are streamed through backward search: the text is cut into tiles
+of TILE words, each tile's suffix range is found by stepping backwards from its last word, the positions it stands at are
+located through sampled suffix positions, and seeds on one diagonal are grown to maximal matches. Spans are merged and
+counted per pair of texts; a pair with enough matched words is then compared exactly in both fields.
+
+What is indexed is the text of the longer field that tells records apart: the context, or the question where there is no
+context. The other field must be alike as well and is compared exactly.
+
+Not every training text is sent to every shard, which would be quadratic: ``routes`` sends it to the shards that hold a text
+with a common band key (see ``neardup``). The route only names shards; which records match is decided by the index.
+"""
+
+from __future__ import annotations
+
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import bags
+from ..session import materialise
+from . import neardup
+
+TILE = 4
+STEP = 8  # one of so many suffix positions is kept
+MATCHED = 0.2  # share of the shorter text that maximal matches must cover
+SHARD_WORDS = 400_000
+STREAM_ROWS = 20_000  # training texts that one task sends through a shard
+
+
+def split_side(split: Column) -> Column:
+    """train, val, test, or NULL for anything else."""
+    s = F.lower(F.trim(split))
+    return F.when(s.isin("train", "training"), "train").when(s.isin("val", "dev", "valid", "validation"), "val").when(s.isin("test", "test_gold"), "test")
+
+
+class FMIndex:
+    """Full-text index of several word sequences: Burrows-Wheeler transform, backward search and located positions.
+
+    Words are small integers from 2; 1 ends each sequence and 0 the whole text. The rows of the sorted suffixes by their
+    preceding word form one sorted array (last), so that a backward step is one binary search for each end of the range.
+    """
+
+    def __init__(self, sequences: list[np.ndarray]) -> None:
+        n = sum(len(s) + 1 for s in sequences) + 1
+        text = np.zeros(n, dtype=np.int64)
+        self.starts = np.zeros(len(sequences), dtype=np.int64)
+        at = 0
+        for i, s in enumerate(sequences):
+            self.starts[i] = at
+            text[at : at + len(s)] = s
+            at += len(s)
+            text[at] = 1
+            at += 1
+        self.n, self.text = n, text
+        sa = self._suffixes(text)
+        bwt = text[sa - 1]  # of the suffix at 0 it is the last word, 0
+        self.base = np.concatenate([[0], np.cumsum(np.bincount(text))])
+        self.last = np.sort(bwt * (n + 1) + np.arange(n))  # (word, row), sorted: its index is the LF mapping
+        self.bwt = bwt
+        kept = sa % STEP == 0
+        self.rank = np.cumsum(kept) - 1
+        self.kept, self.samples = kept, sa[kept]
+
+    @staticmethod
+    def _suffixes(text: np.ndarray) -> np.ndarray:
+        """Suffix array by prefix doubling."""
+        n = len(text)
+        rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
+        k = 1
+        while True:
+            second = np.zeros(n, dtype=np.int64)
+            second[:-k] = rank[k:] + 1 if k < n else 0
+            key = rank * (n + 1) + second
+            sa = np.argsort(key, kind="stable")
+            s = key[sa]
+            new = np.zeros(n, dtype=np.int64)
+            new[1:] = np.cumsum(s[1:] != s[:-1])
+            rank = np.empty(n, dtype=np.int64)
+            rank[sa] = new
+            if new[-1] == n - 1 or k >= n:
+                return sa
+            k *= 2
+
+    def step(self, word: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranges of suffixes that begin with word followed by what the ranges lo to hi stand for."""
+        key = word * (self.n + 1)
+        return np.searchsorted(self.last, key + lo), np.searchsorted(self.last, key + hi)
+
+    def locate(self, rows: np.ndarray) -> np.ndarray:
+        """Text positions of suffix rows: steps back until a sampled one."""
+        pos = np.zeros(len(rows), dtype=np.int64)
+        steps = np.zeros(len(rows), dtype=np.int64)
+        left, r = np.arange(len(rows)), rows.copy()
+        while len(left):
+            hit = self.kept[r]
+            pos[left[hit]] = self.samples[self.rank[r[hit]]] + steps[left[hit]]
+            left, r = left[~hit], r[~hit]
+            steps[left] += 1
+            r = np.searchsorted(self.last, self.bwt[r] * (self.n + 1) + r)
+        return pos
+
+    def seeds(self, seqs: list[np.ndarray], tile: int = TILE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sequence, its position, index position) of every tile of the sequences that stands in the index."""
+        own, first, width = [], [], []
+        for i, s in enumerate(seqs):
+            w = min(tile, len(s))
+            if not w:
+                continue
+            st = np.arange(0, len(s) - w + 1, w)
+            if st[-1] + w < len(s):
+                st = np.append(st, len(s) - w)
+            own.append(np.full(len(st), i))
+            first.append(st)
+            width.append(np.full(len(st), w))
+        if not own:
+            z = np.zeros(0, dtype=np.int64)
+            return z, z, z
+        own, first, width = np.concatenate(own), np.concatenate(first), np.concatenate(width)
+        flat = np.concatenate(seqs)
+        offset = np.cumsum([0] + [len(s) for s in seqs])[:-1]
+        lo, hi = np.zeros(len(own), dtype=np.int64), np.full(len(own), self.n, dtype=np.int64)
+        for k in range(1, tile + 1):
+            live = np.nonzero((hi > lo) & (width >= k))[0]
+            if not len(live):
+                break
+            word = flat[offset[own[live]] + first[live] + width[live] - k]
+            lo[live], hi[live] = self.step(word, lo[live], hi[live])
+        live = np.nonzero(hi > lo)[0]
+        count = hi[live] - lo[live]
+        tiles = np.repeat(live, count)
+        rows = np.repeat(lo[live] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+        return own[tiles], first[tiles], self.locate(rows)
+
+    def matches(self, seqs: list[np.ndarray], tile: int = TILE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(sequence, index text, words covered by maximal matches, number of such matches), one row per pair with a match."""
+        own, at, pos = self.seeds(seqs, tile)
+        if not len(own):
+            z = np.zeros(0, dtype=np.int64)
+            return z, z, z, z
+        doc = np.searchsorted(self.starts, pos, side="right") - 1
+        diag = pos - at
+        order = np.lexsort((at, diag, doc, own))
+        own, at, doc, diag = own[order], at[order], doc[order], diag[order]
+        flat = np.concatenate(seqs)
+        offset = np.cumsum([0] + [len(s) for s in seqs])[:-1]
+        size = np.array([len(s) for s in seqs])
+        width = np.minimum(tile, size)
+        lo, hi = at.copy(), at + width[own]
+        # grow to maximal matches by comparing neighbouring words, all seeds at once
+        for d in (-1, 1):
+            live = np.arange(len(own))
+            while len(live):
+                p = lo[live] - 1 if d < 0 else hi[live]
+                ok = (p >= 0) & (p < size[own[live]])
+                live, p = live[ok], p[ok]
+                q = p + diag[live]
+                same = (q >= 0) & (flat[offset[own[live]] + p] == self.text[np.clip(q, 0, self.n - 1)])
+                live = live[same]
+                if d < 0:
+                    lo[live] -= 1
+                else:
+                    hi[live] += 1
+                # a seed inside the next one's span stops early: it will be merged with it
+                if d > 0 and len(live):
+                    nxt = np.minimum(live + 1, len(own) - 1)
+                    inside = (nxt != live) & (own[nxt] == own[live]) & (doc[nxt] == doc[live]) & (diag[nxt] == diag[live]) & (hi[live] >= at[nxt])
+                    live = live[~inside]
+                if d < 0 and len(live):
+                    prv = np.maximum(live - 1, 0)
+                    inside = (prv != live) & (own[prv] == own[live]) & (doc[prv] == doc[live]) & (diag[prv] == diag[live]) & (lo[live] <= at[prv] + width[own[live]])
+                    live = live[~inside]
+        # merge spans of a pair over all diagonals
+        order = np.lexsort((lo, doc, own))
+        own, doc, lo, hi = own[order], doc[order], lo[order], hi[order]
+        pair = np.ones(len(own), dtype=bool)
+        pair[1:] = (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])
+        g = np.cumsum(pair) - 1
+        big = int(size.max()) + 1
+        upto = np.maximum.accumulate(hi + g * big) - g * big  # furthest end so far within the pair
+        before = np.where(pair, 0, np.concatenate([[0], upto[:-1]]))
+        covered = np.maximum(0, hi - np.maximum(lo, before))
+        runs = (pair | (lo > before)).astype(np.int64)
+        first = np.nonzero(pair)[0]
+        return own[first], doc[first], np.add.reduceat(covered, first), np.add.reduceat(runs, first)
+
+
+def _key_words(q: list, c: list) -> tuple[list[list[int]], list[list[int]], list[list[int]]]:
+    hq, hc = [bags.word_hashes(bags.words(t)) for t in q], [bags.word_hashes(bags.words(t)) for t in c]
+    return hq, hc, [y or x for x, y in zip(hq, hc)]
+
+
+def _search(threshold: float):
+    """Over rows (shard, salt, train, cls, q, c) sorted by (shard, salt, train): the evaluation texts of a shard come first
+    and are indexed, then training texts are streamed through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, index = None, [], None
+
+        def build(rows: list) -> tuple:
+            cls = [r[0] for r in rows]
+            hq, hc, key = _key_words([r[1] for r in rows], [r[2] for r in rows])
+            texts: dict[tuple, list[int]] = {}
+            for i, k in enumerate(key):
+                texts.setdefault(tuple(k), []).append(i)
+            words = {w: i + 2 for i, w in enumerate(sorted({w for k in texts for w in k}))}
+            seqs = [np.array([words[w] for w in k], dtype=np.int64) for k in texts]
+            return cls, hq, hc, list(texts.values()), words, FMIndex(seqs), np.array([len(s) for s in seqs])
+
+        def stream(rows: list) -> pa.RecordBatch:
+            cls, hq, hc, owners, words, fm, size = index
+            tq, tc, key = _key_words([r[1] for r in rows], [r[2] for r in rows])
+            seqs = [np.array([words.get(w, 1) for w in k], dtype=np.int64) for k in key]
+            # words that the shard lacks must match nothing: 1 would match the end of a text
+            out = []
+            if seqs and max(map(len, seqs)):
+                safe = [np.where(s == 1, len(words) + 2, s) for s in seqs]
+                own, doc, covered, runs = fm.matches(safe)
+                own_len = np.array([len(s) for s in seqs])
+                keep = covered >= MATCHED * np.minimum(own_len[own], size[doc])
+                for i, d, k, n in zip(own[keep].tolist(), doc[keep].tolist(), covered[keep].tolist(), runs[keep].tolist()):
+                    for e in owners[d]:
+                        x = bags.likeness(tc[i], hc[e])
+                        if x < threshold:
+                            continue
+                        y = bags.likeness(tq[i], hq[e])
+                        if y >= threshold:
+                            out.append((rows[i][0], cls[e], k, n, y, x))
+            # texts without a word match each other and nothing else
+            none_t, none_e = [i for i, k in enumerate(key) if not k], [e for d in range(len(owners)) if not size[d] for e in owners[d]]
+            out += [(rows[i][0], cls[e], 0, 0, 1.0, 1.0) for i in none_t for e in none_e]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64())
+            return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], ["train_cls", "eval_cls", "matched", "matches", "like_q", "like_c"])
+
+        for batch in batches:
+            todo = []
+            for shard, salt, train, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (shard, salt) != at:
+                    if todo:
+                        yield stream(todo)
+                        todo = []
+                    at, held, index = (shard, salt), [], None
+                if not train:
+                    held.append(row)
+                    continue
+                if index is None:
+                    index = build(held)
+                    held = []
+                todo.append(row)
+            if todo:
+                yield stream(todo)
+
+    return run
+
+
+_OUT = "train_cls bigint, eval_cls bigint, matched int, matches int, like_q double, like_c double"
+
+
+def overlaps(
+    df: DataFrame, q: str = "question", c: str = "context", split: str = "split", id_col: str = "id", row_col: str = "row_id", threshold: float = neardup.THRESHOLD,
+    shard_words: int = SHARD_WORDS, stream_rows: int = STREAM_ROWS, extra: list[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(matches, members).
+
+    matches: (train_cls, eval_cls, matched, matches, like_q, like_c) of classes of records (equal word bags in both fields)
+    of the training and an evaluation split whose two fields are alike; matched words and number of maximal matches are those
+    of the indexed field. members: (id, cls, side, ...extra). Rows with a NULL id or of no split are ignored; rows that
+    repeat an id count once. NULL and empty texts are alike. An empty df, or one without a split, gives no rows.
+    """
+    src = df.withColumn("side", split_side(F.col(split))).where("side is not null")
+    fp = neardup.records(src, q, c, id_col, row_col, ["side", *(extra or [])], "side")
+    members = fp.groupBy("id").agg(F.min_by(F.struct("cls", "side", *(extra or [])), "row").alias("x")).select("id", "x.*")
+    n_words = src.where("side <> 'train'").agg(F.sum(F.length(q) + F.coalesce(F.length(c), F.lit(0))).alias("n")).first()["n"] or 0
+    shards = max(1, -(-int(n_words) // (4 * shard_words)))
+    shard_of = F.pmod(F.xxhash64(F.lit(7), "cls"), F.lit(shards)).cast("int")
+    keyed = fp.where(F.size("bands") > 0).select("cls", (F.col("side") == "train").alias("train"), F.explode("bands").alias("key"))
+    ev = keyed.where("not train").select("key", shard_of.alias("shard")).distinct()
+    routes = materialise(keyed.where("train").select("key", "cls").join(ev, "key").select("shard", "cls").distinct())
+    salts = routes.groupBy("shard").agg(F.ceil(F.count("*") / stream_rows).cast("int").alias("salts"))
+    first = fp.groupBy("cls", (F.col("side") == "train").alias("train")).agg(F.min("row").alias("row"))
+    texts = src.where(F.col(id_col).isNotNull()).select(F.col(row_col).cast("bigint").alias("row"), F.col(q).alias("q"), F.col(c).alias("c"))
+    to_train = routes.join(salts, "shard").select("cls", "shard", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("train"))
+    to_eval = (
+        first.where("not train").select("cls", shard_of.alias("shard")).join(salts, "shard")
+        .select("cls", "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("train"))
+    )
+    sent = materialise(to_train.unionByName(to_eval).join(first, ["cls", "train"]))
+    rows = texts.join(neardup.at_most(sent), "row").select("shard", "salt", "train", "cls", "q", "c")
+    found = rows.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "train").mapInArrow(_search(threshold), _OUT)
+    return found, members
+
+
+def overlap_pairs(df: DataFrame, **kw) -> DataFrame:
+    """(id_a, id_b), id_a < id_b: records alike in both fields, one in train and the other in val or test."""
+    found, members = overlaps(df, **kw)
+    members = materialise(members)
+    t = members.where("side = 'train'").select(F.col("cls").alias("train_cls"), F.col("id").alias("it"))
+    e = members.where("side <> 'train'").select(F.col("cls").alias("eval_cls"), F.col("id").alias("ie"))
+    pairs = found.select("train_cls", "eval_cls").distinct().join(t, "train_cls").join(e, "eval_cls")
+    return pairs.select(F.least("it", "ie").alias("id_a"), F.greatest("it", "ie").alias("id_b"))
+
+
+def overlap_report(df: DataFrame, source: str = "source", **kw) -> DataFrame:
+    """(split, source, records, overlapping, share): evaluation records, and those that also stand in train."""
+    found, members = overlaps(df, extra=[source], **kw)
+    hit = found.select(F.col("eval_cls").alias("cls")).distinct().withColumn("hit", F.lit(True))
+    e = members.where("side <> 'train'").join(hit, "cls", "left")
+    out = e.groupBy(F.col("side").alias("split"), F.col(source).alias("source")).agg(F.count("*").alias("records"), F.count("hit").alias("overlapping"))
+    return out.withColumn("share", F.col("overlapping") / F.col("records"))

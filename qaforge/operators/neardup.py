@@ -85,7 +85,7 @@ def common_features(df: DataFrame, q: str, c: str) -> tuple[np.ndarray, np.ndarr
     return f[order], w[order]
 
 
-def _fingerprint(known: np.ndarray, inverse: np.ndarray):
+def _fingerprint(known: np.ndarray, inverse: np.ndarray, apart: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
@@ -95,9 +95,12 @@ def _fingerprint(known: np.ndarray, inverse: np.ndarray):
                 qk, ck, f, n = _features(q[a:z], c[a:z])
                 with np.errstate(over="ignore"):
                     cls = bags.mix(qk * np.uint64(3) + bags.mix(ck))
-                # keys only for the first row of each class in the batch
+                # keys only for the first row of each class (and value of apart) in the batch
+                of = cls
+                if apart:
+                    of = bags.mix(cls ^ np.array(bags.word_hashes([str(x) for x in batch.column(names.index(apart)).slice(a, z - a).to_pylist()]), dtype=np.uint64))
                 first = np.zeros(z - a, dtype=bool)
-                first[np.unique(cls, return_index=True)[1]] = True
+                first[np.unique(of, return_index=True)[1]] = True
                 f, n = f[np.repeat(first, n)], n[first]
                 inv = sketches.lookup(f, known, inverse)
                 keys, sim = sketches.band_keys(f, inv, n), np.zeros(z - a, np.uint64)
@@ -111,15 +114,16 @@ def _fingerprint(known: np.ndarray, inverse: np.ndarray):
     return run
 
 
-def fingerprints(df: DataFrame, q: str, c: str, keep: list[str]) -> DataFrame:
+def fingerprints(df: DataFrame, q: str, c: str, keep: list[str], apart: str | None = None) -> DataFrame:
     """keep columns + cls (key of the class of equal word bags in both fields), sim, bands; one row per row of df.
 
-    bands is empty for all but the first row of a class in a batch, so that copies add next to nothing to what is shuffled.
+    bands is empty for all but the first row of a class (and value of the column apart) in a batch, so that copies add next to
+    nothing to what is shuffled.
     NULL texts count as empty.
     """
     src = df.select(*keep, F.col(q).alias("_q"), F.col(c).alias("_c"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name not in ("_q", "_c"))
-    return src.mapInArrow(_fingerprint(*common_features(df, q, c)), f"{kept}, cls bigint, sim bigint, bands array<bigint>")
+    return src.mapInArrow(_fingerprint(*common_features(df, q, c), apart), f"{kept}, cls bigint, sim bigint, bands array<bigint>")
 
 
 class BKTree:
@@ -367,10 +371,10 @@ def expand(links: DataFrame, members: DataFrame) -> DataFrame:
     return across.unionByName(inside).select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
 
 
-def records(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", extra: list[str] | None = None) -> DataFrame:
+def records(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", extra: list[str] | None = None, apart: str | None = None) -> DataFrame:
     """Fingerprints (id, row, ...extra, cls, sim, bands) of all rows with an id, written once."""
     src = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(row_col).cast("bigint").alias("row"), *(extra or []), F.col(q).alias("q"), F.col(c).alias("c"))
-    return materialise(fingerprints(src, "q", "c", ["id", "row", *(extra or [])]))
+    return materialise(fingerprints(src, "q", "c", ["id", "row", *(extra or [])], apart))
 
 
 def near_duplicates(

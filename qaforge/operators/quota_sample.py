@@ -53,7 +53,7 @@ def swap_repair(counts: dict[frozenset, int], targets: dict[str, float], floors:
         total = 0.0
         for c, goal in targets.items():
             got = sum(k for s, k in t.items() if c in s)
-            total += abs(got - goal) + 1000 * max(0, min(floors.get(c, 0), sum(k for s, k in counts.items() if c in s)) - got)
+            total += (got - goal) ** 2 / max(goal, 1.0) + 1e6 * max(0, min(floors.get(c, 0), sum(k for s, k in counts.items() if c in s)) - got)
         return total
 
     now, step = cost(take), max(1, n)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import neardup
+from ..operators import crosssplit, neardup
 from ..session import table
 
 
@@ -12,5 +12,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicate_pairs(table(spark, sf_dir, "qa_samples"))
 
 
-QUERIES = {"p1_found": p1_found}
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosssplit.overlap_pairs(table(spark, sf_dir, "qa_samples"))
+
+
+def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosssplit.overlap_report(table(spark, sf_dir, "qa_samples"))
+
+
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p5_report": p5_report}
 ORACLES: dict[str, str] = {}
