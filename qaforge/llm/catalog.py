@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import pairs, truncation
+from . import langid, leakage, mixing, pairs, truncation
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,5 +27,43 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p4_found(spark, sf_dir).groupBy("defect").agg(F.count("*").alias("records"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found, "p2_report": p2_report, "p4_found": p4_found, "p4_report": p4_report}
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("item_id", "documents")
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[1].where("not reachable").select("mix_id", "source")
+
+
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[0]
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[1]
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.unnamed_languages(table(spark, sf_dir, "documents"))
+
+
+def p8_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.labels(table(spark, sf_dir, "documents"))
+
+
+def p8_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.segments(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (p2_found, p2_report, p4_found, p4_report, p6_found, p6_report, p7_found, p7_mix, p7_report, p8_found, p8_labels, p8_segments)
+}
 ORACLES: dict[str, str] = {}
