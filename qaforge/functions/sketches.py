@@ -54,13 +54,27 @@ def band_keys(f: np.ndarray, inv: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
+# nibble -> four 16-bit lanes that hold its bits
+_LANES = np.array([sum(((v >> j) & 1) << (16 * j) for j in range(4)) for v in range(16)], dtype=np.uint64)
+_SEGMENT = 1000  # so many weights of at most LIGHTEST fit a lane
+
+
 def simhash(f: np.ndarray, inv: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """64-bit SimHash per text, elements of weight 1/inv; n > 0."""
+    """64-bit SimHash per text, elements of weight 1/inv; n > 0. Weights are summed for four bits at a time."""
     start = np.cumsum(n) - n
-    w = (U(LIGHTEST) // inv).astype(np.uint16)
-    bits = np.unpackbits(f.view(np.uint8).reshape(-1, 8), axis=1)
-    ones = np.add.reduceat(bits * w[:, None], start, axis=0, dtype=np.int32)
-    return np.packbits(2 * ones > np.add.reduceat(w, start, dtype=np.int32)[:, None], axis=1).view(np.uint64).ravel()
+    parts = -(-n // _SEGMENT)
+    first = np.cumsum(parts) - parts
+    seg = np.repeat(start, parts) + (np.arange(parts.sum()) - np.repeat(first, parts)) * _SEGMENT
+    w = U(LIGHTEST) // inv
+    sums = np.empty((len(seg), 64), dtype=np.int64)
+    for k in range(16):
+        s = np.add.reduceat(_LANES[(f >> U(4 * k)) & U(15)] * w, seg)
+        for j in range(4):
+            sums[:, 4 * k + j] = (s >> U(16 * j)) & U(0xFFFF)
+    if len(seg) > len(n):
+        sums = np.add.reduceat(sums, first, axis=0)
+    total = np.add.reduceat(w, start).astype(np.int64)
+    return np.packbits(2 * sums > total[:, None], axis=1).view(np.uint64).ravel()
 
 
 def popcount(x: np.ndarray) -> np.ndarray:

@@ -2,9 +2,10 @@
 
 Evaluation records (val and test) are spread over *shards* of bounded size, each with a compressed full-text index (an
 FM-index over words) of the shard's texts. Training texts are streamed through backward search: the text is cut into tiles
-of TILE words, each tile's suffix range is found by stepping backwards from its last word, the positions it stands at are
-located through sampled suffix positions, and seeds on one diagonal are grown to maximal matches. Spans are merged and
-counted per pair of texts; a pair with enough matched words is then compared exactly in both fields.
+of a few words, each tile's suffix range is found by stepping backwards from its last word, and the range names the texts
+that hold it. Where a text holds enough tiles, their positions are located through sampled suffix positions, and seeds on
+one diagonal are grown to maximal matches. Spans are merged and counted per pair of texts; a pair with enough matched words
+is then compared exactly in both fields.
 
 What is indexed is the text of the longer field that tells records apart: the context, or the question where there is no
 context. The other field must be alike as well and is compared exactly.
@@ -27,11 +28,13 @@ from ..functions import bags
 from ..session import materialise
 from . import neardup
 
-TILE = 4
+TILE = (4, 8)  # words of a tile, in texts of letters and of CJK characters
 STEP = 8  # one of so many suffix positions is kept
-MATCHED = 0.2  # share of the shorter text that maximal matches must cover
-SHARD_WORDS = 400_000
+SEEDED = 0.1  # share of a text's tiles that a text must hold to be looked at
+MATCHED = 0.15  # share of the shorter text that maximal matches must cover
+SHARD_CHARACTERS = 800_000
 STREAM_ROWS = 20_000  # training texts that one task sends through a shard
+STREAM_WORDS = 20_000  # words of training texts searched at once
 
 
 def split_side(split: Column) -> Column:
@@ -67,6 +70,7 @@ class FMIndex:
         kept = sa % STEP == 0
         self.rank = np.cumsum(kept) - 1
         self.kept, self.samples = kept, sa[kept]
+        self.doc = (np.searchsorted(self.starts, sa, side="right") - 1).astype(np.int32)
 
     @staticmethod
     def _suffixes(text: np.ndarray) -> np.ndarray:
@@ -106,52 +110,58 @@ class FMIndex:
             r = np.searchsorted(self.last, self.bwt[r] * (self.n + 1) + r)
         return pos
 
-    def seeds(self, seqs: list[np.ndarray], tile: int = TILE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(sequence, its position, index position) of every tile of the sequences that stands in the index."""
+    def seeds(self, seqs: list[np.ndarray], tiles: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(sequence, its position, text of the index, position there) of the tiles that stand in the index, for pairs that
+        share at least SEEDED of the sequence's tiles."""
         own, first, width = [], [], []
+        count = np.zeros(len(seqs), dtype=np.int64)
         for i, s in enumerate(seqs):
-            w = min(tile, len(s))
+            w = min(tiles[i], len(s))
             if not w:
                 continue
             st = np.arange(0, len(s) - w + 1, w)
             if st[-1] + w < len(s):
                 st = np.append(st, len(s) - w)
+            count[i] = len(st)
             own.append(np.full(len(st), i))
             first.append(st)
             width.append(np.full(len(st), w))
+        none = np.zeros(0, dtype=np.int64)
         if not own:
-            z = np.zeros(0, dtype=np.int64)
-            return z, z, z
+            return none, none, none, none
         own, first, width = np.concatenate(own), np.concatenate(first), np.concatenate(width)
         flat = np.concatenate(seqs)
         offset = np.cumsum([0] + [len(s) for s in seqs])[:-1]
         lo, hi = np.zeros(len(own), dtype=np.int64), np.full(len(own), self.n, dtype=np.int64)
-        for k in range(1, tile + 1):
+        for k in range(1, int(width.max()) + 1):
             live = np.nonzero((hi > lo) & (width >= k))[0]
             if not len(live):
                 break
             word = flat[offset[own[live]] + first[live] + width[live] - k]
             lo[live], hi[live] = self.step(word, lo[live], hi[live])
         live = np.nonzero(hi > lo)[0]
-        count = hi[live] - lo[live]
-        tiles = np.repeat(live, count)
-        rows = np.repeat(lo[live] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-        return own[tiles], first[tiles], self.locate(rows)
-
-    def matches(self, seqs: list[np.ndarray], tile: int = TILE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        n = hi[live] - lo[live]
+        tile = np.repeat(live, n)
+        row = np.repeat(lo[live] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        pair = own[tile] * len(self.starts) + self.doc[row]
+        _, inv, hits = np.unique(pair, return_inverse=True, return_counts=True)
+        ok = hits[inv] >= np.maximum(1, SEEDED * count[own[tile]])
+        tile, row = tile[ok], row[ok]
+        return own[tile], first[tile], self.doc[row].astype(np.int64), self.locate(row)
+
+    def matches(self, seqs: list[np.ndarray], tiles: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(sequence, index text, words covered by maximal matches, number of such matches), one row per pair with a match."""
-        own, at, pos = self.seeds(seqs, tile)
+        own, at, doc, pos = self.seeds(seqs, tiles)
         if not len(own):
             z = np.zeros(0, dtype=np.int64)
             return z, z, z, z
-        doc = np.searchsorted(self.starts, pos, side="right") - 1
         diag = pos - at
         order = np.lexsort((at, diag, doc, own))
         own, at, doc, diag = own[order], at[order], doc[order], diag[order]
         flat = np.concatenate(seqs)
         offset = np.cumsum([0] + [len(s) for s in seqs])[:-1]
         size = np.array([len(s) for s in seqs])
-        width = np.minimum(tile, size)
+        width = np.minimum(np.array(tiles), size)
         lo, hi = at.copy(), at + width[own]
         # grow to maximal matches by comparing neighbouring words, all seeds at once
         for d in (-1, 1):
@@ -216,12 +226,13 @@ def _search(threshold: float):
         def stream(rows: list) -> pa.RecordBatch:
             cls, hq, hc, owners, words, fm, size = index
             tq, tc, key = _key_words([r[1] for r in rows], [r[2] for r in rows])
+            kind = [len(k) > 0.55 * len(r[2] or r[1] or "") for k, r in zip(key, rows)]  # nearly a word per character
             seqs = [np.array([words.get(w, 1) for w in k], dtype=np.int64) for k in key]
             # words that the shard lacks must match nothing: 1 would match the end of a text
             out = []
             if seqs and max(map(len, seqs)):
                 safe = [np.where(s == 1, len(words) + 2, s) for s in seqs]
-                own, doc, covered, runs = fm.matches(safe)
+                own, doc, covered, runs = fm.matches(safe, [TILE[cjk] for cjk in kind])
                 own_len = np.array([len(s) for s in seqs])
                 keep = covered >= MATCHED * np.minimum(own_len[own], size[doc])
                 for i, d, k, n in zip(own[keep].tolist(), doc[keep].tolist(), covered[keep].tolist(), runs[keep].tolist()):
@@ -239,12 +250,12 @@ def _search(threshold: float):
             return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], ["train_cls", "eval_cls", "matched", "matches", "like_q", "like_c"])
 
         for batch in batches:
-            todo = []
+            todo, words_held = [], 0
             for shard, salt, train, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if (shard, salt) != at:
                     if todo:
                         yield stream(todo)
-                        todo = []
+                        todo, words_held = [], 0
                     at, held, index = (shard, salt), [], None
                 if not train:
                     held.append(row)
@@ -253,6 +264,10 @@ def _search(threshold: float):
                     index = build(held)
                     held = []
                 todo.append(row)
+                words_held += len(row[1] or "") + len(row[2] or "")
+                if words_held > 5 * STREAM_WORDS:
+                    yield stream(todo)
+                    todo, words_held = [], 0
             if todo:
                 yield stream(todo)
 
@@ -264,7 +279,7 @@ _OUT = "train_cls bigint, eval_cls bigint, matched int, matches int, like_q doub
 
 def overlaps(
     df: DataFrame, q: str = "question", c: str = "context", split: str = "split", id_col: str = "id", row_col: str = "row_id", threshold: float = neardup.THRESHOLD,
-    shard_words: int = SHARD_WORDS, stream_rows: int = STREAM_ROWS, extra: list[str] | None = None,
+    shard_characters: int = SHARD_CHARACTERS, stream_rows: int = STREAM_ROWS, extra: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(matches, members).
 
@@ -274,10 +289,10 @@ def overlaps(
     repeat an id count once. NULL and empty texts are alike. An empty df, or one without a split, gives no rows.
     """
     src = df.withColumn("side", split_side(F.col(split))).where("side is not null")
-    fp = neardup.records(src, q, c, id_col, row_col, ["side", *(extra or [])], "side")
+    fp = neardup.records(src, q, c, id_col, row_col, ["side", *(extra or [])], "side", simhash=False)
     members = fp.groupBy("id").agg(F.min_by(F.struct("cls", "side", *(extra or [])), "row").alias("x")).select("id", "x.*")
-    n_words = src.where("side <> 'train'").agg(F.sum(F.length(q) + F.coalesce(F.length(c), F.lit(0))).alias("n")).first()["n"] or 0
-    shards = max(1, -(-int(n_words) // (4 * shard_words)))
+    n_chars = src.where("side <> 'train'").agg(F.sum(F.length(q) + F.coalesce(F.length(c), F.lit(0))).alias("n")).first()["n"] or 0
+    shards = max(1, -(-int(n_chars) // shard_characters))
     shard_of = F.pmod(F.xxhash64(F.lit(7), "cls"), F.lit(shards)).cast("int")
     keyed = fp.where(F.size("bands") > 0).select("cls", (F.col("side") == "train").alias("train"), F.explode("bands").alias("key"))
     ev = keyed.where("not train").select("key", shard_of.alias("shard")).distinct()
