@@ -14,7 +14,7 @@ import xxhash
 
 CJK = "㐀-䶿一-鿿豈-﫿"
 _WORD = re.compile(rf"[{CJK}]|[^\W_{CJK}]+")
-_NUM_SEP = re.compile(r"(?<=\d)[.,](?=\d)")
+_NUM_SEP = re.compile(r"(\d)[.,](?=\d)")
 _VOCAB_CAP = 200_000
 _vocab: dict[str, int] = {}
 
@@ -28,7 +28,7 @@ def words(text: str | None) -> list[str]:
         return []
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
-    return _WORD.findall(_NUM_SEP.sub("", text.lower()))
+    return _WORD.findall(_NUM_SEP.sub(r"\1", text.lower()))
 
 
 def word_hashes(ws: list[str]) -> list[int]:
@@ -36,12 +36,12 @@ def word_hashes(ws: list[str]) -> list[int]:
     if len(_vocab) > _VOCAB_CAP:
         _vocab = {}
     v = _vocab
-    out = []
-    for w in ws:
-        h = v.get(w)
-        if h is None:
-            h = v[w] = xxhash.xxh64_intdigest(w)
-        out.append(h)
+    out = list(map(v.get, ws))
+    if None in out:
+        for i, h in enumerate(out):
+            if h is None:
+                w = ws[i]
+                out[i] = v[w] = xxhash.xxh64_intdigest(w)
     return out
 
 

@@ -10,8 +10,8 @@ import numpy as np
 from .bags import U, mix
 
 BANDS, ROWS = 30, 6  # texts of likeness 0.85 (Jaccard 0.739) share no band with probability 5e-3, of likeness 0.9 with 2e-5
-_A = (mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | U(1)).astype(np.uint32)
-_B = mix(np.arange(10_001, 10_001 + BANDS * ROWS, dtype=np.uint64)).astype(np.uint32)
+_A = (mix(np.arange(1, 512, dtype=np.uint64)) | U(1)).astype(np.uint32)
+_B = mix(np.arange(10_001, 10_512, dtype=np.uint64)).astype(np.uint32)
 
 
 LIGHTEST = 64  # a feature that stands in every text counts 1/64 of one that stands in at most COMMON of them
@@ -34,16 +34,16 @@ def lookup(f: np.ndarray, known: np.ndarray, value: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(f: np.ndarray, inv: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """One 64-bit key per text and band, from set elements f (weights 1/inv) of texts with n elements each; n > 0."""
+def band_keys(f: np.ndarray, inv: np.ndarray, n: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
+    """One 64-bit key per text and band of so many rows, from set elements f (weights 1/inv) of texts with n elements; n > 0."""
     start = np.cumsum(n) - n
-    out = np.empty((len(n), BANDS), dtype=np.uint64)
+    out = np.empty((len(n), bands), dtype=np.uint64)
     f, inv = (f >> U(32)).astype(np.uint32), inv.astype(np.uint32)
     h = np.empty_like(f)
-    for b in range(BANDS):
+    for b in range(bands):
         key = np.full(len(n), U(b + 1))
-        for r in range(ROWS):
-            k = b * ROWS + r
+        for r in range(rows):
+            k = b * rows + r
             np.bitwise_xor(f, _B[k], out=h)
             np.multiply(h, _A[k], out=h)
             np.right_shift(h, np.uint32(6), out=h)

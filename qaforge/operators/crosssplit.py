@@ -10,8 +10,9 @@ is then compared exactly in both fields.
 What is indexed is the text of the longer field that tells records apart: the context, or the question where there is no
 context. The other field must be alike as well and is compared exactly.
 
-Not every training text is sent to every shard, which would be quadratic: ``routes`` sends it to the shards that hold a text
-with a common band key (see ``neardup``). The route only names shards; which records match is decided by the index.
+Not every training text is sent to every shard, which would be quadratic: it is routed to the shards whose texts have at
+least ROUTE_HITS band keys (see ``neardup``) in common with it. A route only names a shard; which records match is decided by
+the index.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ STEP = 8  # one of so many suffix positions is kept
 SEEDED = 0.1  # share of a text's tiles that a text must hold to be looked at
 MATCHED = 0.15  # share of the shorter text that maximal matches must cover
 SHARD_CHARACTERS = 800_000
+ROUTE_BANDS, ROUTE_HITS = 36, 2  # a text goes to a shard with so many of its keys; texts of likeness 0.85 miss that with 1 %, of 0.9 with 1e-4
 STREAM_ROWS = 20_000  # training texts that one task sends through a shard
 STREAM_WORDS = 20_000  # words of training texts searched at once
 
@@ -289,14 +291,15 @@ def overlaps(
     repeat an id count once. NULL and empty texts are alike. An empty df, or one without a split, gives no rows.
     """
     src = df.withColumn("side", split_side(F.col(split))).where("side is not null")
-    fp = neardup.records(src, q, c, id_col, row_col, ["side", *(extra or [])], "side", simhash=False)
+    fp = neardup.records(src, q, c, id_col, row_col, ["side", *(extra or [])], "side", simhash=False, bands=ROUTE_BANDS)
     members = fp.groupBy("id").agg(F.min_by(F.struct("cls", "side", *(extra or [])), "row").alias("x")).select("id", "x.*")
     n_chars = src.where("side <> 'train'").agg(F.sum(F.length(q) + F.coalesce(F.length(c), F.lit(0))).alias("n")).first()["n"] or 0
     shards = max(1, -(-int(n_chars) // shard_characters))
     shard_of = F.pmod(F.xxhash64(F.lit(7), "cls"), F.lit(shards)).cast("int")
     keyed = fp.where(F.size("bands") > 0).select("cls", (F.col("side") == "train").alias("train"), F.explode("bands").alias("key"))
     ev = keyed.where("not train").select("key", shard_of.alias("shard")).distinct()
-    routes = materialise(keyed.where("train").select("key", "cls").join(ev, "key").select("shard", "cls").distinct())
+    hits = keyed.where("train").select("key", "cls").join(ev, "key").groupBy("shard", "cls").agg(F.countDistinct("key").alias("hits"))
+    routes = materialise(hits.where(F.col("hits") >= ROUTE_HITS).select("shard", "cls"))
     salts = routes.groupBy("shard").agg(F.ceil(F.count("*") / stream_rows).cast("int").alias("salts"))
     first = fp.groupBy("cls", (F.col("side") == "train").alias("train")).agg(F.min("row").alias("row"))
     texts = src.where(F.col(id_col).isNotNull()).select(F.col(row_col).cast("bigint").alias("row"), F.col(q).alias("q"), F.col(c).alias("c"))

@@ -29,13 +29,17 @@ def build_session(app: str = "qaforge", cores: int | str = "*", **conf: str) ->
     return spark
 
 
+_own_dir: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = "file://" + tempfile.mkdtemp(prefix="qaforge_")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d
+    if d:
+        return d
+    if not _own_dir:
+        _own_dir.append("file://" + tempfile.mkdtemp(prefix="qaforge_"))
+    return _own_dir[0]
 
 
 def materialise(df: DataFrame) -> DataFrame:
