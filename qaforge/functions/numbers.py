@@ -23,15 +23,14 @@ def _double(t: Column) -> Column:
 
 def _with_percent(token: Column) -> Column:
     """[value] of a token, with value / 100 as well if it ends in %."""
-    pct = F.endswith(token, F.lit("%"))
-    v = _double(F.regexp_replace(token, "%$", ""))
-    return F.when(v.isNull(), none()).when(pct, F.array(v, v / 100.0)).otherwise(F.array(v))
+    got = text.record(v=_double(F.regexp_replace(token, "%$", "")), pct=F.endswith(token, F.lit("%")))
+    return text.let(got, lambda g: F.when(g["v"].isNull(), none()).when(g["pct"], F.array(g["v"], g["v"] / 100.0)).otherwise(F.array(g["v"])))
 
 
 def whole_number(c: Column) -> Column:
     """Candidates of a text that is one number, perhaps a percentage, and nothing else."""
-    t = text.drop_chars(text.strip(c), "$,")
-    return F.when(t.rlike(r"^[-+]?[0-9]+(?:\.[0-9]+)?%?$"), _with_percent(t)).otherwise(none())
+    number = r"^[-+]?[0-9]+(?:\.[0-9]+)?%?$"
+    return text.let(text.drop_chars(text.strip(c), "$,"), lambda t: F.when(t.rlike(number), _with_percent(t)).otherwise(none()))
 
 
 def number_tokens(c: Column) -> Column:
@@ -40,8 +39,8 @@ def number_tokens(c: Column) -> Column:
 
 def any_number(c: Column) -> Column:
     """whole_number, else the candidates of all number tokens."""
-    direct = whole_number(text.answer_text(c))
-    return F.when(F.size(direct) > 0, direct).otherwise(F.flatten(F.transform(number_tokens(text.answer_text(c)), _with_percent)))
+    tokens = lambda t: F.flatten(F.transform(number_tokens(t), _with_percent))
+    return text.let(text.answer_text(c), lambda t: text.let(whole_number(t), lambda d: F.when(F.size(d) > 0, d).otherwise(tokens(t))))
 
 
 _UNITS = r"million|millions|billion|billions|thousand|thousands|usd|dollars|dollar"
@@ -58,17 +57,17 @@ def last_number(c: Column, expects_percent: Column) -> Column:
     percentage is expected."""
     t = numeric_surface(c)
     token = F.try_element_at(F.regexp_extract_all(t, F.lit(r"([-+]?[0-9]+(?:\.[0-9]+)?%?)"), F.lit(1)), F.lit(-1))
-    got = _with_percent(F.coalesce(token, F.lit("")))
+    return text.let(_with_percent(F.coalesce(token, F.lit(""))), lambda g: _share(g, expects_percent))
+
+
+def _share(got: Column, expects_percent: Column) -> Column:
     v = F.get(got, F.lit(0))
     return F.when((F.size(got) == 1) & expects_percent & (F.abs(v) <= 1), F.array(v, v * 100.0)).otherwise(got)
 
 
 def turn_number(c: Column, expects_percent: Column) -> Column:
     """Candidates of a normalised answer of a dialogue turn, which must be one number."""
-    t = text.strip(c)
-    got = _with_percent(t)
-    v = F.get(got, F.lit(0))
-    return F.when((F.size(got) == 1) & expects_percent & (F.abs(v) <= 1), F.array_distinct(F.array(v, v * 100.0))).otherwise(F.array_distinct(got))
+    return F.array_distinct(text.let(_with_percent(text.strip(c)), lambda g: _share(g, expects_percent)))
 
 
 def bracketed_numbers(c: Column) -> Column:
@@ -119,12 +118,11 @@ def is_yes_no_question(question: Column) -> Column:
 def scaled(candidates: Column, context: Column, percent: Column) -> Column:
     """Candidates with their multiples by the scale that the context states, unless a percentage is expected."""
     low = F.lower(text.filled(context))
-    million, billion = F.contains(low, F.lit("in millions")), F.contains(low, F.lit("in billions"))
-    more = F.concat(
-        F.when(million, F.transform(candidates, lambda v: v * 1e6)).otherwise(none()),
-        F.when(billion, F.transform(F.concat(candidates, F.when(million, F.transform(candidates, lambda v: v * 1e6)).otherwise(none())), lambda v: v * 1e9)).otherwise(none()),
-    )
-    return F.when(percent, candidates).otherwise(F.array_union(candidates, more))
+
+    def by(found: Column, words: str, factor: float) -> Column:
+        return text.let(found, lambda x: F.when(F.contains(low, F.lit(words)), F.array_union(x, F.transform(x, lambda v: v * factor))).otherwise(x))
+
+    return text.let(candidates, lambda c: F.when(percent, c).otherwise(by(by(c, "in millions", 1e6), "in billions", 1e9)))
 
 
 def binary(c: Column) -> Column:

@@ -28,27 +28,28 @@ def _letter_index(letter: Column) -> Column:
 def choice_index(answer: Column, options: Column) -> Column:
     """Index from 0 of the option an answer selects, or NULL (C14): a stand-alone letter a to f anywhere, a 1-based number,
     an option's text, or a text that holds that of an option of at least 4 characters."""
-    t = T.strip(answer)
     n = F.size(F.coalesce(options, F.array().cast("array<string>")))
-    letter = F.regexp_extract(t, r"(?i)(?:^|[^\p{L}\p{N}_])([a-f])(?:$|[^\p{L}\p{N}_])", 1)
-    number = F.when(t.rlike("^[0-9]{1,6}$"), t.cast("int") - 1)
-    norm = T.choice_text(t)
-    named = F.transform(options, T.choice_text)
-    hit = F.transform(named, lambda o: ((norm != "") & (o == norm)) | ((o != "") & (F.length(o) >= 4) & F.contains(norm, o)))
-    by_text = F.array_position(hit, F.lit(True)) - 1
-    return (
-        F.when(t == "", F.lit(None))
-        .when((letter != "") & (_letter_index(letter) < n), _letter_index(letter))
-        .when((number >= 0) & (number < n), number)
-        .when(by_text >= 0, by_text)
-        .cast("int")
-    )
+
+    def index(s: Column) -> Column:
+        at = _letter_index(s["letter"])
+        norm = s["norm"]
+        hit = F.transform(options, lambda o: T.let(T.choice_text(o), lambda x: ((norm != "") & (x == norm)) | ((F.length(x) >= 4) & F.contains(norm, x))))
+        by_text = F.array_position(hit, F.lit(True)) - 1
+        return (
+            F.when((s["letter"] != "") & (at < n), at).when((s["number"] >= 0) & (s["number"] < n), s["number"])
+            .otherwise(T.let(by_text, lambda b: F.when(b >= 0, b))).cast("int")
+        )
+
+    def parts(t: Column) -> Column:
+        letter = F.regexp_extract(t, r"(?i)(?:^|[^\p{L}\p{N}_])([a-f])(?:$|[^\p{L}\p{N}_])", 1)
+        return T.record(letter=letter, number=F.when(t.rlike("^[0-9]{1,6}$"), t.cast("int") - 1), norm=T.choice_text(t))
+
+    return T.let(T.strip(answer), lambda t: F.when(t != "", T.let(parts(t), index)))
 
 
 def yes_no(c: Column) -> Column:
     """yes, no or '' for a text that is one word for either."""
-    t = T.answer_text(c)
-    return F.when(t.isin(*YES), "yes").when(t.isin(*NO), "no").otherwise("")
+    return T.let(T.answer_text(c), lambda t: F.when(t.isin(*YES), "yes").when(t.isin(*NO), "no").otherwise(""))
 
 
 def first_yes_no(c: Column) -> Column:
@@ -76,24 +77,24 @@ def bare_option(c: Column) -> Column:
 def exam_letter(answer: Column, letters: Column) -> Column:
     """Letter A to D that an exam answer selects, or '' (C16): by form, else by the one option with its text, else by the one
     option whose text it holds."""
-    t = F.upper(T.exam_text(answer))
-    lead = F.regexp_extract(t, r"^(?:答案|选项|故选|应选|选择|最终答案)[是为: ]*([A-D])", 1)
-    plain = F.regexp_extract(t, r"^(?:选|选项)?([A-D])(?:选项)?$", 1)
-    norm = bare_option(answer)
-    entries = F.map_entries(letters)
-    same = F.filter(entries, lambda e: bare_option(e["value"]) == norm)
-    held = F.filter(entries, lambda e: (bare_option(e["value"]) != "") & F.contains(norm, bare_option(e["value"])))
-    return (
-        F.when(t == "", "").when(lead != "", lead).when(plain != "", plain)
-        .when(F.size(same) == 1, F.get(same, F.lit(0))["key"]).when(F.size(held) == 1, F.get(held, F.lit(0))["key"]).otherwise("")
-    )
+    def letter(s: Column) -> Column:
+        bare = F.transform(F.map_entries(letters), lambda e: T.record(key=e["key"], value=bare_option(e["value"])))
+        same = lambda es: F.filter(es, lambda e: e["value"] == s["norm"])
+        held = lambda es: F.filter(es, lambda e: (e["value"] != "") & F.contains(s["norm"], e["value"]))
+        only = lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))["key"])
+        by_text = T.let(bare, lambda es: F.coalesce(T.let(same(es), only), T.let(held(es), only), F.lit("")))
+        return F.when(s["t"] == "", "").when(s["lead"] != "", s["lead"]).when(s["plain"] != "", s["plain"]).otherwise(by_text)
+
+    def parts(t: Column) -> Column:
+        lead = F.regexp_extract(t, r"^(?:答案|选项|故选|应选|选择|最终答案)[是为: ]*([A-D])", 1)
+        return T.record(t=t, lead=lead, plain=F.regexp_extract(t, r"^(?:选|选项)?([A-D])(?:选项)?$", 1), norm=bare_option(answer))
+
+    return T.let(F.upper(T.exam_text(answer)), lambda t: T.let(parts(t), letter))
 
 
 def exam_true_false(c: Column) -> Column:
-    t = T.exam_text(c)
-    return (
-        F.when(t.isin(*EXAM_TRUE) | t.rlike("^(?:判断|答案)为正确"), "true").when(t.isin(*EXAM_FALSE) | t.rlike("^(?:判断|答案)为错误"), "false").otherwise("")
-    )
+    said = lambda t: F.when(t.isin(*EXAM_TRUE) | t.rlike("^(?:判断|答案)为正确"), "true").when(t.isin(*EXAM_FALSE) | t.rlike("^(?:判断|答案)为错误"), "false").otherwise("")
+    return T.let(T.exam_text(c), said)
 
 
 def stated_option(answer: Column, options: Column) -> Column:
@@ -122,36 +123,39 @@ def reasoned_option(reasoning: Column, options: Column) -> Column:
 
 def sentiment(c: Column) -> Column:
     """negative, neutral or positive: the text itself, else the first of them (in this order) that it holds as a word."""
-    t = T.label_text(c)
-    out = F.when(t.isin(*SENTIMENTS), t)
-    for s in SENTIMENTS:
-        out = out.when(T.word(t, s), s)
-    return out.otherwise("")
+    def label(t: Column) -> Column:
+        out = F.when(t.isin(*SENTIMENTS), t)
+        for s in SENTIMENTS:
+            out = out.when(T.word(t, s), s)
+        return out.otherwise("")
+
+    return T.let(T.label_text(c), label)
 
 
 def reasoned_sentiment(c: Column) -> Column:
     """Label that a reasoning names by one of four phrases, or '' (C19)."""
-    t = T.label_text(c)
     labels = "(negative|neutral|positive)"
     phrases = (f"sentiment (?:is|should be|would be|therefore is|thus is) {labels}", f"classif(?:y|ied) as {labels}", f"label(?: is| should be)? {labels}", f"overall(?: sentiment)?[: ]+{labels}")
-    return F.coalesce(*(F.nullif(F.regexp_extract(t, p, 1), F.lit("")) for p in phrases), F.lit(""))
+    return T.let(T.label_text(c), lambda t: F.coalesce(*(F.nullif(F.regexp_extract(t, p, 1), F.lit("")) for p in phrases), F.lit("")))
+
+
+def _first_held(table: tuple[tuple[str, str], ...]):
+    def value(t: Column) -> Column:
+        out = F.when(F.contains(t, F.lit(table[0][0])), table[0][1])
+        for k, v in table[1:]:
+            out = out.when(F.contains(t, F.lit(k)), v)
+        return out.otherwise(t)
+
+    return value
 
 
 def sentiment_zh(c: Column) -> Column:
     """Label that a short answer holds, by the first entry of the table, else the answer itself."""
-    t = T.short_answer(c)
-    out = F.when(F.contains(t, F.lit(SENTIMENT_ZH[0][0])), SENTIMENT_ZH[0][1])
-    for k, v in SENTIMENT_ZH[1:]:
-        out = out.when(F.contains(t, F.lit(k)), v)
-    return out.otherwise(t)
+    return T.let(T.short_answer(c), _first_held(SENTIMENT_ZH))
 
 
 def category_zh(c: Column) -> Column:
-    t = T.short_answer(c)
-    out = F.when(F.contains(t, F.lit(CATEGORIES_ZH[0])), CATEGORIES_ZH[0])
-    for k in CATEGORIES_ZH[1:]:
-        out = out.when(F.contains(t, F.lit(k)), k)
-    return out.otherwise(t)
+    return T.let(T.short_answer(c), _first_held(tuple((k, k) for k in CATEGORIES_ZH)))
 
 
 def relabelled(options: Column) -> Column:

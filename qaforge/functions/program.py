@@ -12,6 +12,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from . import text as T
 
@@ -102,7 +103,7 @@ def evaluate(program: str | None) -> tuple[bool, float | None, str | None, str]:
     return (True, None, v, "") if isinstance(v, str) else (True, float(v), None, "")
 
 
-_RESULT = "executable boolean, num double, txt string, error string"
+_RESULT = StructType([StructField("executable", BooleanType()), StructField("num", DoubleType()), StructField("txt", StringType()), StructField("error", StringType())])
 
 
 @F.pandas_udf(_RESULT)

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often the body refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def record(**cols: Column) -> Column:
+    """STRUCT of named columns, for ``let``."""
+    return F.struct(*(c.alias(k) for k, c in cols.items()))
+
+
 def filled(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
@@ -136,9 +147,8 @@ def word(c: Column, alternatives: str) -> Column:
 
 def unit_markers(c: Column) -> Column:
     """Sorted array of the scale words in c: billion, million, thousand."""
-    t = answer_text(c)
     marks = (("billion", "billion|bn"), ("million", "million|mn|mm"), ("thousand", "thousand|k"))
-    return F.filter(F.array(*(F.when(word(t, p), F.lit(k)) for k, p in marks)), lambda x: x.isNotNull())
+    return let(answer_text(c), lambda t: F.array_compact(F.array(*(F.when(word(t, p), F.lit(k)) for k, p in marks))))
 
 
 def contains_any(c: Column, patterns: tuple[str, ...] | list[str]) -> Column:
@@ -155,10 +165,8 @@ ABSTAIN_INSTRUCTION = ("不能发现具体信息", "无法确定", "无法判断
 
 def abstains(c: Column, kind: str = "numeric") -> Column:
     """Whether an answer abstains (C22); kind: numeric, sentiment, exam, exam_analysis or instruction."""
-    if kind == "exam":
-        return contains_any(strip(c), ABSTAIN_EXAM)
-    if kind == "instruction":
-        return contains_any(short_answer(c), ABSTAIN_INSTRUCTION)
-    if kind == "exam_analysis":
-        return contains_any(F.lower(strip(c)), ABSTAIN_EXAM_ANALYSIS)
-    return contains_any(answer_text(c) if kind == "numeric" else label_text(c), ABSTAIN_NUMERIC if kind == "numeric" else ABSTAIN_SENTIMENT)
+    form, phrases = {
+        "exam": (strip, ABSTAIN_EXAM), "instruction": (short_answer, ABSTAIN_INSTRUCTION), "exam_analysis": (lambda x: F.lower(strip(x)), ABSTAIN_EXAM_ANALYSIS),
+        "numeric": (answer_text, ABSTAIN_NUMERIC), "sentiment": (label_text, ABSTAIN_SENTIMENT),
+    }[kind]
+    return let(form(c), lambda t: contains_any(t, phrases))

@@ -17,22 +17,18 @@ NUMERIC_CATEGORIES = {
 }
 
 
+def _category(kind: Column) -> Column:
+    return F.try_element_at(F.create_map(*(F.lit(x) for kv in NUMERIC_CATEGORIES.items() for x in kv)), kind)
+
+
 def numeric(answer: Column, reference: Column) -> Column:
     """Category of a table-text answer, NULL where it matches (B1)."""
-    kind = C.mismatch(answer, reference)
-    out = F.lit(None).cast("string")
-    for k, v in NUMERIC_CATEGORIES.items():
-        out = F.when(kind == k, v).otherwise(out)
-    return out
+    return _category(C.mismatch(answer, reference))
 
 
 def dialogue(question: Column, answer: Column, reference: Column) -> Column:
     """Category of a dialogue answer, NULL where it matches strictly (B2)."""
-    kind = C.turn_match(question, answer, reference)["mismatch"]
-    out = F.lit(None).cast("string")
-    for k, v in NUMERIC_CATEGORIES.items():
-        out = F.when(kind == k, v).otherwise(out)
-    return out
+    return _category(C.turn_match(question, answer, reference)["mismatch"])
 
 
 def table_question(answer: Column, reference: Column, reasoning: Column, parse_status: Column, answer_type: Column, scale: Column) -> Column:
@@ -53,36 +49,36 @@ def table_question(answer: Column, reference: Column, reasoning: Column, parse_s
 
 def exam(answer: Column, reference: Column, reasoning: Column, options: Column, parse_status: Column) -> Column:
     """Category of an exam answer, NULL where it is the reference's letter."""
-    s, why = O.stated_option(answer, options), O.reasoned_option(reasoning, options)
-    letter, exact = s["letter"], s["kind"] == "exact_letter"
-    right = letter == F.upper(T.strip(reference))
-    return (
-        F.when(F.coalesce(parse_status, F.lit("")) != "success", "parse_error")
-        .when(T.abstains(answer, "exam_analysis"), "abstain_error")
-        .when((letter == "") & (T.strip(answer) != ""), "answer_text_mismatch")
-        .when(letter == "", "unknown")
-        .when(right & ~exact, "option_format_error")
-        .when((why != "") & (why != letter), "reasoning_answer_inconsistent")
-        .when(~right & exact, "wrong_option_selection")
-        .when(~right, "answer_text_mismatch")
-    )
+    def category(f: Column) -> Column:
+        letter, why, exact = f["s"]["letter"], f["why"], f["s"]["kind"] == "exact_letter"
+        right = letter == F.upper(T.strip(reference))
+        return (
+            F.when(F.coalesce(parse_status, F.lit("")) != "success", "parse_error").when(T.abstains(answer, "exam_analysis"), "abstain_error")
+            .when((letter == "") & (T.strip(answer) != ""), "answer_text_mismatch").when(letter == "", "unknown").when(right & ~exact, "option_format_error")
+            .when((why != "") & (why != letter), "reasoning_answer_inconsistent").when(~right & exact, "wrong_option_selection").when(~right, "answer_text_mismatch")
+        )
+
+    return T.let(T.record(s=O.stated_option(answer, options), why=O.reasoned_option(reasoning, options)), category)
 
 
 def sentiment(answer: Column, reference: Column, reasoning: Column) -> Column:
     """Category of a sentiment answer, 'correct' included."""
-    a, r, why = O.sentiment(answer), F.lower(T.strip(reference)), O.reasoned_sentiment(reasoning)
-    poles = a.isin("negative", "positive") & r.isin("negative", "positive")
-    return (
-        F.when(T.strip(answer) == "", "parse_error").when(T.abstains(answer, "sentiment"), "abstain_error").when(a == "", "label_format_error")
-        .when((why != "") & (why != a), "reasoning_answer_inconsistent").when(a == r, "correct").when(poles, "polarity_flip")
-        .when((a == "neutral") | (r == "neutral"), "neutral_polarity_confusion").otherwise("wrong_label_selection")
-    )
+    def category(f: Column) -> Column:
+        a, r, why = f["a"], f["r"], f["why"]
+        poles = a.isin("negative", "positive") & r.isin("negative", "positive")
+        return (
+            F.when(T.strip(answer) == "", "parse_error").when(T.abstains(answer, "sentiment"), "abstain_error").when(a == "", "label_format_error")
+            .when((why != "") & (why != a), "reasoning_answer_inconsistent").when(a == r, "correct").when(poles, "polarity_flip")
+            .when((a == "neutral") | (r == "neutral"), "neutral_polarity_confusion").otherwise("wrong_label_selection")
+        )
+
+    return T.let(T.record(a=O.sentiment(answer), r=F.lower(T.strip(reference)), why=O.reasoned_sentiment(reasoning)), category)
 
 
 def confusion(df: DataFrame, gold: Column, pred: Column) -> DataFrame:
     """(gold, negative, neutral, positive, other): counts of predicted labels per gold label."""
     p = F.when(pred.isin(*O.SENTIMENTS), pred).otherwise("other")
-    return df.select(gold.alias("gold"), p.alias("_p")).groupBy("gold").pivot("_p", [*O.SENTIMENTS, "other"]).agg(F.count("*")).fillna(0)
+    return df.select(gold.alias("gold"), p.alias("_p")).groupBy("gold").pivot("_p", [*O.SENTIMENTS, "other"]).agg(F.count(F.lit(1))).fillna(0)
 
 
 def counts(df: DataFrame, category: str = "category", by: tuple[str, ...] = ()) -> DataFrame:

@@ -13,13 +13,15 @@ from ..functions import text as T
 
 
 def _verdict(score: Column, mismatch: Column, reason: Column) -> Column:
-    known = score.isNotNull()
-    return F.struct(
-        score.cast("int").alias("score"),
-        F.when(score == 1, "rule_match").when(known, "incorrect").alias("judgment"),
-        F.when(score == 1, "none").when(known, mismatch).alias("mismatch_type"),
-        F.when(known, reason).alias("reason"),
-        F.when(known, "rule").alias("scoring_mode"),
+    return T.let(
+        T.record(score=score.cast("int"), kind=mismatch, why=reason),
+        lambda v: F.struct(
+            v["score"].alias("score"),
+            F.when(v["score"] == 1, "rule_match").when(v["score"].isNotNull(), "incorrect").alias("judgment"),
+            F.when(v["score"] == 1, "none").when(v["score"].isNotNull(), v["kind"]).alias("mismatch_type"),
+            F.when(v["score"].isNotNull(), v["why"]).alias("reason"),
+            F.when(v["score"].isNotNull(), "rule").alias("scoring_mode"),
+        ),
     )
 
 
@@ -30,64 +32,79 @@ def _same(a: Column, b: Column) -> Column:
 def generic(question: Column, options: Column, answer: Column, reference: Column) -> Column:
     """STRUCT<score, method> of the first stage (J1): options by index, judgment questions by yes and no, else not applicable."""
     n = F.size(F.coalesce(options, F.array().cast("array<string>")))
-    a, r = O.choice_index(answer, options), O.choice_index(reference, options)
-    x, y = O.yes_no(answer), O.yes_no(reference)
-    judged = O.is_judgment(question, reference)
-    score = F.when((n > 0) & a.isNotNull() & r.isNotNull(), _same(a, r)).when((n == 0) & judged & (x != "") & (y != ""), _same(x, y))
-    method = F.when(n > 0, "rule_mcq").when(judged, "rule_judgment").otherwise("rule_not_applicable")
-    return F.struct(score.alias("score"), F.when(score.isNull() & (method != "rule_not_applicable"), F.concat(method, F.lit("_unresolved"))).otherwise(method).alias("method"))
+
+    def verdict(s: Column) -> Column:
+        score = F.when(n > 0, F.when(s["a"].isNotNull() & s["r"].isNotNull(), _same(s["a"], s["r"]))).when(s["judged"] & (s["x"] != "") & (s["y"] != ""), _same(s["x"], s["y"]))
+        method = F.when(n > 0, "rule_mcq").when(s["judged"], "rule_judgment").otherwise("rule_not_applicable")
+        return T.let(
+            T.record(score=score, method=method),
+            lambda v: T.record(score=v["score"], method=F.when(v["score"].isNull() & (v["method"] != "rule_not_applicable"), F.concat(v["method"], F.lit("_unresolved"))).otherwise(v["method"])),
+        )
+
+    return T.let(T.record(a=O.choice_index(answer, options), r=O.choice_index(reference, options), x=O.yes_no(answer), y=O.yes_no(reference), judged=O.is_judgment(question, reference)), verdict)
 
 
 def exam(options: Column, answer: Column, reference: Column) -> Column:
     """Exam answers by option letter, else by true or false."""
+
+    def verdict(s: Column) -> Column:
+        a, r, x, y, empty, shy = (s[k] for k in ("a", "r", "x", "y", "empty", "shy"))
+        score = F.when(s["none"], F.lit(None)).when(empty | shy, 0).when(r != "", F.when(a != "", _same(a, r))).when(y != "", F.when(x != "", _same(x, y)))
+        kind = F.when(empty, "format_error").when(shy, "abstain_error").when(r != "", "option_error").otherwise("judgment_error")
+        why = F.when(empty, "empty answer").when(shy, "abstains").when(r != "", F.concat_ws(" against ", a, r)).otherwise(F.concat_ws(" against ", x, y))
+        return _verdict(score, kind, why)
+
     letters = O.option_letters(options)
-    a, r = O.exam_letter(answer, letters), O.exam_letter(reference, letters)
-    x, y = O.exam_true_false(answer), O.exam_true_false(reference)
-    empty, shy = T.strip(answer) == "", T.abstains(answer, "exam")
-    score = (
-        F.when(T.strip(reference) == "", F.lit(None)).when(empty | shy, 0).when(r != "", F.when(a != "", _same(a, r)))
-        .when(y != "", F.when(x != "", _same(x, y)))
+    facts = lambda m: T.record(
+        a=O.exam_letter(answer, m), r=O.exam_letter(reference, m), x=O.exam_true_false(answer), y=O.exam_true_false(reference), empty=T.strip(answer) == "", none=T.strip(reference) == "",
+        shy=T.abstains(answer, "exam"),
     )
-    kind = F.when(empty, "format_error").when(shy, "abstain_error").when(r != "", "option_error").otherwise("judgment_error")
-    why = F.when(empty, "empty answer").when(shy, "abstains").when(r != "", F.concat_ws(" against ", a, r)).otherwise(F.concat_ws(" against ", x, y))
-    return _verdict(score, kind, why)
+    return T.let(letters, lambda m: T.let(facts(m), verdict))
 
 
 def instruction(task: Column, question: Column, answer: Column, reference: Column) -> Column:
     """Short answers to instructions (J3): labels by task, abstention on both sides, else one text within the other."""
-    written = (task == "FINNA") | T.filled(question).rlike("生成标题|摘要|简述|总结")
-    eligible = ~F.coalesce(written, F.lit(False)) & (F.length(T.strip(reference)) <= 64)
-    empty = (T.strip(answer) == "") | (T.strip(reference) == "")
-    a, r = T.short_answer(answer), T.short_answer(reference)
-    shy_a, shy_r = T.abstains(answer, "instruction"), T.abstains(reference, "instruction")
-    within = (a != "") & (r != "") & (F.contains(a, r) | F.contains(r, a))
     t = F.coalesce(task, F.lit(""))
-    score = F.when(eligible, F.when(empty, 0).when(t == "FINFE", _same(O.sentiment_zh(answer), O.sentiment_zh(reference))).when(t == "FINNL", _same(O.category_zh(answer), O.category_zh(reference))).when(shy_a | shy_r, (shy_a & shy_r).cast("int")).otherwise(within.cast("int")))
-    kind = (
-        F.when(empty, "incompleteness").when(t == "FINFE", "sentiment_error").when(t == "FINNL", "category_error").when(shy_a | shy_r, "abstain_error")
-        .when(t == "FINRE", "relation_error").when(t == "FINCQA", "event_error").when(t.isin("FINQA", "FINESE"), "entity_error").otherwise("label_error")
+    written = (t == "FINNA") | T.filled(question).rlike("生成标题|摘要|简述|总结")
+
+    def verdict(s: Column) -> Column:
+        a, r, shy_a, shy_r, empty = (s[k] for k in ("a", "r", "shy_a", "shy_r", "empty"))
+        within = (a != "") & (r != "") & (F.contains(a, r) | F.contains(r, a))
+        by_task = F.when(t == "FINFE", _same(O.sentiment_zh(answer), O.sentiment_zh(reference))).when(t == "FINNL", _same(O.category_zh(answer), O.category_zh(reference)))
+        score = F.when(s["eligible"], F.when(empty, 0).when(t.isin("FINFE", "FINNL"), by_task).when(shy_a | shy_r, (shy_a & shy_r).cast("int")).otherwise(within.cast("int")))
+        kind = (
+            F.when(empty, "incompleteness").when(t == "FINFE", "sentiment_error").when(t == "FINNL", "category_error").when(shy_a | shy_r, "abstain_error")
+            .when(t == "FINRE", "relation_error").when(t == "FINCQA", "event_error").when(t.isin("FINQA", "FINESE"), "entity_error").otherwise("label_error")
+        )
+        return _verdict(score, kind, F.concat_ws(" against ", a, r))
+
+    facts = T.record(
+        a=T.short_answer(answer), r=T.short_answer(reference), shy_a=T.abstains(answer, "instruction"), shy_r=T.abstains(reference, "instruction"),
+        empty=(T.strip(answer) == "") | (T.strip(reference) == ""), eligible=~written & (F.length(T.strip(reference)) <= 64),
     )
-    return _verdict(score, kind, F.concat_ws(" against ", a, r))
+    return T.let(facts, verdict)
 
 
 def open_question(question: Column, answer: Column, reference: Column) -> Column:
     """Yes or no where both sides say one; made multiple-choice items by equality."""
-    q, r = T.answer_text(question), T.answer_text(reference)
-    x, y = O.first_yes_no(answer), O.first_yes_no(reference)
-    asks = (y != "") | q.rlike("^(?:is|are|do|does|did|can|should|will|was|were|could) ")
-    item = F.contains(q, F.lit("multiple choice")) | F.lower(T.filled(reference)).rlike(r"(?m)^a\.")
-    a = T.answer_text(answer)
-    settled = asks & (x != "") & (y != "")
-    score = F.when(settled, _same(x, y)).when(item & (a != "") & (r != ""), _same(a, r))
-    return _verdict(score, F.when(settled, "yesno_error").otherwise("mcq_error"), F.when(settled, F.concat_ws(" against ", x, y)).otherwise("item compared as text"))
+
+    def verdict(s: Column) -> Column:
+        settled = ((s["y"] != "") | s["q"].rlike("^(?:is|are|do|does|did|can|should|will|was|were|could) ")) & (s["x"] != "") & (s["y"] != "")
+        item = F.contains(s["q"], F.lit("multiple choice")) | F.lower(T.filled(reference)).rlike(r"(?m)^a\.")
+        score = F.when(settled, _same(s["x"], s["y"])).when(item & (s["a"] != "") & (s["r"] != ""), _same(s["a"], s["r"]))
+        return _verdict(score, F.when(settled, "yesno_error").otherwise("mcq_error"), F.when(settled, F.concat_ws(" against ", s["x"], s["y"])).otherwise("item compared as text"))
+
+    return T.let(T.record(q=T.answer_text(question), a=T.answer_text(answer), r=T.answer_text(reference), x=O.first_yes_no(answer), y=O.first_yes_no(reference)), verdict)
 
 
 def sentiment(answer: Column, reference: Column) -> Column:
     """Sentiment labels."""
-    a, r = O.sentiment(answer), O.sentiment(reference)
-    empty, shy = T.strip(answer) == "", T.abstains(answer, "sentiment")
-    score = F.when(empty | shy, 0).when((a != "") & (r != ""), _same(a, r))
-    return _verdict(score, F.when(empty, "format_error").when(shy, "abstain_error").otherwise("label_error"), F.concat_ws(" against ", a, r))
+
+    def verdict(s: Column) -> Column:
+        score = F.when(s["empty"] | s["shy"], 0).when((s["a"] != "") & (s["r"] != ""), _same(s["a"], s["r"]))
+        return _verdict(score, F.when(s["empty"], "format_error").when(s["shy"], "abstain_error").otherwise("label_error"), F.concat_ws(" against ", s["a"], s["r"]))
+
+    return T.let(T.record(a=O.sentiment(answer), r=O.sentiment(reference), empty=T.strip(answer) == "", shy=T.abstains(answer, "sentiment")), verdict)
 
 
 def by_source(df_task: Column, source: Column, question: Column, options: Column, answer: Column, reference: Column) -> Column:

@@ -12,20 +12,20 @@ from ..functions import text as T
 
 def reasons(question: Column, answer: Column, reasoning: Column, reference: Column) -> Column:
     """All reasons to repair an answer, in a fixed order."""
-    m = C.turn_match(question, answer, reference)
-    a, why = C.turn_answer(answer), C.turn_answer(T.conclusion(reasoning))
-    pct = N.expects_percent(question)
     numeric = N.wants_number(question) & ~N.is_yes_no_question(question)
-    differs = (a != "") & (why != "") & (a != why) & ~N.any_close(N.turn_number(a, pct), N.turn_number(why, pct), 0.01, 0.005)
-    return F.array_compact(
-        F.array(
-            F.when(T.strip(answer) == "", "empty_answer"),
-            F.when(m["mismatch"] == "rounding_or_format", "strict_fail_lenient_pass"),
-            F.when(T.abstains(answer), "abstain_answer"),
-            F.when(numeric & (F.size(N.turn_number(a, pct)) == 0), "numeric_not_normalizable"),
-            F.when(differs, "reasoning_answer_inconsistent"),
-        )
-    )
+
+    def found(s: Column) -> Column:
+        a, why, pct = s["a"], s["why"], s["pct"]
+        differs = (a != "") & (why != "") & (a != why) & ~N.any_close(N.turn_number(a, pct), N.turn_number(why, pct), 0.01, 0.005)
+        return F.array_compact(
+            F.array(
+                F.when(T.strip(answer) == "", "empty_answer"), F.when(s["m"]["mismatch"] == "rounding_or_format", "strict_fail_lenient_pass"), F.when(T.abstains(answer), "abstain_answer"),
+                F.when(numeric & (F.size(N.turn_number(a, pct)) == 0), "numeric_not_normalizable"), F.when(differs, "reasoning_answer_inconsistent"),
+            )
+        )
+
+    facts = T.record(m=C.turn_match(question, answer, reference), a=C.turn_answer(answer), why=C.turn_answer(T.conclusion(reasoning)), pct=N.expects_percent(question))
+    return T.let(facts, found)
 
 
 def route(df: DataFrame, max_repairs: int | None = None, order: list[str] | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Parsing of model replies into reasoning and answer, as Column functions.
+"""Parsing of model replies into reasoning and answer, mostly as Column functions.
 
 A reply parser is a row of *extractors*, each a Column that is '' where it finds nothing; the first that finds something
 counts. Nothing leaves the JVM.
@@ -6,7 +6,7 @@ counts. Nothing leaves the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
@@ -79,12 +79,16 @@ def chosen_option(c: Column, options: Column) -> Column:
 
 
 def last_line(c: Column) -> Column:
-    """Last line of at least 3 characters that is no step heading and no JSON."""
+    """Last line of at least 3 characters that is no step heading and no JSON, else the last such sentence."""
     lines = F.filter(
         F.transform(F.split(T.filled(c), r"\r\n|\r|\n"), T.strip),
         lambda x: (F.length(x) >= 3) & ~x.rlike(r"(?i)^step\s+[0-9]+") & ~F.startswith(x, F.lit("{")) & ~F.contains(F.lower(x), F.lit('"reasoning"')),
     )
-    return T.reply_value(F.coalesce(F.try_element_at(lines, F.lit(-1)), F.lit("")))
+    sentences = F.filter(
+        F.transform(F.split(T.filled(c), r"(?<=[.!?])\s+"), T.strip),
+        lambda x: (F.length(x) >= 3) & ~F.startswith(x, F.lit("{")) & ~F.contains(F.lower(x), F.lit('"reasoning"')),
+    )
+    return T.reply_value(F.coalesce(F.try_element_at(lines, F.lit(-1)), F.try_element_at(sentences, F.lit(-1)), F.lit("")))
 
 
 def inferred_answer(c: Column, task_type: Column, options: Column) -> Column:
@@ -100,8 +104,8 @@ def inferred_answer(c: Column, task_type: Column, options: Column) -> Column:
 
 
 def polished(answer: Column, task_type: Column, question: Column, options: Column) -> Column:
-    """Concise form of an answer by task (A5)."""
-    a, kind = T.reply_value(answer), F.lower(T.strip(task_type))
+    """Concise form of an answer by task (A5); answer is a ``reply_value``."""
+    a, kind = answer, F.lower(T.strip(task_type))
     nums = F.regexp_extract_all(a, F.lit(r"([-+]?\$?[0-9][0-9,]*(?:\.[0-9]+)?%?)"), F.lit(1))
     number = F.replace(F.coalesce(F.try_element_at(nums, F.lit(-1)), F.lit("")), F.lit("$"), F.lit(""))
     short = (number != "") & ((F.length(a) <= 48) | (F.size(nums) == 1))
@@ -127,25 +131,32 @@ def is_valid(answer: Column, reasoning: Column, reply: Column, task_type: Column
     return (a != "") & ~jsonish & (F.length(a) <= long) & (a != T.strip(reasoning)) & ~cut
 
 
-def parse(reply: Column, task_type: Column, question: Column, options: Column, open_ended: Column | None = None) -> Column:
-    """STRUCT<reasoning, final_answer, status, error> of a teacher's reply (A3).
+def parse(df: DataFrame, reply: str = "reply", task_type: str = "task_type", question: str = "question", options: str = "options", open_ended: Column | None = None) -> DataFrame:
+    """df with parsed, a STRUCT<reasoning, final_answer, status, error> of a teacher's reply (A3).
 
     A reply that holds a JSON object is read from it, a missing reasoning being the whole reply and a missing answer inferred;
-    any other reply goes by field names and inference. What does not pass ``is_valid`` fails.
+    any other reply goes by field names and inference. What does not pass ``is_valid`` fails. The steps are columns of their
+    own: as one expression each would be computed again wherever the next one refers to it.
     """
     open_ended = F.lit(False) if open_ended is None else open_ended
-    t = unfenced(reply)
-    blob = _or(outer_object(t), t)
-    obj = is_object(blob)
-    reasoning = F.when(obj, _or(_field(blob, "reasoning"), t)).otherwise(_or(broken_field(t, "reasoning"), t))
-    raw = F.when(obj, _field(blob, "final_answer")).otherwise(broken_field(t, "final_answer|answer|label"))
-    answer = polished(_or(raw, inferred_answer(t, task_type, options)), task_type, question, options)
-    ok = (reasoning != "") & is_valid(answer, reasoning, t, task_type, open_ended)
-    error = F.when(ok, "").when(obj, "json_missing_required_fields").otherwise("unable_to_parse_response")
-    return F.struct(
-        F.when(ok, reasoning).otherwise("").alias("reasoning"), F.when(ok, answer).otherwise("").alias("final_answer"),
-        F.when(ok, "success").otherwise("failed").alias("status"), error.alias("error"),
+    kind, q, opts = F.col(task_type), F.col(question), F.col(options)
+    x = df.withColumn("_t", unfenced(F.col(reply)))
+    x = x.withColumn("_blob", _or(outer_object(F.col("_t")), F.col("_t")))
+    x = x.withColumn("_obj", is_object(F.col("_blob")))
+    t, blob, obj = F.col("_t"), F.col("_blob"), F.col("_obj")
+    x = x.withColumn("_reasoning", _or(F.when(obj, _field(blob, "reasoning")).otherwise(broken_field(t, "reasoning")), t))
+    x = x.withColumn("_raw", F.when(obj, _field(blob, "final_answer")).otherwise(broken_field(t, "final_answer|answer|label")))
+    x = x.withColumn("_raw", F.when(F.col("_raw") != "", F.col("_raw")).otherwise(inferred_answer(t, kind, opts)))
+    x = x.withColumn("_raw", T.reply_value(F.col("_raw")))
+    x = x.withColumn("_answer", polished(F.col("_raw"), kind, q, opts))
+    x = x.withColumn("_ok", (F.col("_reasoning") != "") & is_valid(F.col("_answer"), F.col("_reasoning"), t, kind, open_ended))
+    ok = F.col("_ok")
+    parsed = F.struct(
+        F.when(ok, F.col("_reasoning")).otherwise("").alias("reasoning"), F.when(ok, F.col("_answer")).otherwise("").alias("final_answer"),
+        F.when(ok, "success").otherwise("failed").alias("status"),
+        F.when(ok, "").when(obj, "json_missing_required_fields").otherwise("unable_to_parse_response").alias("error"),
     )
+    return x.withColumn("parsed", parsed).drop("_t", "_blob", "_obj", "_reasoning", "_raw", "_answer", "_ok")
 
 
 def extract(reply: Column) -> Column:

@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pairs_queries, sampling_queries, split_queries, text_queries
+from . import answer_queries, pairs_queries, pipeline_queries, sampling_queries, split_queries, text_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-for _m in (split_queries, text_queries, sampling_queries, pairs_queries):
+for _m in (split_queries, text_queries, answer_queries, pipeline_queries, sampling_queries, pairs_queries):
     QUERIES.update(_m.QUERIES)
     ORACLES.update(_m.ORACLES)

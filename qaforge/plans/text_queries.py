@@ -103,8 +103,8 @@ def reply_extract(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reply_parse(spark: SparkSession, d: str) -> DataFrame:
-    p = reply.parse(F.col("reply"), F.lit("reasoning"), F.lit("How many units?"), F.array().cast("array<string>"))
-    return _replies(spark, d).select("row_id", p["status"].alias("status"), p["final_answer"].alias("answer"))
+    r = _replies(spark, d).select("row_id", "reply", F.lit("reasoning").alias("task_type"), F.lit("How many units?").alias("question"), F.array().cast("array<string>").alias("options"))
+    return reply.parse(r).select("row_id", F.col("parsed.status").alias("status"), F.col("parsed.final_answer").alias("answer"))
 
 
 def metadata_note(spark: SparkSession, d: str) -> DataFrame:

@@ -1,0 +1,162 @@
+"""Near duplicates, overlap across splits and quota samples against brute force on small fixtures."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from qaforge.functions import bags, sketches
+from qaforge.operators import crosssplit, neardup, quota_sample, strata
+
+SCHEMA = "row_id bigint, id string, question string, context string, split string, source string, extra string"
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def text(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def edited(rng, t, k):
+    ws = t.split()
+    for _ in range(k):
+        i = rng.randrange(len(ws))
+        ws[i] = rng.choice(WORDS)
+    if k:
+        j = rng.randrange(len(ws) - 1)
+        ws[j], ws[j + 1] = ws[j + 1], ws[j]
+    return " ".join(ws)
+
+
+def corpus():
+    rng = random.Random(3)
+    rows, n = [], 0
+
+    def add(q, c, split="train"):
+        nonlocal n
+        n += 1
+        rows.append((n, f"r{n}", q, c, split, "s", "x"))
+
+    for g in range(25):
+        q, c = text(rng, 12), text(rng, 60)
+        add(q, c, rng.choice(["train", "dev", "Test"]))
+        for _ in range(rng.randrange(3)):
+            add(edited(rng, q, rng.randrange(2)), edited(rng, c, rng.randrange(4)), rng.choice(["training", "val", "test_gold", None]))
+    q = text(rng, 12)
+    for _ in range(30):
+        add(q, text(rng, 50))  # one question with many contexts: no cases
+    add("", None), add(None, ""), add("...", " "), add("只有问题", None), add("只有问题。", ""), add("一 二 三", "四"), add(None, "上下文" * 2000), add(None, "上下文" * 2000)
+    rows += [(900, "r1", rows[0][2], rows[0][3], rows[0][4], "s", "x"), (901, None, rows[0][2], rows[0][3], "train", "s", "x")]  # a re-delivery, a row without id
+    return rows
+
+
+def brute(rows, least=0.85):
+    seen = {}
+    for r in sorted(rows):
+        if r[1] is not None:
+            seen.setdefault(r[1], (bags.words(r[2]), bags.words(r[3]), r[4]))
+    ids = sorted(seen)
+    return {(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if bags.likeness(seen[a][0], seen[b][0]) >= least and bags.likeness(seen[a][1], seen[b][1]) >= least}, seen
+
+
+def test_words():
+    assert bags.words("Ａ１,234.5 年报 x-y Ünï") == ["a12345", "年", "报", "x", "y", "ünï"] and bags.words(None) == [] and bags.words("。,") == []
+    assert bags.likeness([], []) == 1 and bags.likeness(["a"], []) == 0 and bags.likeness(list("aab"), list("abb")) == pytest.approx(2 * 2 / 6)
+
+
+def test_near_duplicates(spark):
+    rows = corpus()
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {tuple(r) for r in neardup.near_duplicate_pairs(df).collect()}
+    assert got == brute(rows)[0] and len(got) > 20
+
+
+def test_near_duplicates_in_blocks(spark):
+    """Shards of more members than a block give the same links as small ones."""
+    rows = [(i, f"r{i:03d}", "one and the same question", text(random.Random(1), 40) + f" v{i % 60}", "train", "s", "x") for i in range(90)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {tuple(r) for r in neardup.near_duplicate_pairs(df, block=7).collect()}
+    assert got == brute(rows)[0] and len(got) == 90 * 89 // 2
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert neardup.near_duplicate_pairs(df).count() == 0 and crosssplit.overlap_pairs(df).count() == 0 and crosssplit.overlap_report(df).count() == 0
+
+
+def test_bk_tree():
+    rng = random.Random(5)
+    fps = [rng.getrandbits(64) for _ in range(300)]
+    fps += [f ^ (1 << rng.randrange(64)) for f in fps[:100]]
+    tree = neardup.BKTree()
+    for i, f in enumerate(fps):
+        tree.add(f, i)
+    for f in fps[:40]:
+        assert sorted(tree.within(f, 5)) == [i for i, g in enumerate(fps) if (f ^ g).bit_count() <= 5]
+
+
+def test_simhash_of_long_texts():
+    f = bags.mix(np.arange(5000, dtype=np.uint64))
+    inv = np.full(5000, 1, dtype=np.uint64)
+    n = np.array([2500, 1, 2499])
+    got = sketches.simhash(f, inv, n)
+    for (a, z), g in zip(((0, 2500), (2500, 2501), (2501, 5000)), got):
+        bits = np.unpackbits(f[a:z].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0)
+        assert bin(int(g)).count("1") == int((2 * bits > z - a).sum())
+
+
+def test_overlaps(spark):
+    rows = corpus()
+    df = spark.createDataFrame(rows, SCHEMA)
+    pairs, seen = brute(rows)
+    side = {i: {"train": "T", "training": "T"}.get((v[2] or "").strip().lower(), "E" if v[2] else None) for i, v in seen.items()}
+    want = {p for p in pairs if {side[p[0]], side[p[1]]} == {"T", "E"}}
+    assert {tuple(r) for r in crosssplit.overlap_pairs(df).collect()} == want and len(want) > 5
+    assert {tuple(r) for r in crosssplit.overlap_pairs(df, shard_characters=500, stream_rows=2).collect()} == want
+
+
+def test_fm_index():
+    rng = np.random.default_rng(1)
+    docs = [rng.integers(2, 12, rng.integers(5, 60)) for _ in range(20)]
+    fm = crosssplit.FMIndex(docs)
+    probe = np.concatenate([docs[3][:20], docs[7][-15:]])
+    own, doc, covered, runs = fm.matches([probe], [4])
+    by = dict(zip(doc.tolist(), covered.tolist()))
+    assert by[3] >= min(len(docs[3]), 20) - 3 and by[7] >= min(len(docs[7]), 15) - 3
+    lo, hi = np.array([0]), np.array([fm.n])
+    for w in reversed(docs[0][2:5].tolist()):
+        lo, hi = fm.step(np.array([w]), lo, hi)
+    at = sorted(fm.locate(np.arange(lo[0], hi[0])).tolist())
+    flat = fm.text.tolist()
+    assert at == [i for i in range(len(flat) - 2) if flat[i : i + 3] == docs[0][2:5].tolist()]
+
+
+def test_strata_take(spark):
+    rows = [(s, i, float(1 + i % 3)) for s, n in (("a", 500), ("b", 7)) for i in range(n)] + [(None, 1, 1.0)]
+    df = spark.createDataFrame(rows, "s string, i int, size double").withColumn("u", strata.uniform("s", "i"))
+    b = spark.createDataFrame([("a", 100.0), ("b", 1000.0), ("zz", 5.0)], "s string, budget double")
+    got = strata.take(df, b, ["s"], "u", "size", "i").toPandas()
+    assert got[got.s == "a"]["size"].sum() <= 100 and got[got.s == "a"]["size"].sum() > 97 and len(got[got.s == "b"]) == 7
+    n = strata.take(df, spark.createDataFrame([("a", 33.0)], "s string, budget double"), ["s"], "u", None, "i").count()
+    assert n == 33
+
+
+def test_swap_repair():
+    counts = {frozenset({"a"}): 80, frozenset({"b"}): 15, frozenset({"a", "b"}): 5, frozenset(): 50}
+    take = quota_sample.swap_repair(counts, {"a": 20.0, "b": 18.0}, {"a": 1, "b": 2}, 40)
+    have = {c: sum(k for s, k in take.items() if c in s) for c in "ab"}
+    assert sum(take.values()) == 40 and have == {"a": 20, "b": 18} and all(take[s] <= counts[s] for s in counts)
+    assert sum(quota_sample.swap_repair(counts, {"c": 5.0}, {"c": 5}, 1000).values()) == 150
+
+
+def test_quota_plan(spark):
+    refs = spark.createDataFrame([(f"r{i}", ["A ", "b", None][i % 3], "x") for i in range(60)] + [("dangling", "a", "x"), ("r0", "a", "x"), (None, "a", "x")], "sample_id string, task_domain string, source string")
+    qa = spark.createDataFrame([(f"r{i}", "MCQ" if i % 4 else None, "en") for i in range(70)], "id string, task_type string, language string")
+    targets = spark.createDataFrame([(1, "task_domain", "a", 0.5, 3, 0.5), (1, "task_domain", "zz", 0.5, 3, 0.5), (2, "language", "en", 1.0, 1, 0.2)], "request_id int, field_name string, category string, target_share double, min_rows int, sample_share double")
+    drawn, report = quota_sample.plan(refs, qa, targets)
+    got = {(r["request_id"], r["category"]): r for r in report.collect()}
+    assert got[1, "a"]["pool_rows"] == 20 and got[1, "a"]["drawn_rows"] >= 15 and got[1, "a"]["reachable"] and not got[1, "zz"]["reachable"]
+    n = {r["request_id"]: r["count"] for r in drawn.groupBy("request_id").count().collect()}
+    assert n == {1: 30, 2: 12} and drawn.distinct().count() == 42
+    empty, rep = quota_sample.plan(refs.limit(0), qa, targets)
+    assert empty.count() == 0 and all(r["pool_rows"] == 0 for r in rep.collect())
