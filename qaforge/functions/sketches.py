@@ -9,24 +9,26 @@ import numpy as np
 
 from .bags import U, mix
 
-BANDS, ROWS = 30, 6  # texts of likeness 0.85 (Jaccard 0.739) share no band with probability 5e-3, of likeness 0.9 with 2e-5
+BANDS, ROWS = 36, 7  # texts of likeness 0.85 (Jaccard 0.739) share no band with probability 1e-2, of likeness 0.9 with 4e-5
 _A = (mix(np.arange(1, 512, dtype=np.uint64)) | U(1)).astype(np.uint32)
 _B = mix(np.arange(10_001, 10_512, dtype=np.uint64)).astype(np.uint32)
 
 
-LIGHTEST = 64  # a feature that stands in every text counts 1/64 of one that stands in at most COMMON of them
 COMMON = 0.001
+UNIT, LIGHTEST = 4, 32  # inverse weights of a feature that at most COMMON of the texts hold, and of one that all hold
 
 
 def inverse_weight(share: np.ndarray) -> np.ndarray:
-    """1/weight, from 1 (at most COMMON of the texts hold the feature) to LIGHTEST (all do), by log of the share."""
-    w = np.log(1 / np.clip(share, COMMON, 1)) / np.log(1 / COMMON)
-    return np.round(1 / np.maximum(w, 1 / LIGHTEST)).astype(np.uint64)
+    """UNIT / weight by the share of texts that hold a feature. The weight is the root of the logarithm of the share, so that
+    words which a third of all texts hold keep 0.4: texts of one large group of near copies must not differ by their rare
+    words alone."""
+    w = np.sqrt(np.log(1 / np.clip(share, COMMON, 1)) / np.log(1 / COMMON))
+    return np.round(UNIT / np.maximum(w, UNIT / LIGHTEST)).astype(np.uint64)
 
 
 def lookup(f: np.ndarray, known: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """value of each feature in the sorted array known, 1 for those that it lacks."""
-    out = np.ones(len(f), dtype=np.uint64)
+    """value of each feature in the sorted array known, UNIT for those that it lacks."""
+    out = np.full(len(f), U(UNIT))
     if len(known) and len(f):
         i = np.minimum(np.searchsorted(known, f), len(known) - 1)
         hit = known[i] == f
@@ -35,7 +37,7 @@ def lookup(f: np.ndarray, known: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 def band_keys(f: np.ndarray, inv: np.ndarray, n: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
-    """One 64-bit key per text and band of so many rows, from set elements f (weights 1/inv) of texts with n elements; n > 0."""
+    """One 64-bit key per text and band of so many rows, from set elements f (weights UNIT/inv) of texts with n elements; n > 0."""
     start = np.cumsum(n) - n
     out = np.empty((len(n), bands), dtype=np.uint64)
     f, inv = (f >> U(32)).astype(np.uint32), inv.astype(np.uint32)
@@ -60,7 +62,7 @@ _SEGMENT = 1000  # so many weights of at most LIGHTEST fit a lane
 
 
 def simhash(f: np.ndarray, inv: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """64-bit SimHash per text, elements of weight 1/inv; n > 0. Weights are summed for four bits at a time."""
+    """64-bit SimHash per text, elements of weight UNIT/inv; n > 0. Weights are summed for four bits at a time."""
     start = np.cumsum(n) - n
     parts = -(-n // _SEGMENT)
     first = np.cumsum(parts) - parts

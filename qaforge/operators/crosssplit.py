@@ -34,7 +34,7 @@ STEP = 8  # one of so many suffix positions is kept
 SEEDED = 0.1  # share of a text's tiles that a text must hold to be looked at
 MATCHED = 0.15  # share of the shorter text that maximal matches must cover
 SHARD_CHARACTERS = 800_000
-ROUTE_BANDS, ROUTE_HITS = 36, 2  # a text goes to a shard with so many of its keys; texts of likeness 0.85 miss that with 1 %, of 0.9 with 1e-4
+ROUTE_BANDS, ROUTE_ROWS, ROUTE_HITS = 36, 6, 2  # a text goes to a shard with so many of its keys; texts of likeness 0.85 miss that with 1 %, of 0.9 with 1e-4
 STREAM_ROWS = 20_000  # training texts that one task sends through a shard
 STREAM_WORDS = 20_000  # words of training texts searched at once
 
@@ -291,7 +291,7 @@ def overlaps(
     repeat an id count once. NULL and empty texts are alike. An empty df, or one without a split, gives no rows.
     """
     src = df.withColumn("side", split_side(F.col(split))).where("side is not null")
-    fp = neardup.records(src, q, c, id_col, row_col, ["side", *(extra or [])], "side", simhash=False, bands=ROUTE_BANDS)
+    fp = neardup.records(src, q, c, id_col, row_col, ["side", *(extra or [])], "side", simhash=False, bands=ROUTE_BANDS, rows=ROUTE_ROWS)
     members = fp.groupBy("id").agg(F.min_by(F.struct("cls", "side", *(extra or [])), "row").alias("x")).select("id", "x.*")
     n_chars = src.where("side <> 'train'").agg(F.sum(F.length(q) + F.coalesce(F.length(c), F.lit(0))).alias("n")).first()["n"] or 0
     shards = max(1, -(-int(n_chars) // shard_characters))

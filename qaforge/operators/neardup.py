@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import bags, sketches
 from ..session import materialise
 
-RADIUS = 22  # bits; the distance at likeness 0.85 has mean 11 and deviation 3
+RADIUS = 19  # bits; the distance at likeness 0.85 has mean 11 and deviation 3, at 0.9 mean 9
 BLOCK = 1024
 THRESHOLD = 0.85
 _CHUNK_CHARS = 1_500_000
@@ -85,7 +85,7 @@ def common_features(df: DataFrame, q: str, c: str) -> tuple[np.ndarray, np.ndarr
     return f[order], w[order]
 
 
-def _fingerprint(known: np.ndarray, inverse: np.ndarray, apart: str | None, simhash: bool, bands: int):
+def _fingerprint(known: np.ndarray, inverse: np.ndarray, apart: str | None, simhash: bool, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
@@ -103,7 +103,7 @@ def _fingerprint(known: np.ndarray, inverse: np.ndarray, apart: str | None, simh
                 first[np.unique(of, return_index=True)[1]] = True
                 f, n = f[np.repeat(first, n)], n[first]
                 inv = sketches.lookup(f, known, inverse)
-                keys, sim = sketches.band_keys(f, inv, n, bands=bands), np.zeros(z - a, np.uint64)
+                keys, sim = sketches.band_keys(f, inv, n, rows, bands), np.zeros(z - a, np.uint64)
                 if simhash:
                     sim[first] = sketches.simhash(f, inv, n)
                 arrays = [batch.column(names.index(k)).slice(a, z - a) for k in keep]
@@ -115,7 +115,7 @@ def _fingerprint(known: np.ndarray, inverse: np.ndarray, apart: str | None, simh
     return run
 
 
-def fingerprints(df: DataFrame, q: str, c: str, keep: list[str], apart: str | None = None, simhash: bool = True, bands: int = sketches.BANDS) -> DataFrame:
+def fingerprints(df: DataFrame, q: str, c: str, keep: list[str], apart: str | None = None, simhash: bool = True, bands: int = sketches.BANDS, rows: int = sketches.ROWS) -> DataFrame:
     """keep columns + cls (key of the class of equal word bags in both fields), sim, bands; one row per row of df.
 
     bands is empty for all but the first row of a class (and value of the column apart) in a batch, so that copies add next to
@@ -124,7 +124,7 @@ def fingerprints(df: DataFrame, q: str, c: str, keep: list[str], apart: str | No
     """
     src = df.select(*keep, F.col(q).alias("_q"), F.col(c).alias("_c"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name not in ("_q", "_c"))
-    return src.mapInArrow(_fingerprint(*common_features(df, q, c), apart, simhash, bands), f"{kept}, cls bigint, sim bigint, bands array<bigint>")
+    return src.mapInArrow(_fingerprint(*common_features(df, q, c), apart, simhash, bands, rows), f"{kept}, cls bigint, sim bigint, bands array<bigint>")
 
 
 class BKTree:
@@ -372,10 +372,10 @@ def expand(links: DataFrame, members: DataFrame) -> DataFrame:
     return across.unionByName(inside).select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
 
 
-def records(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", extra: list[str] | None = None, apart: str | None = None, simhash: bool = True, bands: int = sketches.BANDS) -> DataFrame:
+def records(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", extra: list[str] | None = None, apart: str | None = None, simhash: bool = True, bands: int = sketches.BANDS, rows: int = sketches.ROWS) -> DataFrame:
     """Fingerprints (id, row, ...extra, cls, sim, bands) of all rows with an id, written once."""
     src = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(row_col).cast("bigint").alias("row"), *(extra or []), F.col(q).alias("q"), F.col(c).alias("c"))
-    return materialise(fingerprints(src, "q", "c", ["id", "row", *(extra or [])], apart, simhash, bands))
+    return materialise(fingerprints(src, "q", "c", ["id", "row", *(extra or [])], apart, simhash, bands, rows))
 
 
 def near_duplicates(
