@@ -24,7 +24,8 @@ def with_verdict(samples: DataFrame, judged: DataFrame, key: str = "id", order:
 
     Verdicts are reduced to one row per key before the join; an empty key never joins.
     """
-    last = merge.latest(judged.select(key, "judge_success", "judge", *(c for c in order or [] if c not in (key, "judge_success", "judge"))), key, order or ["judged_at"])
+    order = order or ["judged_at"]
+    last = merge.latest(judged.select(key, "judge_success", "judge", *(c for c in order if c not in (key, "judge_success", "judge"))), key, order)
     j = samples.join(last.select(key, "judge_success", "judge"), key, "left")
     bucket = F.when(F.col("judge_success").isNull(), "missing_judge").when(F.col("judge_success") & (F.col("judge.score") == 1), "keep").otherwise("drop")
     return j.withColumn("bucket", bucket)

@@ -104,10 +104,10 @@ def plan(refs: DataFrame, samples: DataFrame, targets: DataFrame, seed: int = 42
     pool, named = _memberships(refs, samples)
     req = [r.asDict() for r in targets.select("request_id", "field_name", F.lower(F.trim("category")).alias("category"), "target_share", "min_rows", "sample_share").orderBy("request_id", "field_name", "category").collect()]
     wanted = spark.createDataFrame([(r["request_id"], r["field_name"], r["category"]) for r in req], "request_id int, field_name string, category string").distinct()
-    ids = spark.createDataFrame(sorted({(r["request_id"],) for r in req}), "request_id int")
     hits = named.join(F.broadcast(wanted), ["field_name", "category"]).groupBy("id", "request_id").agg(F.array_sort(F.collect_set("category")).alias("signature"))
     rows = materialise(
-        pool.crossJoin(F.broadcast(ids)).join(hits, ["id", "request_id"], "left").select("request_id", "id", F.coalesce("signature", F.array().cast("array<string>")).alias("signature"))
+        pool.select("id", F.explode(F.array(*(F.lit(k).cast("int") for k in sorted({r["request_id"] for r in req})))).alias("request_id"))
+        .join(hits, ["id", "request_id"], "left").select("request_id", "id", F.coalesce("signature", F.array().cast("array<string>")).alias("signature"))
     )  # a row per record and request; requests are few
     seen: dict[int, dict[frozenset, int]] = {}
     for r in rows.groupBy("request_id", "signature").count().collect():  # at most 2^(categories of a request) rows

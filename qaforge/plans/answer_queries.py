@@ -12,7 +12,7 @@ from ..functions import program as P
 from ..functions import text as T
 from ..operators import badcases, judges, repair
 from ..session import table
-from .sqlbits import GOLD_NUM, MCQ, NUMERIC_PAIRS, PRED_NUM, PROGRAMS, answer_text, close, label_text, strip
+from .sqlbits import GOLD_NUM, MCQ, NUMERIC_PAIRS, PRED_NUM, PROGRAMS, WS, answer_text, close, label_text, strip
 
 
 def _qa(spark: SparkSession, d: str) -> DataFrame:
@@ -255,3 +255,49 @@ ORACLES["exam_letters"] = (
     "select row_id, case when regexp_matches(model_answer, '^(选择 |选项)?[A-D]$') then regexp_extract(model_answer, '([A-D])', 1) else '' end as letter from qa_samples "
     "where source = 'financeiq' and regexp_matches(coalesce(model_answer, ''), '^(选择 |选项|[(])?[A-D][.)]?$')"
 )
+
+_TURN_LEN = f"(coalesce({close('x', 'y', '0.01e0', '0.005e0')}, false) or coalesce(kind = 4 and ({close('x', 'y', '0.01e0', '0.5e0')} or {close('x / 100.0e0', 'y', '0.01e0', '0.5e0')}), false))"
+ORACLES["multi_turn_match"] = (
+    _NP
+    + f"""select kind, strict, lenient, case when strict then 'match' when prediction = 'cannot be determined' then 'abstain_error' when lenient then 'rounding_or_format' when {_FLIP} then 'sign_error'
+        when x is not null then 'calculation_error' else 'text_mismatch' end as mismatch, count(*) as n
+      from (select *, strict or {_TURN_LEN} as lenient from (select *, prediction <> '' and replace(prediction, '$', '') = gold as strict from v)) group by all"""
+)
+ORACLES["unit_scaled"] = (
+    _NP
+    + f"""select kind, case when kind = 7 then {close('floor(y) * 1e6', 'y * 1e6', '0.01e0', '0.51e0')} or {close('floor(y) * 1e6', 'y', '0.01e0', '0.51e0')}
+        else coalesce({close('x', 'y', '0.01e0', '0.51e0')} or (pct and {close('x / 100.0e0', 'y', '0.01e0', '0.51e0')}), false) end as correct, count(*) as n from v group by all"""
+)
+_COMPACT = lambda c: f"regexp_replace(lower({c}), '[ |,.$()%:;-]', '', 'g')"
+ORACLES["rounding_error"] = (
+    _NP
+    + f"""select kind, prediction <> '' and (coalesce({close('x', 'y', '0.02e0', '1.0e0')} or (pct and {close('x / 100.0e0', 'y', '0.02e0', '1.0e0')}), false) or {_COMPACT('prediction')} = {_COMPACT('gold')}) as rounding,
+        count(*) as n from v group by all"""
+)
+_EDGES = "。；;，,：:、!！?？"
+
+
+def _span(x: str) -> str:
+    bare = f"regexp_replace(coalesce({x}, ''), '{WS}+', '', 'g')"
+    out = f"""trim(replace(replace(replace({bare}, '“', ''), '”', ''), '"', ''), '{_EDGES}')"""
+    for lead in T.SHORT_ANSWER_LEADS:
+        out = f"regexp_replace({out}, '^(?:{lead})', '')"
+    return f"trim({out}, '{_EDGES}')"
+
+
+def _held(x: str, table) -> str:
+    return "case " + " ".join(f"when contains({x}, '{k}') then '{v}'" for k, v in table) + f" else {x} end"
+
+
+_SHY = lambda x: "(" + " or ".join(f"contains({x}, '{p}')" for p in T.ABSTAIN_INSTRUCTION) + ")"
+ORACLES["instruction_judge"] = f"""
+  with s as (select metadata->>'$.file_name' as task, coalesce(question, '') as q, {strip('model_answer')} as ra, {strip('reference_answer')} as rr, {_span('model_answer')} as a, {_span('reference_answer')} as r
+      from qa_samples where source = 'fincuge_instruction' and model_answer is not null),
+  j as (select *, coalesce(task, '') as t, ra = '' or rr = '' as none, {_SHY('a')} as sa, {_SHY('r')} as sr from s),
+  k as (select *, case when t = 'FINNA' or regexp_matches(q, '生成标题|摘要|简述|总结') or length(rr) > 64 then null when none then 0
+      when t = 'FINFE' then (({_held('a', O.SENTIMENT_ZH)}) = ({_held('r', O.SENTIMENT_ZH)}))::int
+      when t = 'FINNL' then (({_held('a', [(c, c) for c in O.CATEGORIES_ZH])}) = ({_held('r', [(c, c) for c in O.CATEGORIES_ZH])}))::int
+      when sa or sr then (sa and sr)::int else (a <> '' and r <> '' and (contains(a, r) or contains(r, a)))::int end as score from j)
+  select task, score::int as score, case when score is null then null when score = 1 then 'none' when none then 'incompleteness' when t = 'FINFE' then 'sentiment_error' when t = 'FINNL' then 'category_error'
+      when sa or sr then 'abstain_error' when t = 'FINRE' then 'relation_error' when t = 'FINCQA' then 'event_error' when t in ('FINQA', 'FINESE') then 'entity_error' else 'label_error' end as mismatch_type, count(*) as n
+  from k group by all"""

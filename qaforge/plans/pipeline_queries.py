@@ -47,7 +47,7 @@ def two_stage_filter(spark: SparkSession, d: str) -> DataFrame:
     first = F.when(F.col("judge_success"), F.col("judge.score"))
     second = F.when(F.col("judge_latency_ms") % 4 > 0, 1).otherwise(0)  # a stand-in for the second judge
     b = _judged(spark, d).groupBy(filtering.stage_buckets(first, second).alias("bucket")).agg(F.count("*").alias("n"))
-    return b.crossJoin(_judged(spark, d).agg(F.count("*").alias("all"))).select("bucket", "n", (F.col("n") / F.col("all")).alias("rate"))
+    return b.withColumn("rate", F.col("n") / F.lit(_judged(spark, d).count()))
 
 
 def rule_first_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -163,3 +163,13 @@ ORACLES = {
         case when h % 10 = 0 or h % 7 = 0 then null else h % 2 end::int as score, case when h % 10 = 0 then 0 else h % 500 end as ms from h) group by all""",
     "props_payload": "select event_type, true as ok, (coalesce(cast(props->>'$.k' as bigint), 0) <> 0)::int as score, count(*) as n from events group by all",
 }
+
+_W = ", ".join(f"('{d}', '{s}', {DOMAIN_WEIGHTS[d]}e0, {w}e0)" for d, ss in SOURCE_WEIGHTS.items() for s, w in ss.items())
+#: Shares by weight and largest remainder; the caps do not bind at 0.8 draws per reference.
+ORACLES["quota_draws"] = f"""
+  with w(d, s, dw, sw) as (values {_W}), t as (select floor(count(*) * 0.8e0) as target from sample_refs), size as (select source as s, count(*) as n from sample_refs group by source),
+  dom as (select d, dw * target as want from (select distinct d, dw from w), t),
+  dq as (select d, floor(want) + case when row_number() over (order by floor(want) - want, d) <= (select target from t) - (select sum(floor(want)) from dom) then 1 else 0 end as q from dom),
+  src as (select w.d, w.s, dq.q, dq.q * sw / sum(sw) over (partition by w.d) as want from w join dq on w.d = dq.d),
+  sq as (select d, s, floor(want) + case when row_number() over (partition by d order by floor(want) - want, s) <= q - sum(floor(want)) over (partition by d) then 1 else 0 end as draws from src)
+  select d as task_domain, sq.s as source, n as train_size, draws::bigint as draws, ceil(n * 3.0e0)::bigint as max_draws, draws::double / n as oversample_factor from sq join size on sq.s = size.s"""

@@ -106,10 +106,9 @@ _SHARD = r"^(.+)\.(\d+)_(\d+)\.([^.]+)$"
 
 def shard_bounds(file_name: Column) -> Column:
     """STRUCT<stem, start, end> of a shard's file name 'stem.start_end.suffix' (S11); any other name raises an error."""
-    ok = file_name.rlike(_SHARD)
     part = lambda k: F.regexp_extract(file_name, _SHARD, k)
-    bad = F.raise_error(F.concat(F.lit("not a shard: "), file_name))
-    return F.struct(F.when(ok, part(1)).otherwise(bad.cast("string")).alias("stem"), F.when(ok, part(2)).cast("bigint").alias("start"), F.when(ok, part(3)).cast("bigint").alias("end"))
+    good = F.struct(part(1).alias("stem"), part(2).try_cast("bigint").alias("start"), part(3).try_cast("bigint").alias("end"))
+    return F.when(file_name.rlike(_SHARD), good).otherwise(F.raise_error(F.concat(F.lit("not a shard: "), file_name)).cast("struct<stem:string,start:bigint,end:bigint>"))
 
 
 def shards(spark: SparkSession, path: str) -> DataFrame:
