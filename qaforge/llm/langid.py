@@ -114,9 +114,12 @@ class Model:
         n = np.bincount(o, minlength=len(texts))
         return out / np.sqrt(np.maximum(n, 1))[:, None] + self.bias, size
 
-    def probabilities(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        z, size = self.logits(texts)
-        return softmax(z / self.temperature), size
+    def probabilities(self, texts: list[str], characters: int = 400_000) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of each language per text, and the letters of each text; so many characters at a time."""
+        parts = [self.logits(texts[a:z]) for a, z in _chunks([texts], characters)]
+        if not parts:
+            return np.zeros((0, len(LANGUAGES))), np.zeros(0, dtype=np.int64)
+        return softmax(np.concatenate([p for p, _ in parts]) / self.temperature), np.concatenate([n for _, n in parts])
 
 
 def softmax(z: np.ndarray) -> np.ndarray:

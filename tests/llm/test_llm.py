@@ -19,7 +19,7 @@ QA = "id string, source string, question string, model_reasoning string, model_a
         (None, truncation.EMPTY), (" \n", truncation.EMPTY), ("All done.", truncation.CLOSED), ("The rate is 5 percent of the", truncation.WHOLE), ("First it fell. Then the rate of the", truncation.OPEN),
         ("It fell. Then it\n[TRUNCATED]", truncation.MARK), ("It fell. Then it…", truncation.MARK), ("It fell. Then it ...[output truncated", truncation.MARK), ("先看第一行。再看第二�", truncation.MARK),
         ("It fell.\n[TRUNCATED]", truncation.CLOSED), ("41,569", truncation.WHOLE), ("positive", truncation.WHOLE), ("Reason.\nConclusion: 5", truncation.WHOLE), ("理由充分。\n结论:收购", truncation.WHOLE),
-        ("理由充分。因此选择 选项C", truncation.WHOLE), ("Key points:\n- a: $5\n- b: $6", truncation.WHOLE), ('{"reasoning": "a. b', truncation.OPEN), ('{"a": "b."}', truncation.WHOLE), ("1 | 2 | net income", truncation.WHOLE),
+        ("理由充分。因此选择 选项C", truncation.WHOLE), ("Key points:\n- a: $5\n- b: $6", truncation.WHOLE), ('{"reasoning": "a. b', truncation.OPEN), ('{"a": "b."}', truncation.CLOSED), ("1 | 2 | net income", truncation.WHOLE),
         ("先看第一行,再看第二行,最后看第三", truncation.WHOLE), ("先看。再看第二行,最后看第三", truncation.OPEN), ("(B)", truncation.WHOLE), ("One column was [TRUNCATED] here.", truncation.CLOSED),
     ],
 )
