@@ -165,11 +165,14 @@ ORACLES = {
 }
 
 _W = ", ".join(f"('{d}', '{s}', {DOMAIN_WEIGHTS[d]}e0, {w}e0)" for d, ss in SOURCE_WEIGHTS.items() for s, w in ss.items())
-#: Shares by weight and largest remainder; the caps do not bind at 0.8 draws per reference.
+#: Shares by weight and largest remainder; a domain whose cap is below its share takes its cap, and the others what that leaves.
 ORACLES["quota_draws"] = f"""
-  with w(d, s, dw, sw) as (values {_W}), t as (select floor(count(*) * 0.8e0) as target from sample_refs), size as (select source as s, count(*) as n from sample_refs group by source),
-  dom as (select d, dw * target as want from (select distinct d, dw from w), t),
-  dq as (select d, floor(want) + case when row_number() over (order by floor(want) - want, d) <= (select target from t) - (select sum(floor(want)) from dom) then 1 else 0 end as q from dom),
+  with w(d, s, dw, sw) as (values {_W}), size as (select source as s, count(*) as n from sample_refs group by source),
+  dom as (select d, dw, sum(ceil(n * 3.0e0)) as cap, floor((select count(*) from sample_refs) * 0.8e0) as target from w join size on w.s = size.s group by d, dw),
+  f as (select *, dw * target >= cap as capped from dom),
+  g as (select *, target - (select coalesce(sum(cap), 0) from f where capped) as rest, (select sum(dw) from f where not capped) as open from f),
+  h as (select *, rest * dw / open as want from g),
+  dq as (select d, case when capped then cap else floor(want) + case when row_number() over (partition by capped order by floor(want) - want, d) <= rest - (select sum(floor(want)) from h where not capped) then 1 else 0 end end as q from h),
   src as (select w.d, w.s, dq.q, dq.q * sw / sum(sw) over (partition by w.d) as want from w join dq on w.d = dq.d),
   sq as (select d, s, floor(want) + case when row_number() over (partition by d order by floor(want) - want, s) <= q - sum(floor(want)) over (partition by d) then 1 else 0 end as draws from src)
   select d as task_domain, sq.s as source, n as train_size, draws::bigint as draws, ceil(n * 3.0e0)::bigint as max_draws, draws::double / n as oversample_factor from sq join size on sq.s = size.s"""
