@@ -123,7 +123,7 @@ def plan(refs: DataFrame, samples: DataFrame, targets: DataFrame, seed: int = 42
         for r in own:
             there, got = (sum(v for s, v in c.items() if r["category"] in s) for c in (counts, take))
             need = max(float(r["min_rows"]), r["target_share"] * n)
-            report.append((k, r["field_name"], r["category"], r["target_share"], r["min_rows"], drawn, there, need, got, got / drawn if drawn else 0.0, there >= need))
+            report.append((k, r["field_name"], r["category"], r["target_share"], r["min_rows"], drawn, there, need, got, got / drawn if drawn else 0.0, there >= need - 1e-9 * need))  # a product of shares may be off in its last digit
     b = spark.createDataFrame(budgets, "request_id int, signature array<string>, budget double")
     drawn = strata.take(rows.withColumn("u", strata.uniform("request_id", "id", seed=seed)), b, ["request_id", "signature"], "u", None, "id").select("request_id", "id")
     return drawn, spark.createDataFrame(report, "request_id int, field_name string, category string, target_share double, min_rows int, sample_size bigint, pool_rows bigint, needed_rows double, drawn_rows bigint, drawn_share double, reachable boolean")

@@ -37,4 +37,4 @@ have as (
 """
 
 QUERIES = {"p3_found": p3_found, "p3_sample": p3_sample, "p3_report": p3_report}
-ORACLES = {"p3_found": _POOL + "select request_id, category from have where n < greatest(min_rows, goal)"}
+ORACLES = {"p3_found": _POOL + "select request_id, category from have where n < greatest(min_rows, goal) * (1 - 1e-9)"}

@@ -50,10 +50,22 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/qaforge/{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that ``materialise`` has written; DataFrames that read them can no longer be used."""
+    jvm = spark.sparkContext._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _shipped: set[str] = set()
 
 

@@ -162,3 +162,13 @@ def test_quota_plan(spark):
     assert n == {1: 30, 2: 12} and drawn.distinct().count() == 42
     empty, rep = quota_sample.plan(refs.limit(0), qa, targets)
     assert empty.count() == 0 and all(r["pool_rows"] == 0 for r in rep.collect())
+
+
+def test_release(spark):
+    from qaforge import session
+
+    df = session.materialise(spark.range(5).toDF("x"))
+    assert df.count() == 5
+    session.release(spark)
+    with pytest.raises(Exception):
+        df.count()
