@@ -18,7 +18,7 @@ def test_sizes_sum_up(n):
 
 
 def test_sizes_small():
-    assert splits.sizes(50) == {"train": 39, "val": 6, "test": 5} or sum(splits.sizes(50).values()) == 50
+    assert splits.sizes(50) == {"train": 38, "val": 6, "test": 6} and splits.sizes(3) == {"train": 1, "val": 1, "test": 1}
     with pytest.raises(ValueError):
         splits.sizes(2)
 
@@ -113,7 +113,7 @@ def test_parse(spark):
     assert parse(spark, '{"reasoning": "r", "final_answer": "about $5.2 in all"}', question="How much is it?")[1] == "5.2"
     assert parse(spark, "so\nAnswer: positive", "sentiment")[1] == "positive"
     assert parse(spark, "We pick option B.", "mcq", options=["x", "y"])[1] == "B"
-    assert parse(spark, '{"reasoning": "r", "final_answer": ""}')[2:] == ("failed", "json_missing_required_fields") or parse(spark, '{"reasoning": "r", "final_answer": ""}')[2] == "success"
+    assert parse(spark, '{"reasoning": "r", "final_answer": ""}')[2:] == ("failed", "json_missing_required_fields")
     assert parse(spark, "")[2] == "failed" and parse(spark, None)[2] == "failed"
     assert parse(spark, "Was it? No, yes.", question="Was it up?")[1] == "yes"
     assert parse(spark, '{"reasoning": "cut off here, "final_answer": "7"', question="How many?")[1] == "7"
@@ -149,7 +149,7 @@ def test_judges(spark):
 
 def test_badcases(spark):
     L = F.lit
-    assert one(spark, badcases.numeric(L("5"), L("5"))) is None and one(spark, badcases.numeric(L("-5"), L("5"))) == "sign_error" or True
+    assert one(spark, badcases.numeric(L("5"), L("5"))) is None and one(spark, badcases.numeric(L("-5"), L("5"))) == "sign_error"
     assert one(spark, badcases.table_question(L("5%"), L("5"), L(""), L("success"), L(""), L(""))) == "percentage_or_unit_error"
     assert one(spark, badcases.table_question(L("a"), L("b"), L(""), L("success"), L("span"), L(""))) == "evidence_misread"
     assert one(spark, badcases.sentiment(L("negative"), L("positive"), L(""))) == "polarity_flip"
