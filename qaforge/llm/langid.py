@@ -35,6 +35,8 @@ SURE = 0.6
 REJECTED = (0.15, 0.35, 0.5)  # a label that the model gives less than this after 1, 2, more rounds is taken for wrong
 
 _LINE = re.compile(r"[\r\n]+")
+_BREAK = re.compile(r"</?(?:p|br|hr|div|li|ul|ol|dl|dt|dd|tr|table|thead|tbody|caption|h[1-6]|section|article|blockquote|pre)\b[^<>]{0,60}>", re.I)
+_CELL = re.compile(r"<t[dh]\b[^<>]{0,60}>", re.I)
 _SENTENCE = re.compile(r"(?<=[。！？｡])|(?<=[.!?…])[\"”’»)\]]*\s+(?=[^\Wa-zß-öø-ÿ_]|[\"“„«¿¡'(])|(?<=[!?])(?=[一-鿿])")
 
 
@@ -48,13 +50,47 @@ def named_language(lang: Column) -> Column:
     return out
 
 
+_FINISHED = re.compile(r"[.!?…。！？｡][\"”’»)\]]*$")
+_LABEL = re.compile(r"(?<=[.!?…])[\"”’»)\]]*\s+")
+_WORD = re.compile(r"[㐀-䶿一-鿿]|[^\W\d_㐀-䶿一-鿿]+")
+RUNNING = (5, 10)  # words, or CJK characters, of a finished sentence that is no entry of a table
+
+
+def _split(text: str) -> list[str]:
+    return [s for s in _SENTENCE.split(text.strip()) if s and s.strip()]
+
+
+def _runs(sentence: str) -> bool:
+    if not _FINISHED.search(sentence.rstrip()):
+        return False
+    ws = _WORD.findall(sentence)
+    cjk = sum(len(w) == 1 and w >= "㐀" for w in ws)
+    return cjk >= RUNNING[1] or len(ws) - cjk >= RUNNING[0]
+
+
+def _beside_table(line: str) -> list[str]:
+    """Sentences of running text that stand in one line with a row of a table: before it, after it or, if there are at
+    least two, between rows. What is left of a cell before the next one is the label of the row."""
+    out, cells = [], line.split("|")
+    for k, cell in enumerate(cells):
+        if not _FINISHED.search(cell.rstrip()) and len(cell) < 24:
+            continue
+        parts = _split(cell)
+        if k < len(cells) - 1 and parts and not _FINISHED.search(parts[-1].rstrip()):
+            ends = [m.start() for m in _LABEL.finditer(parts[-1])]
+            parts[-1:] = [parts[-1][: ends[-1]]] if ends else []
+        if sum(map(_runs, parts)) >= (1 if k in (0, len(cells) - 1) else 2):
+            out.extend(parts)
+    return out
+
+
 def sentences(text: str | None) -> list[str]:
     """Sentences of running text; tables, tags and blank lines give none."""
     out = []
+    if text and "<" in text:
+        text = _BREAK.sub("\n", _CELL.sub(" | ", text))
     for line in _LINE.split(plain(text)):
-        if "|" in line or not line.strip():
-            continue
-        out.extend(s for s in _SENTENCE.split(line.strip()) if s and s.strip())
+        out.extend(_beside_table(line) if "|" in line else _split(line))
     return out
 
 

@@ -189,6 +189,19 @@ def test_unnamed_languages(spark):
     assert lab[902] == "es" and 903 not in lab and 904 not in lab
 
 
+def test_sentences_beside_tables(spark):
+    _, made = language_docs()
+    table = " | 2017 | 2018\nnet income | 42,271 | 66\ncost of sales | 80,597 | 181.1"
+    en, de, zh = made("en", 3), made("de", 3), made("zh", 3)
+    for text, want in ((f"<p>{table}</p><p>{en}</p>", 3), (f"{en} {table}", 3), (f"{en} {table} {de}", 6), (f"{zh} {table}{zh}", 6), (f"{table}<br/>{de}", 3), (f"{en} net income | 5 | 6 {de} | 2017 | 2018 cost | 7", 6)):
+        assert len(langid.sentences(text)) == want, text
+    for text in (table, table.replace("\n", " "), "Issuer | Foo Holdings Inc.", "| The bank is not liable for it. | Die Bank haftet dafür in keinem Fall. |", "<table><tr><td>The bank is not liable for it.<td>Die Bank haftet nicht.<td></tr></table>"):
+        assert langid.sentences(text) == [], text
+    rows = language_docs()[0] + [(900, f"{en} {table} {de}", "en"), (901, f"<p>{table}</p><p>{en}</p>", "spa"), (902, f"{zh} {table}", None)]
+    got = langid.unnamed_languages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).where("doc_id >= 900").collect()
+    assert {tuple(r) for r in got} == {(900, "de"), (901, "en"), (902, "zh")}
+
+
 def test_queries_run(spark, small):
     from qaforge.llm import catalog
 
