@@ -1,6 +1,7 @@
-"""Fingerprints of word bags: banded minima (routing keys) and 64-bit SimHash, both with weights.
+"""Fingerprints of word bags: banded minima (routing keys) and 64-bit SimHash.
 
-Words that stand in many texts say little about likeness; features are weighted by the share of texts that hold them.
+Keys are of the plain bags. Weights by the share of texts that hold a word would break what bands and radius promise: in a
+large group of near copies the words in common get light and the edited ones stay heavy.
 """
 
 from __future__ import annotations
@@ -14,33 +15,14 @@ _A = (mix(np.arange(1, 512, dtype=np.uint64)) | U(1)).astype(np.uint32)
 _B = mix(np.arange(10_001, 10_512, dtype=np.uint64)).astype(np.uint32)
 
 
-COMMON = 0.001
-UNIT, LIGHTEST = 4, 32  # inverse weights of a feature that at most COMMON of the texts hold, and of one that all hold
+UNIT, LIGHTEST = 4, 32  # inverse weights of a plain element, and of the lightest one
 
 
-def inverse_weight(share: np.ndarray) -> np.ndarray:
-    """UNIT / weight by the share of texts that hold a feature. The weight is the root of the logarithm of the share, so that
-    words which a third of all texts hold keep 0.4: texts of one large group of near copies must not differ by their rare
-    words alone."""
-    w = np.sqrt(np.log(1 / np.clip(share, COMMON, 1)) / np.log(1 / COMMON))
-    return np.round(UNIT / np.maximum(w, UNIT / LIGHTEST)).astype(np.uint64)
-
-
-def lookup(f: np.ndarray, known: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """value of each feature in the sorted array known, UNIT for those that it lacks."""
-    out = np.full(len(f), U(UNIT))
-    if len(known) and len(f):
-        i = np.minimum(np.searchsorted(known, f), len(known) - 1)
-        hit = known[i] == f
-        out[hit] = value[i[hit]]
-    return out
-
-
-def band_keys(f: np.ndarray, inv: np.ndarray, n: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
-    """One 64-bit key per text and band of so many rows, from set elements f (weights UNIT/inv) of texts with n elements; n > 0."""
+def band_keys(f: np.ndarray, n: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
+    """One 64-bit key per text and band of so many rows, from set elements f of texts with n elements; n > 0."""
     start = np.cumsum(n) - n
     out = np.empty((len(n), bands), dtype=np.uint64)
-    f, inv = (f >> U(32)).astype(np.uint32), inv.astype(np.uint32)
+    f = (f >> U(32)).astype(np.uint32)
     h = np.empty_like(f)
     for b in range(bands):
         key = np.full(len(n), U(b + 1))
@@ -48,8 +30,6 @@ def band_keys(f: np.ndarray, inv: np.ndarray, n: np.ndarray, rows: int = ROWS, b
             k = b * rows + r
             np.bitwise_xor(f, _B[k], out=h)
             np.multiply(h, _A[k], out=h)
-            np.right_shift(h, np.uint32(6), out=h)
-            np.multiply(h, inv, out=h)
             with np.errstate(over="ignore"):
                 key = mix(key * U(31) + np.minimum.reduceat(h, start))
         out[:, b] = key

@@ -3,10 +3,11 @@
 Two records belong together when both fields have a likeness (see ``bags.likeness``) of at least ``threshold``.
 
 1. ``fingerprints``: a pass over the texts gives each row the key of its exact class (equal word bags), a 64-bit SimHash
-   and ``BANDS`` banded-minima keys. Rows of one class are collapsed.
+   of each field and ``BANDS`` banded-minima keys of both together. Rows of one class are collapsed.
 2. ``link_classes``: a *shard* is the set of classes that share one band key. In each shard a BK-tree over the
-   SimHash fingerprints (children keyed by the integer Hamming distance to their parent) is built, and every member
-   follows only edges within ``RADIUS``. A shard above ``BLOCK`` members is cut into blocks; each pair of blocks is a task
+   SimHash fingerprints of the leading field (the context, or the question where there is none; children keyed by the
+   integer Hamming distance to their parent) is built, and every member follows only edges within ``RADIUS``. What is found
+   must lie within ``RADIUS`` in the question as well. A shard above ``BLOCK`` members is cut into blocks; each pair of blocks is a task
    of its own, so no shard is ever held by one task.
 3. ``verify``: exact likeness of both fields of the linked classes.
 4. ``expand``: links between classes and membership give the pairs of records.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from ..functions import bags, sketches
 from ..session import materialise
 
-RADIUS = 19  # bits; the distance at likeness 0.85 has mean 11 and deviation 3, at 0.9 mean 9
+RADIUS = 20  # bits, in each field; the distance at likeness 0.85 has mean 11 and deviation 3, at 0.9 mean 9
 BLOCK = 1024
 THRESHOLD = 0.85
 _CHUNK_CHARS = 1_500_000
@@ -47,7 +48,7 @@ def _chunks(cols: list[list], size: int = _CHUNK_CHARS) -> Iterator[tuple[int, i
 
 
 def _features(q: list, c: list):
-    """Per row: class keys of both fields, features of both in one run, and their number (at least 1)."""
+    """Per row: class keys of both fields, features of both in one run, their number (at least 1) and those of the first field."""
     hq, nq = bags.hash_texts(q)
     hc, nc = bags.hash_texts(c)
     fq, fc = bags.bag_features(hq, nq, 1), bags.bag_features(hc, nc, 2)
@@ -56,43 +57,25 @@ def _features(q: list, c: list):
     empty = np.nonzero(nq + nc == 0)[0]
     owner = np.concatenate([np.repeat(np.arange(len(q)), nq), np.repeat(np.arange(len(q)), nc), empty])
     f = np.concatenate([fq, fc, np.full(len(empty), np.uint64(77))])[np.argsort(owner, kind="stable")]
-    return qk, ck, f, np.maximum(nq + nc, 1)
+    return qk, ck, f, np.maximum(nq + nc, 1), np.where(nq + nc == 0, 1, nq)
 
 
-def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many rows hold each feature that is common in a batch (half of COMMON)."""
-    for batch in batches:
-        q, c = (x.to_pylist() for x in batch.columns)
-        for a, z in _chunks([q, c]):
-            f, n = np.unique(_features(q[a:z], c[a:z])[2], return_counts=True)
-            keep = n >= max(2, sketches.COMMON / 2 * (z - a))
-            yield pa.RecordBatch.from_arrays([pa.array(f[keep].view(np.int64)), pa.array(n[keep])], ["f", "n"])
+def _field_prints(f: np.ndarray, n: np.ndarray, nq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """SimHash of the second field, or of the first where there is none, and SimHash of the first field."""
+    part = np.stack([nq, n - nq], 1).ravel()
+    sims = np.zeros(len(part), np.uint64)
+    sims[part > 0] = sketches.simhash(f, np.full(len(f), np.uint64(sketches.UNIT)), part[part > 0])
+    return np.where(n > nq, sims[1::2], sims[::2]), sims[::2]
 
 
-def common_features(df: DataFrame, q: str, c: str) -> tuple[np.ndarray, np.ndarray]:
-    """Features that more than COMMON of all rows hold, sorted, and their inverse weights.
-
-    At most (mean number of words) / COMMON features can be that common, so what the driver holds does not grow with the
-    number of rows; a further bound keeps the most common 200,000.
-    """
-    texts = df.select(F.col(q).alias("q"), F.col(c).alias("c"))
-    total = df.count()
-    counts = texts.mapInArrow(_count_features, "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
-    got = counts.where(F.col("n") > total * sketches.COMMON).orderBy(F.desc("n"), "f").limit(200_000).toArrow()
-    f = got.column("f").to_numpy().view(np.uint64)
-    w = sketches.inverse_weight(got.column("n").to_numpy() / max(total, 1))
-    order = np.argsort(f)
-    return f[order], w[order]
-
-
-def _fingerprint(known: np.ndarray, inverse: np.ndarray, apart: str | None, simhash: bool, bands: int, rows: int):
+def _fingerprint(apart: str | None, simhash: bool, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
             keep = [n for n in names if n not in ("_q", "_c")]
             q, c = batch.column(names.index("_q")).to_pylist(), batch.column(names.index("_c")).to_pylist()
             for a, z in _chunks([q, c]):
-                qk, ck, f, n = _features(q[a:z], c[a:z])
+                qk, ck, f, n, nq = _features(q[a:z], c[a:z])
                 with np.errstate(over="ignore"):
                     cls = bags.mix(qk * np.uint64(3) + bags.mix(ck))
                 # keys only for the first row of each class (and value of apart) in the batch
@@ -101,30 +84,30 @@ def _fingerprint(known: np.ndarray, inverse: np.ndarray, apart: str | None, simh
                     of = bags.mix(cls ^ np.array(bags.word_hashes([str(x) for x in batch.column(names.index(apart)).slice(a, z - a).to_pylist()]), dtype=np.uint64))
                 first = np.zeros(z - a, dtype=bool)
                 first[np.unique(of, return_index=True)[1]] = True
-                f, n = f[np.repeat(first, n)], n[first]
-                inv = sketches.lookup(f, known, inverse)
-                keys, sim = sketches.band_keys(f, inv, n, rows, bands), np.zeros(z - a, np.uint64)
+                f, n, nq = f[np.repeat(first, n)], n[first], nq[first]
+                keys = sketches.band_keys(f, n, rows, bands)
+                sim, sim_q = np.zeros(z - a, np.uint64), np.zeros(z - a, np.uint64)
                 if simhash:
-                    sim[first] = sketches.simhash(f, inv, n)
+                    sim[first], sim_q[first] = _field_prints(f, n, nq)
                 arrays = [batch.column(names.index(k)).slice(a, z - a) for k in keep]
                 ends = np.concatenate([[0], np.cumsum(first) * bands]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel()))
-                arrays += [pa.array(cls.view(np.int64)), pa.array(sim.view(np.int64)), lists]
-                yield pa.RecordBatch.from_arrays(arrays, [*keep, "cls", "sim", "bands"])
+                arrays += [pa.array(cls.view(np.int64)), pa.array(sim.view(np.int64)), pa.array(sim_q.view(np.int64)), lists]
+                yield pa.RecordBatch.from_arrays(arrays, [*keep, "cls", "sim", "sim_q", "bands"])
 
     return run
 
 
 def fingerprints(df: DataFrame, q: str, c: str, keep: list[str], apart: str | None = None, simhash: bool = True, bands: int = sketches.BANDS, rows: int = sketches.ROWS) -> DataFrame:
-    """keep columns + cls (key of the class of equal word bags in both fields), sim, bands; one row per row of df.
+    """keep columns + cls (key of the class of equal word bags in both fields), sim, sim_q, bands; one row per row of df.
 
     bands is empty for all but the first row of a class (and value of the column apart) in a batch, so that copies add next to
-    nothing to what is shuffled. sim is 0 unless asked for.
+    nothing to what is shuffled. sim and sim_q are 0 unless asked for.
     NULL texts count as empty.
     """
     src = df.select(*keep, F.col(q).alias("_q"), F.col(c).alias("_c"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name not in ("_q", "_c"))
-    return src.mapInArrow(_fingerprint(*common_features(df, q, c), apart, simhash, bands, rows), f"{kept}, cls bigint, sim bigint, bands array<bigint>")
+    return src.mapInArrow(_fingerprint(apart, simhash, bands, rows), f"{kept}, cls bigint, sim bigint, sim_q bigint, bands array<bigint>")
 
 
 class BKTree:
@@ -134,9 +117,9 @@ class BKTree:
 
     def __init__(self) -> None:
         self.nodes: list[tuple[int, dict[int, int]]] = []
-        self.items: list[list[int]] = []
+        self.items: list[list] = []
 
-    def add(self, fp: int, item: int) -> None:
+    def add(self, fp: int, item) -> None:
         if not self.nodes:
             self.nodes.append((fp, {}))
             self.items.append([item])
@@ -156,9 +139,9 @@ class BKTree:
                 return
             at = nxt
 
-    def within(self, fp: int, radius: int) -> list[int]:
+    def within(self, fp: int, radius: int) -> list:
         """Items of all nodes within radius, following only edges between d - radius and d + radius."""
-        out: list[int] = []
+        out: list = []
         stack = [0] if self.nodes else []
         while stack:
             at = stack.pop()
@@ -172,26 +155,27 @@ class BKTree:
         return out
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("sim", pa.int64()), ("blk", pa.int32())])
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("sim", pa.int64()), ("sim_q", pa.int64()), ("blk", pa.int32())])
 
 
 def _search_shards(radius: int, block: int):
-    """Over rows (key, rep, sim) sorted by key: links of shards up to block members; rows of larger shards as they are,
+    """Over rows (key, rep, sim, sim_q) sorted by key: links of shards up to block members; rows of larger shards as they are,
     with the number of their block, and one row (a = b = NULL, sim = NULL) per such shard with its number of blocks."""
 
     def shard(sims: np.ndarray, reps: np.ndarray, out: set[tuple[int, int]]) -> None:
         if len(reps) == 2:
-            if int(sims[0] ^ sims[1]).bit_count() <= radius:
+            if max(np.bitwise_count(sims[0] ^ sims[1])) <= radius:
                 out.add((int(min(reps)), int(max(reps))))
             return
         tree, s, r = BKTree(), sims.tolist(), reps.tolist()
-        for fp, rep in zip(s, r):
-            for other in tree.within(fp, radius):
-                out.add((min(other, rep), max(other, rep)))
-            tree.add(fp, rep)
+        for i, ((fp, fq), rep) in enumerate(zip(s, r)):
+            for j in tree.within(fp, radius):
+                if (s[j][1] ^ fq).bit_count() <= radius:
+                    out.add((min(r[j], rep), max(r[j], rep)))
+            tree.add(fp, i)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ck, cr, cs = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        ck, cr, cs = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
         big_key, big_n = None, 0  # a large shard that is being passed on
         links: set[tuple[int, int]] = set()
 
@@ -199,15 +183,15 @@ def _search_shards(radius: int, block: int):
             ab = list(links)
             links.clear()
             n = len(ab)
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in ab], pa.int64()), pa.array([y for _, y in ab], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], schema=_PAIR)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in ab], pa.int64()), pa.array([y for _, y in ab], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], schema=_PAIR)
 
         def overflow(key: int, reps: np.ndarray, sims: np.ndarray, at: int) -> pa.RecordBatch:
             n = len(reps)
             blk = ((at + np.arange(n)) // block).astype(np.int32)
-            return pa.RecordBatch.from_arrays([pa.array(reps), pa.nulls(n, pa.int64()), pa.array(np.full(n, key)), pa.array(sims.view(np.int64)), pa.array(blk)], schema=_PAIR)
+            return pa.RecordBatch.from_arrays([pa.array(reps), pa.nulls(n, pa.int64()), pa.array(np.full(n, key)), *(pa.array(sims[:, k].copy().view(np.int64)) for k in (0, 1)), pa.array(blk)], schema=_PAIR)
 
         def close_big() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([big_key]), pa.nulls(1, pa.int64()), pa.array([-(-big_n // block)], pa.int32())], schema=_PAIR)
+            return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([big_key]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([-(-big_n // block)], pa.int32())], schema=_PAIR)
 
         def work(k, r, s, last: bool) -> Iterator[pa.RecordBatch]:
             """Handles all runs but the last one, which may go on in the next batch, and keeps that."""
@@ -231,7 +215,7 @@ def _search_shards(radius: int, block: int):
                 else:
                     yield overflow(int(k[a]), r[a:z], s[a:z], 0)
                     big, n = int(k[a]), int(size[i])
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([big]), pa.nulls(1, pa.int64()), pa.array([-(-n // block)], pa.int32())], schema=_PAIR)
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([big]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([-(-n // block)], pa.int32())], schema=_PAIR)
             if not last:
                 a = starts[-1]
                 if len(k) - a > block and big_key is None:
@@ -243,7 +227,7 @@ def _search_shards(radius: int, block: int):
                 continue
             k = np.concatenate([ck, batch.column(0).to_numpy(zero_copy_only=False)])
             r = np.concatenate([cr, batch.column(1).to_numpy(zero_copy_only=False)])
-            s = np.concatenate([cs, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)])
+            s = np.concatenate([cs, np.stack([batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in (2, 3)], 1)])
             if big_key is not None:
                 m = int(np.searchsorted(k != big_key, True)) if (k != big_key).any() else len(k)
                 yield overflow(big_key, r[:m], s[:m], big_n)
@@ -274,41 +258,41 @@ def _search_shards(radius: int, block: int):
 
 
 def _search_blocks(radius: int):
-    """Over rows (key, i, j, blk, rep, sim) sorted by (key, i, j, blk): links between blocks i and j, or within i = j."""
+    """Over rows (key, i, j, blk, rep, sim, sim_q) sorted by (key, i, j, blk): links between blocks i and j, or within i = j."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, tree = None, BKTree()
         for batch in batches:
             a, b = [], []
-            for key, i, j, blk, rep, sim in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, i, j, blk, rep, sim, sim_q in zip(*(c.to_pylist() for c in batch.columns)):
                 if (key, i, j) != at:
                     at, tree = (key, i, j), BKTree()
                 fp = sim & 0xFFFFFFFFFFFFFFFF
                 if i == j or blk == j:
-                    for other in tree.within(fp, radius):
-                        if other != rep:
+                    for other, other_q in tree.within(fp, radius):
+                        if other != rep and ((sim_q ^ other_q) & 0xFFFFFFFFFFFFFFFF).bit_count() <= radius:
                             a.append(min(other, rep))
                             b.append(max(other, rep))
                 if blk == i:
-                    tree.add(fp, rep)
+                    tree.add(fp, (rep, sim_q))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
 def link_classes(fp: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """(a, b): classes that share a shard and lie within radius of each other; a < b, each pair once.
+    """(a, b): classes that share a shard and lie within radius of each other in both fields; a < b, each pair once.
 
-    fp: (cls, sim, bands) of ``fingerprints``.
+    fp: (cls, sim, sim_q, bands) of ``fingerprints``.
     """
-    rows = fp.select(F.explode("bands").alias("key"), F.col("cls").alias("rep"), "sim").repartition("key").sortWithinPartitions("key", "rep")
-    found = materialise(rows.mapInArrow(_search_shards(radius, block), "a bigint, b bigint, key bigint, sim bigint, blk int"))
+    rows = fp.select(F.explode("bands").alias("key"), F.col("cls").alias("rep"), "sim", "sim_q").repartition("key").sortWithinPartitions("key", "rep")
+    found = materialise(rows.mapInArrow(_search_shards(radius, block), "a bigint, b bigint, key bigint, sim bigint, sim_q bigint, blk int"))
     links = found.where("key is null").select("a", "b")
     many = found.where("key is not null and a is null").select("key", F.col("blk").alias("n"))
-    big = found.where("key is not null and a is not null").select("key", "blk", F.col("a").alias("rep"), "sim").join(many, "key")
+    big = found.where("key is not null and a is not null").select("key", "blk", F.col("a").alias("rep"), "sim", "sim_q").join(many, "key")
     pairs = big.select(
-        "key", "blk", "rep", "sim", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("o")
-    ).select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "rep", "sim")
+        "key", "blk", "rep", "sim", "sim_q", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("o")
+    ).select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "rep", "sim", "sim_q")
     more = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "blk").mapInArrow(_search_blocks(radius), "a bigint, b bigint")
     return links.unionByName(more).distinct()
 
@@ -373,7 +357,7 @@ def expand(links: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def records(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", extra: list[str] | None = None, apart: str | None = None, simhash: bool = True, bands: int = sketches.BANDS, rows: int = sketches.ROWS) -> DataFrame:
-    """Fingerprints (id, row, ...extra, cls, sim, bands) of all rows with an id, written once."""
+    """Fingerprints (id, row, ...extra, cls, sim, sim_q, bands) of all rows with an id, written once."""
     src = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(row_col).cast("bigint").alias("row"), *(extra or []), F.col(q).alias("q"), F.col(c).alias("c"))
     return materialise(fingerprints(src, "q", "c", ["id", "row", *(extra or [])], apart, simhash, bands, rows))
 

@@ -71,6 +71,27 @@ def test_near_duplicates(spark):
     assert got == brute(rows)[0] and len(got) > 20
 
 
+def test_one_large_group_of_edited_copies(spark):
+    """A third of the rows are copies of one record, each edited in words that no other row holds."""
+    rng = random.Random(12)
+    q, c = text(rng, 24), text(rng, 96)
+    rows = []
+    for i in range(150):
+        a, b = (q.split(), c.split()) if i % 3 == 0 else (text(rng, 24).split(), text(rng, 96).split())
+        for ws, k in ((a, 1), (b, 7)) if i % 3 == 0 else ():
+            for j in rng.sample(range(len(ws)), k):
+                ws[j] = f"rare{i}x{j}"
+        rows.append((i, f"r{i}", " ".join(a), " ".join(b), "train" if i % 2 else "test", "s", "x"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    want, seen = brute(rows)
+    assert len(want) > 1000
+    got = {tuple(r) for r in neardup.near_duplicate_pairs(df).collect()}
+    assert got <= want and len(got) >= 0.98 * len(want)
+    across = {p for p in want if (seen[p[0]][2] == "train") != (seen[p[1]][2] == "train")}
+    got = {tuple(r) for r in crosssplit.overlap_pairs(df, shard_characters=2000).collect()}
+    assert got <= across and len(got) >= 0.98 * len(across)
+
+
 def test_near_duplicates_in_blocks(spark):
     """Shards of more members than a block give the same links as small ones."""
     base = text(random.Random(1), 40)
