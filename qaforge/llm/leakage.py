@@ -5,11 +5,12 @@ a 64-bit SimHash; together the windows of an item span it whole, so an item may
 or with single words replaced. Every window of every document is fingerprinted in the same way by running sums, and
 looked up in a multi-index of the items' fingerprints: four blocks of 16 bits, of which at least one is equal whenever the
 distance is at most RADIUS = 3. A document and item with a window in common are a candidate, which is verified by the
-weighted share of the item's own shingles that the document holds. Weights fall with the number of documents that hold a
-shingle, so that disclaimers and stock phrases count next to nothing.
+weighted share of the item's own shingles that the document holds. Weights fall with the number of different texts that
+hold a shingle, so that disclaimers and stock phrases count next to nothing; copies of a text, reformatted ones included,
+count once, so that a leak does not become a stock phrase by being copied.
 
 The pass over the corpus carries the index of the items (a few hundred; BLOCK_ITEMS at a time); nothing of the corpus is
-ever gathered but counts of the items' shingles.
+ever gathered but counts of the items' shingles. Texts are told apart by a hash of their words in order.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ STRIDE = 2  # between an item's windows; documents have one at each word
 RADIUS = 3
 FIRST_SHARE = 0.2  # unweighted share of an item's shingles below which a candidate is not passed on
 SHARE = 0.3  # weighted share from which a document repeats about half of an item
-STOCK_SHARE, STOCK_WEIGHT = 0.1, 0.05  # shingles in so many documents have the smallest weight
+STOCK_SHARE, STOCK_WEIGHT = 0.1, 0.05  # shingles in so many texts have the smallest weight
 BLOCK_ITEMS = 5_000
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,60}>")
 U = np.uint64
@@ -183,14 +184,25 @@ class Items:
         return key // m, key % m
 
 
-_FOUND = "doc_id bigint, item int, shingle array<int>, n bigint"
+_FOUND = "doc_id bigint, item int, shingle array<int>, text bigint"
+EVERY = -1  # stands among the shingles of every text, to count the texts
+
+
+def _text_keys(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Hash of the words of each text in order."""
+    at = (np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return bags.mix(bags.segment_sum(bags.mix(h ^ bags.mix(at)), n) + n.astype(np.uint64)).view(np.int64)
 
 
 def _scan(items: Items):
+    """Candidates (doc_id, item, shingles of the item), and for each different text (its key, all shingles of items); a text
+    can come from several batches."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = (c.to_pylist() for c in batch.columns)
-            df = np.zeros(max(len(items.known), 1), dtype=np.int64)
+            seen: dict[int, list[int]] = {}
             out: list[tuple[int, int, list[int]]] = []
             for a, z in _chunks([texts], 1_000_000):
                 h, n, cjk = _hashes(texts[a:z])
@@ -199,7 +211,10 @@ def _scan(items: Items):
                 zh = bags.segment_sum(cjk.astype(np.int64), n)
                 is_zh, other = zh >= SHINGLE[1], n - zh >= SHINGLE[0]
                 text, shingle = items.known_shingles(h, n, is_zh, other)
-                df += np.bincount(shingle, minlength=len(df))
+                first = np.searchsorted(text, np.arange(z - a + 1))
+                for d, key in enumerate(_text_keys(h, n).tolist()):
+                    if key not in seen:
+                        seen[key] = [EVERY, *shingle[first[d] : first[d + 1]].tolist()]
                 pairs = []
                 for kind, take in ((0, other), (1, is_zh)):
                     rows = np.nonzero(take)[0]
@@ -210,20 +225,19 @@ def _scan(items: Items):
                         pairs.append(rows[owner[who]] * items.count + item)
                 if not pairs:
                     continue
-                first = np.searchsorted(text, np.arange(z - a + 1))
                 for p in np.unique(np.concatenate(pairs)).tolist():
                     d, i = divmod(p, items.count)
                     own = items.by_item[i]
                     have = np.intersect1d(own, shingle[first[d] : first[d + 1]], assume_unique=True)
                     if len(have) >= FIRST_SHARE * len(own):
                         out.append((ids[a + d], i, have.tolist()))
-            k = np.nonzero(df)[0]
+            k = len(seen)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([x[0] for x in out] + [None] * len(k), pa.int64()), pa.array([x[1] for x in out] + k.tolist(), pa.int32()),
-                    pa.array([x[2] for x in out] + [None] * len(k), pa.list_(pa.int32())), pa.array([None] * len(out) + df[k].tolist(), pa.int64()),
+                    pa.array([x[0] for x in out] + [None] * k, pa.int64()), pa.array([x[1] for x in out] + [None] * k, pa.int32()),
+                    pa.array([x[2] for x in out] + list(seen.values()), pa.list_(pa.int32())), pa.array([None] * len(out) + list(seen), pa.int64()),
                 ],
-                ["doc_id", "item", "shingle", "n"],
+                ["doc_id", "item", "shingle", "text"],
             )
 
     return run
@@ -250,18 +264,21 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """
     rows = [(r["item_id"], r["text"]) for r in items.where("text is not null").select("item_id", "text").orderBy("item_id").toLocalIterator()]
     src = docs.select(F.col("doc_id").cast("bigint"), "text")
-    n_docs = max(1, docs.count())
     out = None
     for a in range(0, len(rows), BLOCK_ITEMS):
         block = rows[a : a + BLOCK_ITEMS]
         index = Items([t for _, t in block])
         found = materialise(src.mapInArrow(_scan(index), _FOUND))
-        df = np.ones(max(len(index.known), 1))
-        for r in found.where("doc_id is null and n is not null").groupBy("item").agg(F.sum("n").alias("n")).collect():  # one row per shingle of the items
-            df[r["item"]] = r["n"]
-        weight = np.maximum(STOCK_WEIGHT, np.log(n_docs / df) - math.log(1 / STOCK_SHARE))
+        df, n_texts = np.ones(max(len(index.known), 1)), 1
+        texts = found.where("text is not null").dropDuplicates(["text"])
+        for r in texts.select(F.explode("shingle").alias("s")).groupBy("s").agg(F.count("*").alias("n")).collect():  # one row per shingle of the items
+            if r["s"] == EVERY:
+                n_texts = r["n"]
+            else:
+                df[r["s"]] = r["n"]
+        weight = np.maximum(STOCK_WEIGHT, np.log(n_texts / df) - math.log(1 / STOCK_SHARE))
         total = np.array([weight[s].sum() for s in index.by_item])
-        hit = found.where("shingle is not null").select("doc_id", "item", "shingle")
+        hit = found.where("item is not null").select("doc_id", "item", "shingle")
         part = hit.mapInArrow(_verify(weight, total, [i for i, _ in block], share), "doc_id bigint, item_id bigint, share double")
         out = part if out is None else out.unionByName(part)
     if out is None:

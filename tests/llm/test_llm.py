@@ -124,6 +124,17 @@ def test_leaks(spark):
     assert {r["item_id"]: r["documents"] for r in leakage.leaked_items(d, e).collect()} == {2: 1, 4: 1, 8: 1}
 
 
+def test_leak_in_many_copies(spark):
+    """Half of an item in a document that a third of the rows repeat, some of them reformatted, is a leak in each of them."""
+    rng = random.Random(16)
+    stock = "amounts may not add up to totals because of rounding and prior figures have been restated where necessary"
+    items = [(i, stock + " " + words(rng, 60)) for i in range(4)]
+    leak = words(rng, 40) + ". " + " ".join(items[1][1].split()[-36:]) + ". " + words(rng, 20)
+    docs = [(i, words(rng, 100) + " " + stock) for i in range(200)] + [(200 + i, (leak, f"<p>{leak}</p>", leak.upper().replace(" ", "  "))[i % 3]) for i in range(100)]
+    d, e = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in leakage.leaks(d, e).collect()} == {(200 + i, 1) for i in range(100)}
+
+
 def test_window_prints_and_multi_index():
     rng = np.random.default_rng(3)
     h = rng.integers(0, 2**63, 300).astype(np.uint64)
