@@ -1,4 +1,4 @@
-"""Registered queries of this subpackage. None of them can be expressed in SQL; they are tested on small fixtures."""
+"""Registered queries of this subpackage, and SQL where it can express them; the others are tested on small fixtures."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import langid, leakage, mixing, pairs, truncation
+from . import langid, leakage, mixing, pairs, pairs_queries, sampling_queries, truncation
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,3 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p2_found, p2_report, p4_found, p4_report, p6_found, p6_report, p7_found, p7_mix, p7_report, p8_found, p8_labels, p8_segments)
 }
 ORACLES: dict[str, str] = {}
+for _m in (pairs_queries, sampling_queries):
+    QUERIES.update(_m.QUERIES)
+    ORACLES.update(_m.ORACLES)

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bags
-from ..operators.neardup import _chunks
+from . import bags
+from .bags import chunks as _chunks
 from .leakage import plain
 
 LANGUAGES = ("en", "zh", "de", "fr", "es", "pt")

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bags
-from ..operators.neardup import _chunks
+from . import bags
+from .bags import chunks as _chunks
 from ..session import materialise
 
 #: Words of a window and of a shingle, for texts of letters and of CJK characters.

@@ -3,7 +3,7 @@
 Sizes are tokens of a public tokenizer. Each source first gives as many complete epochs as its share allows (at most its cap
 of repeats); what is left of its share comes from a weighted sample without replacement (Efraimidis and Spirakis): every
 document has the key u ** (1 / weight), documents are taken by falling key, and their running token count must stay within
-what is left. Keys are ordered within narrow ranges (see ``operators.strata``), so no source is sorted in one task.
+what is left. Keys are ordered within narrow ranges (see ``strata``), so no source is sorted in one task.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import strata
+from . import strata
 from ..session import materialise
 
 #: A file of byte-pair ranks, present on every executor.

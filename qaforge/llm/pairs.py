@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bags
+from . import bags
 from . import truncation
 
 _SPACE = " \t\r\n\f\v　​‌‍﻿\xa0⁠"

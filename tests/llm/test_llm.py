@@ -7,8 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from qaforge.functions import bags
-from qaforge.llm import langid, leakage, mixing, pairs, truncation
+from qaforge.llm import bags, langid, leakage, mixing, pairs, truncation
 
 QA = "id string, source string, question string, model_reasoning string, model_answer string, extra int"
 
