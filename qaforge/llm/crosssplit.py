@@ -1,23 +1,22 @@
 """Same or near-same records across splits.
 
-Evaluation records (val and test) are spread over *shards* of bounded size, each with a compressed full-text index (an
-FM-index over words) of the shard's texts. Training texts are streamed through backward search: the text is cut into tiles
-of a few words, each tile's suffix range is found by stepping backwards from its last word, and the range names the texts
-that hold it. Where a text holds enough tiles, their positions are located through sampled suffix positions, and seeds on
-one diagonal are grown to maximal matches. Spans are merged and counted per pair of texts; a pair with enough matched words
-is then compared exactly in both fields.
+Evaluation records (val and test) are spread over *shards* of bounded size, each with a compressed full-text index (see
+``fmindex``) of the shard's texts. Training texts are streamed through backward search: a text is cut into tiles, the suffix
+range of each tile is found by stepping backwards from its last word, its occurrences are located through sampled positions
+and grown to maximal matches on the index itself. Spans are merged and counted per pair of texts, and a pair is then compared
+exactly in both fields. Records of equal word bags in both fields are joined directly.
 
 What is indexed is the text of the longer field that tells records apart: the context, or the question where there is no
 context. The other field must be alike as well and is compared exactly.
 
-Not every training text is sent to every shard, which would be quadratic: it is routed to the shards whose texts have at
-least ROUTE_HITS band keys (see ``neardup``) in common with it. A route only names a shard; which records match is decided by
-the index.
+Not every training text is sent to every shard, which would be quadratic: it is routed to the shards that hold a text which
+``neardup.link_classes`` cannot rule out (a common band key, and sketches within the distance that the likeness allows). A
+route names the texts it is after. Tiles begin at WIDTHS[0] words; where one of those texts has no match yet, the search goes
+on with shorter tiles, down to single words, so that no pattern of edits or moves hides it.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,15 +26,14 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from . import bags, neardup
+from .fmindex import SLAB, FMIndex
 
-TILE = (4, 8)  # words of a tile, in texts of letters and of CJK characters
-STEP = 8  # one of so many suffix positions is kept
-SEEDED = 0.1  # share of a text's tiles that a text must hold to be looked at
-MATCHED = 0.15  # share of the shorter text that maximal matches must cover
+#: Words of a tile, from the longest, in texts of letters and of CJK characters.
+WIDTHS = ((4, 2, 1), (8, 4, 2, 1))
+SEEDED, MATCHED = 0.2, 0.4  # texts that no route names are looked at too if they hold so much of the tiles, and matches cover so much of the shorter text
 SHARD_CHARACTERS = 800_000
-ROUTE_BANDS, ROUTE_ROWS, ROUTE_HITS = 48, 7, 2  # a text goes to a shard with so many of its keys; texts of likeness 0.85 miss that with 1.6 %, of 0.9 with 2e-5
 STREAM_ROWS = 20_000  # training texts that one task sends through a shard
-STREAM_WORDS = 20_000  # words of training texts searched at once
+STREAM_CHARACTERS = 100_000  # characters of training texts searched at once
 
 
 def split_side(split: Column) -> Column:
@@ -44,248 +42,181 @@ def split_side(split: Column) -> Column:
     return F.when(s.isin("train", "training"), "train").when(s.isin("val", "dev", "valid", "validation"), "val").when(s.isin("test", "test_gold"), "test")
 
 
-class FMIndex:
-    """Full-text index of several word sequences: Burrows-Wheeler transform, backward search and located positions.
+def _tiles(size: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, start) of tiles side by side, and one more at the end of a text that they do not fill."""
+    n = -(-size // np.maximum(width, 1))
+    own = np.repeat(np.arange(len(size)), n)
+    k = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+    return own, np.minimum(k * width[own], size[own] - width[own])
 
-    Words are small integers from 2; 1 ends each sequence and 0 the whole text. The rows of the sorted suffixes by their
-    preceding word form one sorted array (last), so that a backward step is one binary search for each end of the range.
-    """
 
-    def __init__(self, sequences: list[np.ndarray]) -> None:
-        n = sum(len(s) + 1 for s in sequences) + 1
-        text = np.zeros(n, dtype=np.int64)
-        self.starts = np.zeros(len(sequences), dtype=np.int64)
-        at = 0
-        for i, s in enumerate(sequences):
-            self.starts[i] = at
-            text[at : at + len(s)] = s
-            at += len(s)
-            text[at] = 1
-            at += 1
-        self.n, self.text = n, text
-        sa = self._suffixes(text)
-        bwt = text[sa - 1]  # of the suffix at 0 it is the last word, 0
-        self.base = np.concatenate([[0], np.cumsum(np.bincount(text))])
-        self.last = np.sort(bwt * (n + 1) + np.arange(n))  # (word, row), sorted: its index is the LF mapping
-        self.bwt = bwt
-        kept = sa % STEP == 0
-        self.rank = np.cumsum(kept) - 1
-        self.kept, self.samples = kept, sa[kept]
-        self.doc = (np.searchsorted(self.starts, sa, side="right") - 1).astype(np.int32)
-
-    @staticmethod
-    def _suffixes(text: np.ndarray) -> np.ndarray:
-        """Suffix array by prefix doubling."""
-        n = len(text)
-        rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-        k = 1
-        while True:
-            second = np.zeros(n, dtype=np.int64)
-            second[:-k] = rank[k:] + 1 if k < n else 0
-            key = rank * (n + 1) + second
-            sa = np.argsort(key, kind="stable")
-            s = key[sa]
-            new = np.zeros(n, dtype=np.int64)
-            new[1:] = np.cumsum(s[1:] != s[:-1])
-            rank = np.empty(n, dtype=np.int64)
-            rank[sa] = new
-            if new[-1] == n - 1 or k >= n:
-                return sa
-            k *= 2
-
-    def step(self, word: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ranges of suffixes that begin with word followed by what the ranges lo to hi stand for."""
-        key = word * (self.n + 1)
-        return np.searchsorted(self.last, key + lo), np.searchsorted(self.last, key + hi)
-
-    def locate(self, rows: np.ndarray) -> np.ndarray:
-        """Text positions of suffix rows: steps back until a sampled one."""
-        pos = np.zeros(len(rows), dtype=np.int64)
-        steps = np.zeros(len(rows), dtype=np.int64)
-        left, r = np.arange(len(rows)), rows.copy()
-        while len(left):
-            hit = self.kept[r]
-            pos[left[hit]] = self.samples[self.rank[r[hit]]] + steps[left[hit]]
-            left, r = left[~hit], r[~hit]
-            steps[left] += 1
-            r = np.searchsorted(self.last, self.bwt[r] * (self.n + 1) + r)
-        return pos
-
-    def seeds(self, seqs: list[np.ndarray], tiles: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(sequence, its position, text of the index, position there) of the tiles that stand in the index, for pairs that
-        share at least SEEDED of the sequence's tiles."""
-        own, first, width = [], [], []
-        count = np.zeros(len(seqs), dtype=np.int64)
-        for i, s in enumerate(seqs):
-            w = min(tiles[i], len(s))
-            if not w:
-                continue
-            st = np.arange(0, len(s) - w + 1, w)
-            if st[-1] + w < len(s):
-                st = np.append(st, len(s) - w)
-            count[i] = len(st)
-            own.append(np.full(len(st), i))
-            first.append(st)
-            width.append(np.full(len(st), w))
-        none = np.zeros(0, dtype=np.int64)
-        if not own:
-            return none, none, none, none
-        own, first, width = np.concatenate(own), np.concatenate(first), np.concatenate(width)
-        flat = np.concatenate(seqs)
-        offset = np.cumsum([0] + [len(s) for s in seqs])[:-1]
-        lo, hi = np.zeros(len(own), dtype=np.int64), np.full(len(own), self.n, dtype=np.int64)
-        for k in range(1, int(width.max()) + 1):
-            live = np.nonzero((hi > lo) & (width >= k))[0]
-            if not len(live):
+def matches(fm: FMIndex, seqs: list[np.ndarray], width: np.ndarray, wanted: set[int] = frozenset(), others: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(sequence, text of the index, words covered by maximal matches around tiles of so many words, number of such matches).
+
+    wanted: pairs (sequence * texts + text) that are looked at whatever they share; others: whether pairs that have SEEDED of the
+    sequence's tiles in common are looked at as well.
+    """
+    size = np.array([len(s) for s in seqs], dtype=np.int64)
+    none = np.zeros(0, dtype=np.int64)
+    if not size.sum():
+        return none, none, none, none
+    width = np.minimum(width, size)
+    flat, offset = np.concatenate(seqs), np.cumsum(size) - size
+    own, at = _tiles(size, width)
+    at = at + offset[own]
+    lo, hi = fm.ranges(flat, at, width[own])
+    live = np.nonzero(hi > lo)[0]
+    per = np.cumsum(np.bincount(own[live], weights=hi[live] - lo[live], minlength=len(seqs)))  # occurrences up to the end of a sequence
+    slab = (per // SLAB).astype(np.int64)[own[live]]
+    got = []
+    texts = len(fm.starts)
+    only = np.array(sorted(wanted), dtype=np.int64)
+    count = np.bincount(own, minlength=len(seqs))
+    for part in np.split(live, np.nonzero(slab[1:] != slab[:-1])[0] + 1):
+        n = hi[part] - lo[part]
+        tile = np.repeat(part, n)
+        row = np.repeat(lo[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        pos = fm.locate(row)
+        doc = fm.sequence(pos)
+        pair = own[tile] * texts + doc
+        ok = only[np.minimum(np.searchsorted(only, pair), len(only) - 1)] == pair if len(only) else np.zeros(len(pair), bool)
+        if others and len(pair):
+            _, inv, hits = np.unique(pair, return_inverse=True, return_counts=True)
+            ok |= hits[inv] >= SEEDED * count[own[tile]]
+        tile, row, pos, doc = tile[ok], row[ok], pos[ok], doc[ok]
+        if not len(tile):
+            continue
+        # the seeds of one match that follow each other without a gap are grown once
+        diag = pos - at[tile]
+        order = np.lexsort((at[tile], diag, own[tile]))
+        tile, row, doc, diag = tile[order], row[order], doc[order], diag[order]
+        chain = np.ones(len(tile), dtype=bool)
+        chain[1:] = (own[tile[1:]] != own[tile[:-1]]) | (diag[1:] != diag[:-1]) | (doc[1:] != doc[:-1]) | (at[tile[1:]] > at[tile[:-1]] + width[own[tile[:-1]]])
+        head = np.nonzero(chain)[0]
+        last = np.append(head[1:], len(tile)) - 1
+        who = own[tile[head]]
+        for w in np.unique(width[who]):  # seeds of one width at a time
+            k = np.nonzero(width[who] == w)[0]
+            a, b = tile[head[k]], tile[last[k]]
+            left, _ = fm.grow(flat, row[head[k]], at[a], at[a] + w, offset[who[k]], at[a] + w)
+            _, right = fm.grow(flat, row[last[k]], at[b], at[b] + w, at[b], offset[who[k]] + size[who[k]])
+            got.append((who[k], doc[head[k]], left, right))
+    if not got:
+        return none, none, none, none
+    own, doc, lo, hi = (np.concatenate(x) for x in zip(*got))
+    return _merge(own, doc, lo, hi)
+
+
+def _merge(own: np.ndarray, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each pair merged over all diagonals: (sequence, text, words covered, number of spans)."""
+    order = np.lexsort((lo, doc, own))
+    own, doc, lo, hi = own[order], doc[order], lo[order], hi[order]
+    pair = np.ones(len(own), dtype=bool)
+    pair[1:] = (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])
+    g = np.cumsum(pair) - 1
+    big = int(hi.max()) + 1
+    upto = np.maximum.accumulate(hi + g * big) - g * big  # furthest end so far within the pair
+    before = np.where(pair, 0, np.concatenate([[0], upto[:-1]]))
+    covered = np.maximum(0, hi - np.maximum(lo, before))
+    runs = (pair | (lo > before)).astype(np.int64)
+    first = np.nonzero(pair)[0]
+    return own[first], doc[first], np.add.reduceat(covered, first), np.add.reduceat(runs, first)
+
+
+class Shard:
+    """Index of the evaluation texts of one shard: rows (cls, q, c)."""
+
+    def __init__(self, rows: list[tuple]) -> None:
+        self.cls = [r[0] for r in rows]
+        self.hq, self.hc = ([bags.word_hashes(bags.words(r[k])) for r in rows] for k in (1, 2))
+        texts: dict[tuple, list[int]] = {}
+        for i, (x, y) in enumerate(zip(self.hq, self.hc)):
+            texts.setdefault(tuple(y or x), []).append(i)
+        self.text_of = {self.cls[i]: d for d, own in enumerate(texts.values()) for i in own}
+        self.owners = list(texts.values())
+        self.size = [len(k) for k in texts]
+        self.words = {w: i + 2 for i, w in enumerate(sorted({w for k in texts for w in k}))}
+        self.fm = FMIndex([np.array([self.words[w] for w in k], dtype=np.int64) for k in texts])
+
+    def search(self, rows: list[tuple], threshold: float) -> list[tuple]:
+        """(train_cls, eval_cls, matched, matches, like_q, like_c) of rows (cls, q, c, targets) alike in both fields."""
+        tc = [bags.word_hashes(bags.words(r[2])) for r in rows]
+        tq: dict[int, list[int]] = {}  # the questions of the texts that need them
+
+        def question(i: int) -> list[int]:
+            if i not in tq:
+                tq[i] = bags.word_hashes(bags.words(rows[i][1]))
+            return tq[i]
+
+        key = [c or question(i) for i, c in enumerate(tc)]
+        seqs = [np.array([self.words.get(w, self.fm.unknown) for w in k], dtype=np.int64) for k in key]
+        kind = [int(len(k) > 0.55 * len(r[2] or r[1] or "")) for k, r in zip(key, rows)]  # nearly a word per character
+        texts = len(self.owners)
+        left = {i * texts + self.text_of[e] for i, r in enumerate(rows) for e in r[3] or () if e in self.text_of}
+        out = []
+        for level in range(max(map(len, WIDTHS))):
+            who = sorted({p // texts for p in left}) if level else list(range(len(rows)))
+            if not who:
                 break
-            word = flat[offset[own[live]] + first[live] + width[live] - k]
-            lo[live], hi[live] = self.step(word, lo[live], hi[live])
-        live = np.nonzero(hi > lo)[0]
-        n = hi[live] - lo[live]
-        tile = np.repeat(live, n)
-        row = np.repeat(lo[live] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        pair = own[tile] * len(self.starts) + self.doc[row]
-        _, inv, hits = np.unique(pair, return_inverse=True, return_counts=True)
-        ok = hits[inv] >= np.maximum(1, SEEDED * count[own[tile]])
-        tile, row = tile[ok], row[ok]
-        return own[tile], first[tile], self.doc[row].astype(np.int64), self.locate(row)
-
-    def matches(self, seqs: list[np.ndarray], tiles: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(sequence, index text, words covered by maximal matches, number of such matches), one row per pair with a match."""
-        own, at, doc, pos = self.seeds(seqs, tiles)
-        if not len(own):
-            z = np.zeros(0, dtype=np.int64)
-            return z, z, z, z
-        diag = pos - at
-        order = np.lexsort((at, diag, doc, own))
-        own, at, doc, diag = own[order], at[order], doc[order], diag[order]
-        flat = np.concatenate(seqs)
-        offset = np.cumsum([0] + [len(s) for s in seqs])[:-1]
-        size = np.array([len(s) for s in seqs])
-        width = np.minimum(np.array(tiles), size)
-        lo, hi = at.copy(), at + width[own]
-        # grow to maximal matches by comparing neighbouring words, all seeds at once
-        for d in (-1, 1):
-            live = np.arange(len(own))
-            while len(live):
-                p = lo[live] - 1 if d < 0 else hi[live]
-                ok = (p >= 0) & (p < size[own[live]])
-                live, p = live[ok], p[ok]
-                q = p + diag[live]
-                same = (q >= 0) & (flat[offset[own[live]] + p] == self.text[np.clip(q, 0, self.n - 1)])
-                live = live[same]
-                if d < 0:
-                    lo[live] -= 1
-                else:
-                    hi[live] += 1
-                # a seed inside the next one's span stops early: it will be merged with it
-                if d > 0 and len(live):
-                    nxt = np.minimum(live + 1, len(own) - 1)
-                    inside = (nxt != live) & (own[nxt] == own[live]) & (doc[nxt] == doc[live]) & (diag[nxt] == diag[live]) & (hi[live] >= at[nxt])
-                    live = live[~inside]
-                if d < 0 and len(live):
-                    prv = np.maximum(live - 1, 0)
-                    inside = (prv != live) & (own[prv] == own[live]) & (doc[prv] == doc[live]) & (diag[prv] == diag[live]) & (lo[live] <= at[prv] + width[own[live]])
-                    live = live[~inside]
-        # merge spans of a pair over all diagonals
-        order = np.lexsort((lo, doc, own))
-        own, doc, lo, hi = own[order], doc[order], lo[order], hi[order]
-        pair = np.ones(len(own), dtype=bool)
-        pair[1:] = (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])
-        g = np.cumsum(pair) - 1
-        big = int(size.max()) + 1
-        upto = np.maximum.accumulate(hi + g * big) - g * big  # furthest end so far within the pair
-        before = np.where(pair, 0, np.concatenate([[0], upto[:-1]]))
-        covered = np.maximum(0, hi - np.maximum(lo, before))
-        runs = (pair | (lo > before)).astype(np.int64)
-        first = np.nonzero(pair)[0]
-        return own[first], doc[first], np.add.reduceat(covered, first), np.add.reduceat(runs, first)
-
-
-def _key_words(q: list, c: list) -> tuple[list[list[int]], list[list[int]], list[list[int]]]:
-    hq, hc = [bags.word_hashes(bags.words(t)) for t in q], [bags.word_hashes(bags.words(t)) for t in c]
-    return hq, hc, [y or x for x, y in zip(hq, hc)]
+            width = np.array([WIDTHS[kind[i]][min(level, len(WIDTHS[kind[i]]) - 1)] for i in who], dtype=np.int64)
+            at = {i: k for k, i in enumerate(who)}
+            wanted = {at[p // texts] * texts + p % texts for p in left}
+            own, doc, covered, runs = matches(self.fm, [seqs[i] for i in who], width, wanted, level == 0)
+            for k, d, m, n in zip(own.tolist(), doc.tolist(), covered.tolist(), runs.tolist()):
+                i = who[k]
+                pair = i * texts + d
+                if pair not in left and m < MATCHED * min(len(key[i]), self.size[d]):
+                    continue
+                left.discard(pair)
+                for e in self.owners[d]:
+                    x = bags.likeness(tc[i], self.hc[e])
+                    if x < threshold:
+                        break  # all owners of a text have the same words in this field, or none
+                    y = bags.likeness(question(i), self.hq[e])
+                    if y >= threshold and rows[i][0] != self.cls[e]:
+                        out.append((rows[i][0], self.cls[e], m, n, y, x))
+        return out
+
+
+_OUT = "train_cls bigint, eval_cls bigint, matched int, matches int, like_q double, like_c double"
 
 
 def _search(threshold: float):
-    """Over rows (shard, salt, train, cls, q, c) sorted by (shard, salt, train): the evaluation texts of a shard come first
-    and are indexed, then training texts are streamed through."""
+    """Over rows (shard, salt, train, cls, targets, q, c) sorted by (shard, salt, train): the evaluation texts of a shard come
+    first and are indexed, then training texts are streamed through."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, index = None, [], None
 
-        def build(rows: list) -> tuple:
-            cls = [r[0] for r in rows]
-            hq, hc, key = _key_words([r[1] for r in rows], [r[2] for r in rows])
-            texts: dict[tuple, list[int]] = {}
-            for i, k in enumerate(key):
-                texts.setdefault(tuple(k), []).append(i)
-            words = {w: i + 2 for i, w in enumerate(sorted({w for k in texts for w in k}))}
-            seqs = [np.array([words[w] for w in k], dtype=np.int64) for k in texts]
-            return cls, hq, hc, list(texts.values()), words, FMIndex(seqs), np.array([len(s) for s in seqs])
-
         def stream(rows: list) -> pa.RecordBatch:
-            cls, hq, hc, owners, words, fm, size = index
-            tc = [bags.word_hashes(bags.words(r[2])) for r in rows]
-            tq: dict[int, list[int]] = {}  # the questions of the texts that need them
-
-            def question(i: int) -> list[int]:
-                if i not in tq:
-                    tq[i] = bags.word_hashes(bags.words(rows[i][1]))
-                return tq[i]
-
-            key = [c or question(i) for i, c in enumerate(tc)]
-            kind = [len(k) > 0.55 * len(r[2] or r[1] or "") for k, r in zip(key, rows)]  # nearly a word per character
-            seqs = [np.array([words.get(w, 1) for w in k], dtype=np.int64) for k in key]
-            # words that the shard lacks must match nothing: 1 would match the end of a text
-            out = []
-            if seqs and max(map(len, seqs)):
-                safe = [np.where(s == 1, len(words) + 2, s) for s in seqs]
-                own, doc, covered, runs = fm.matches(safe, [TILE[cjk] for cjk in kind])
-                own_len = np.array([len(s) for s in seqs])
-                keep = covered >= MATCHED * np.minimum(own_len[own], size[doc])
-                for i, d, k, n in zip(own[keep].tolist(), doc[keep].tolist(), covered[keep].tolist(), runs[keep].tolist()):
-                    for e in owners[d]:
-                        x = bags.likeness(tc[i], hc[e])
-                        if x < threshold:
-                            continue
-                        y = bags.likeness(question(i), hq[e])
-                        if y >= threshold:
-                            out.append((rows[i][0], cls[e], k, n, y, x))
-            # texts without a word match each other and nothing else
-            none_t, none_e = [i for i, k in enumerate(key) if not k], [e for d in range(len(owners)) if not size[d] for e in owners[d]]
-            out += [(rows[i][0], cls[e], 0, 0, 1.0, 1.0) for i in none_t for e in none_e]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64())
+            out = index.search(rows, threshold)
             return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], ["train_cls", "eval_cls", "matched", "matches", "like_q", "like_c"])
 
         for batch in batches:
-            todo, words_held = [], 0
-            for shard, salt, train, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            todo, size = [], 0
+            for shard, salt, train, cls, targets, q, c in zip(*(c.to_pylist() for c in batch.columns)):
                 if (shard, salt) != at:
                     if todo:
                         yield stream(todo)
-                        todo, words_held = [], 0
+                        todo, size = [], 0
                     at, held, index = (shard, salt), [], None
                 if not train:
-                    held.append(row)
+                    held.append((cls, q, c))
                     continue
                 if index is None:
-                    index = build(held)
-                    held = []
-                todo.append(row)
-                words_held += len(row[1] or "") + len(row[2] or "")
-                if words_held > 5 * STREAM_WORDS:
+                    index, held = Shard(held), []
+                todo.append((cls, q, c, targets))
+                size += len(q or "") + len(c or "")
+                if size > STREAM_CHARACTERS:
                     yield stream(todo)
-                    todo, words_held = [], 0
+                    todo, size = [], 0
             if todo:
                 yield stream(todo)
 
     return run
 
 
-_OUT = "train_cls bigint, eval_cls bigint, matched int, matches int, like_q double, like_c double"
-
-
 def overlaps(
     df: DataFrame, q: str = "question", c: str = "context", split: str = "split", id_col: str = "id", row_col: str = "row_id", threshold: float = neardup.THRESHOLD,
     shard_characters: int = SHARD_CHARACTERS, stream_rows: int = STREAM_ROWS, extra: list[str] | None = None,
@@ -298,27 +229,29 @@ def overlaps(
     repeat an id count once. NULL and empty texts are alike. An empty df, or one without a split, gives no rows.
     """
     src = df.withColumn("side", split_side(F.col(split))).where("side is not null")
-    fp = neardup.records(src, q, c, id_col, row_col, ["side", *(extra or [])], "side", simhash=False, bands=ROUTE_BANDS, rows=ROUTE_ROWS)
+    fp = neardup.records(src, q, c, id_col, row_col, ["side", *(extra or [])], "side")
     members = fp.groupBy("id").agg(F.min_by(F.struct("cls", "side", *(extra or [])), "row").alias("x")).select("id", "x.*")
-    n_chars = src.where("side <> 'train'").agg(F.sum(F.length(q) + F.coalesce(F.length(c), F.lit(0))).alias("n")).first()["n"] or 0
+    n_chars = src.where("side <> 'train'").agg(F.sum(F.coalesce(F.length(q), F.lit(0)) + F.coalesce(F.length(c), F.lit(0))).alias("n")).first()["n"] or 0
     shards = max(1, -(-int(n_chars) // shard_characters))
-    shard_of = F.pmod(F.xxhash64(F.lit(7), "cls"), F.lit(shards)).cast("int")
-    keyed = fp.where(F.size("bands") > 0).select("cls", (F.col("side") == "train").alias("train"), F.explode("bands").alias("key"))
-    ev = keyed.where("not train").select("key", shard_of.alias("shard")).distinct()
-    hits = keyed.where("train").select("key", "cls").join(ev, "key").groupBy("shard", "cls").agg(F.countDistinct("key").alias("hits"))
-    routes = materialise(hits.where(F.col("hits") >= ROUTE_HITS).select("shard", "cls"))
+    train = F.col("side") == "train"
+    shard_of = lambda cls: F.pmod(F.xxhash64(F.lit(7), cls), F.lit(shards)).cast("int")
+    links = neardup.link_classes(fp.where(F.size("bands") > 0).withColumn("train", train), threshold, sides="train")  # a in evaluation, b in train
+    routes = materialise(links.groupBy(F.col("b").alias("cls"), shard_of("a").alias("shard")).agg(F.collect_list("a").alias("targets")))  # a shard's texts bound the list
     salts = routes.groupBy("shard").agg(F.ceil(F.count("*") / stream_rows).cast("int").alias("salts"))
-    first = fp.groupBy("cls", (F.col("side") == "train").alias("train")).agg(F.min("row").alias("row"))
-    texts = src.where(F.col(id_col).isNotNull()).select(F.col(row_col).cast("bigint").alias("row"), F.col(q).alias("q"), F.col(c).alias("c"))
-    to_train = routes.join(salts, "shard").select("cls", "shard", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("train"))
+    first = fp.groupBy("cls", train.alias("train")).agg(F.min("row").alias("row"), F.min("sizes").alias("sizes"))
+    to_train = routes.join(salts, "shard").select("cls", "shard", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("train"), "targets")
     to_eval = (
-        first.where("not train").select("cls", shard_of.alias("shard")).join(salts, "shard")
-        .select("cls", "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("train"))
+        first.where("not train").select("cls", shard_of("cls").alias("shard")).join(salts, "shard")
+        .select("cls", "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("train"), F.lit(None).cast("array<bigint>").alias("targets"))
     )
-    sent = materialise(to_train.unionByName(to_eval).join(first, ["cls", "train"]))
-    rows = texts.join(neardup.at_most(sent), "row").select("shard", "salt", "train", "cls", "q", "c")
+    sent = materialise(to_train.unionByName(to_eval).join(first.drop("sizes"), ["cls", "train"]))
+    rows = neardup.texts_of(src, q, c, row_col).join(neardup.at_most(sent), "row").select("shard", "salt", "train", "cls", "targets", "q", "c")
     found = rows.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "train").mapInArrow(_search(threshold), _OUT)
-    return found, members
+    half = F.lit(1 << 32)
+    words = F.when(F.pmod("sizes", half) > 0, F.pmod("sizes", half)).otherwise(F.floor(F.col("sizes") / half)).cast("int")
+    same = first.groupBy("cls").agg(F.count("*").alias("n"), F.min("sizes").alias("sizes")).where("n = 2")
+    equal = same.select(F.col("cls").alias("train_cls"), F.col("cls").alias("eval_cls"), words.alias("matched"), (words > 0).cast("int").alias("matches"), F.lit(1.0).alias("like_q"), F.lit(1.0).alias("like_c"))
+    return found.unionByName(equal), members
 
 
 def overlap_pairs(df: DataFrame, **kw) -> DataFrame:

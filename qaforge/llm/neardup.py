@@ -2,19 +2,16 @@
 
 Two records belong together when both fields have a likeness (see ``bags.likeness``) of at least ``threshold``.
 
-1. ``fingerprints``: a pass over the texts gives each row the key of its exact class (equal word bags), a 64-bit SimHash
-   of each field and ``BANDS`` banded-minima keys of both together. Rows of one class are collapsed.
-2. ``link_classes``: a *shard* is the set of classes that share one band key. In each shard a BK-tree over the
-   SimHash fingerprints of the leading field (the context, or the question where there is none; children keyed by the
-   integer Hamming distance to their parent) is built, and every member follows only edges within ``RADIUS``. What is found
-   must lie within ``RADIUS`` in the question as well. A shard above ``BLOCK`` members is cut into blocks; each pair of blocks is a task
-   of its own, so no shard is ever held by one task.
-3. ``verify``: exact likeness of both fields of the linked classes.
-4. ``expand``: links between classes and membership give the pairs of records.
-
-Trees of single shards are built where the shard lies instead of being broadcast, as their total size grows with the
-data. A single tree over all fingerprints is no use here: texts of likeness 0.85 differ in about 11 of 64 bits, unrelated
-ones in about 25 to 32, and at the radius this needs the triangle inequality prunes next to nothing.
+1. ``fingerprints``: a pass over the texts gives each row the key of its exact class (equal word bags), odd sketches of
+   the first field and of both, the number of words of each and ``BANDS`` banded-minima keys of both fields. Rows of one class are collapsed.
+2. ``link_classes``: a *shard* is the set of classes that share one band key. Each shard has a BK-tree over the sketches of
+   its members (children keyed by the integer Hamming distance to their parent), and every member follows only the edges
+   within its radius. The radius is not a guess: texts of the wanted likeness differ in at most (1 - threshold) * (a + b)
+   words and their sketches in no more bits. Shards above ``BLOCK`` members are cut into blocks, one task per pair of blocks.
+3. ``verify``: exact likeness of both fields of the linked classes, on the texts, each sent once per pair of blocks of links.
+4. ``expand``: links between classes and membership give the pairs of records; ``groups`` gives a row per record instead.
+
+The only loss is that of the bands: texts of likeness exactly 0.85 share no key with probability 4e-3.
 """
 
 from __future__ import annotations
@@ -29,41 +26,34 @@ from pyspark.sql import functions as F
 from ..session import materialise
 from . import bags, sketches
 from .bags import chunks as _chunks
+from .bktree import Forest
 
-RADIUS = 20  # bits, in each field; the distance at likeness 0.85 has mean 11 and deviation 3, at 0.9 mean 9
-BLOCK = 1024
+BLOCK = 8192
 THRESHOLD = 0.85
+LANES = (1, 3)  # 64-bit words of the sketch of the first field, and of that of both
+_SKETCH = [f"s{k}" for k in range(sum(LANES))]
+BLOCK_CHARACTERS = 4_000_000  # texts held by a task that verifies links
+_HALF = 1 << 32
 
 
 def _features(q: list, c: list):
-    """Per row: class keys of both fields, features of both in one run, their number (at least 1) and those of the first field."""
+    """Class keys of both fields, elements of the bag of each field and their numbers."""
     hq, nq = bags.hash_texts(q)
     hc, nc = bags.hash_texts(c)
     fq, fc = bags.bag_features(hq, nq, 1), bags.bag_features(hc, nc, 2)
     qk = bags.mix(bags.segment_sum(fq, nq) + nq.astype(np.uint64))
     ck = bags.mix(bags.segment_sum(fc, nc) + nc.astype(np.uint64))
-    empty = np.nonzero(nq + nc == 0)[0]
-    owner = np.concatenate([np.repeat(np.arange(len(q)), nq), np.repeat(np.arange(len(q)), nc), empty])
-    f = np.concatenate([fq, fc, np.full(len(empty), np.uint64(77))])[np.argsort(owner, kind="stable")]
-    return qk, ck, f, np.maximum(nq + nc, 1), np.where(nq + nc == 0, 1, nq)
+    return qk, ck, fq, nq, fc, nc
 
 
-def _field_prints(f: np.ndarray, n: np.ndarray, nq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """SimHash of the second field, or of the first where there is none, and SimHash of the first field."""
-    part = np.stack([nq, n - nq], 1).ravel()
-    sims = np.zeros(len(part), np.uint64)
-    sims[part > 0] = sketches.simhash(f, np.full(len(f), np.uint64(sketches.UNIT)), part[part > 0])
-    return np.where(n > nq, sims[1::2], sims[::2]), sims[::2]
-
-
-def _fingerprint(apart: str | None, simhash: bool, bands: int, rows: int):
+def _fingerprint(apart: str | None, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
             keep = [n for n in names if n not in ("_q", "_c")]
             q, c = batch.column(names.index("_q")).to_pylist(), batch.column(names.index("_c")).to_pylist()
-            for a, z in _chunks([q, c]):
-                qk, ck, f, n, nq = _features(q[a:z], c[a:z])
+            for a, z in _chunks([q, c], 600_000):
+                qk, ck, fq, nq, fc, nc = _features(q[a:z], c[a:z])
                 with np.errstate(over="ignore"):
                     cls = bags.mix(qk * np.uint64(3) + bags.mix(ck))
                 # keys only for the first row of each class (and value of apart) in the batch
@@ -72,239 +62,245 @@ def _fingerprint(apart: str | None, simhash: bool, bands: int, rows: int):
                     of = bags.mix(cls ^ np.array(bags.word_hashes([str(x) for x in batch.column(names.index(apart)).slice(a, z - a).to_pylist()]), dtype=np.uint64))
                 first = np.zeros(z - a, dtype=bool)
                 first[np.unique(of, return_index=True)[1]] = True
-                f, n, nq = f[np.repeat(first, n)], n[first], nq[first]
+                fq, fc, mq, mc = fq[np.repeat(first, nq)], fc[np.repeat(first, nc)], nq[first], nc[first]
+                none = np.nonzero(mq + mc == 0)[0]
+                owner = np.concatenate([np.repeat(np.arange(len(mq)), mq), np.repeat(np.arange(len(mc)), mc), none])
+                f = np.concatenate([fq, fc, np.full(len(none), np.uint64(77))])[np.argsort(owner, kind="stable")]
+                n = np.maximum(mq + mc, 1)
+                prints = np.zeros((z - a, len(_SKETCH)), np.uint64)
+                prints[first] = np.hstack([sketches.odd_sketch(fq, mq, LANES[0]), sketches.odd_sketch(f, n, LANES[1])])
                 keys = sketches.band_keys(f, n, rows, bands)
-                sim, sim_q = np.zeros(z - a, np.uint64), np.zeros(z - a, np.uint64)
-                if simhash:
-                    sim[first], sim_q[first] = _field_prints(f, n, nq)
                 arrays = [batch.column(names.index(k)).slice(a, z - a) for k in keep]
                 ends = np.concatenate([[0], np.cumsum(first) * bands]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel()))
-                arrays += [pa.array(cls.view(np.int64)), pa.array(sim.view(np.int64)), pa.array(sim_q.view(np.int64)), lists]
-                yield pa.RecordBatch.from_arrays(arrays, [*keep, "cls", "sim", "sim_q", "bands"])
+                arrays += [pa.array(cls.view(np.int64)), pa.array(nq * _HALF + nc), *(pa.array(prints[:, k].copy().view(np.int64)) for k in range(len(_SKETCH))), lists]
+                yield pa.RecordBatch.from_arrays(arrays, [*keep, "cls", "sizes", *_SKETCH, "bands"])
 
     return run
 
 
-def fingerprints(df: DataFrame, q: str, c: str, keep: list[str], apart: str | None = None, simhash: bool = True, bands: int = sketches.BANDS, rows: int = sketches.ROWS) -> DataFrame:
-    """keep columns + cls (key of the class of equal word bags in both fields), sim, sim_q, bands; one row per row of df.
+def fingerprints(df: DataFrame, q: str, c: str, keep: list[str], apart: str | None = None, bands: int = sketches.BANDS, rows: int = sketches.ROWS) -> DataFrame:
+    """keep columns + cls (key of the class of equal word bags in both fields), sizes (words of both fields), sketch words,
+    bands; one row per row of df.
 
     bands is empty for all but the first row of a class (and value of the column apart) in a batch, so that copies add next to
-    nothing to what is shuffled. sim and sim_q are 0 unless asked for.
-    NULL texts count as empty.
+    nothing to what is shuffled. NULL texts count as empty.
     """
     src = df.select(*keep, F.col(q).alias("_q"), F.col(c).alias("_c"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields if f.name not in ("_q", "_c"))
-    return src.mapInArrow(_fingerprint(apart, simhash, bands, rows), f"{kept}, cls bigint, sim bigint, sim_q bigint, bands array<bigint>")
-
-
-class BKTree:
-    """Burkhard-Keller tree over 64-bit fingerprints; equal fingerprints share a node."""
-
-    __slots__ = ("nodes", "items")
-
-    def __init__(self) -> None:
-        self.nodes: list[tuple[int, dict[int, int]]] = []
-        self.items: list[list] = []
-
-    def add(self, fp: int, item) -> None:
-        if not self.nodes:
-            self.nodes.append((fp, {}))
-            self.items.append([item])
-            return
-        at = 0
-        while True:
-            key, kids = self.nodes[at]
-            d = (key ^ fp).bit_count()
-            if d == 0:
-                self.items[at].append(item)
-                return
-            nxt = kids.get(d)
-            if nxt is None:
-                kids[d] = len(self.nodes)
-                self.nodes.append((fp, {}))
-                self.items.append([item])
-                return
-            at = nxt
-
-    def within(self, fp: int, radius: int) -> list:
-        """Items of all nodes within radius, following only edges between d - radius and d + radius."""
-        out: list = []
-        stack = [0] if self.nodes else []
-        while stack:
-            at = stack.pop()
-            key, kids = self.nodes[at]
-            d = (key ^ fp).bit_count()
-            if d <= radius:
-                out.extend(self.items[at])
-            if kids:
-                lo, hi = d - radius, d + radius
-                stack.extend(n for e, n in kids.items() if lo <= e <= hi)
-        return out
-
-
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("sim", pa.int64()), ("sim_q", pa.int64()), ("blk", pa.int32())])
-
-
-def _search_shards(radius: int, block: int):
-    """Over rows (key, rep, sim, sim_q) sorted by key: links of shards up to block members; rows of larger shards as they are,
-    with the number of their block, and one row (a = b = NULL, sim = NULL) per such shard with its number of blocks."""
-
-    def shard(sims: np.ndarray, reps: np.ndarray, out: set[tuple[int, int]]) -> None:
-        if len(reps) == 2:
-            if max(np.bitwise_count(sims[0] ^ sims[1])) <= radius:
-                out.add((int(min(reps)), int(max(reps))))
-            return
-        tree, s, r = BKTree(), sims.tolist(), reps.tolist()
-        for i, ((fp, fq), rep) in enumerate(zip(s, r)):
-            for j in tree.within(fp, radius):
-                if (s[j][1] ^ fq).bit_count() <= radius:
-                    out.add((min(r[j], rep), max(r[j], rep)))
-            tree.add(fp, i)
+    words = ", ".join(f"{s} bigint" for s in _SKETCH)
+    return src.mapInArrow(_fingerprint(apart, bands, rows), f"{kept}, cls bigint, sizes bigint, {words}, bands array<bigint>")
+
+
+class Members:
+    """Rows (key, rep, role, sizes, sketch words) of shards as arrays. role: 0 for both, 1 only looked up, 2 only looking."""
+
+    def __init__(self, key, rep, role, sizes, prints) -> None:
+        self.key, self.rep, self.role, self.sizes, self.prints = key, rep, role, sizes, prints
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> Members:
+        col = lambda k: batch.column(k).to_numpy(zero_copy_only=False)
+        prints = np.stack([col(s).view(np.uint64) for s in _SKETCH], 1) if batch.num_rows else np.zeros((0, len(_SKETCH)), np.uint64)
+        return Members(col("key"), col("rep"), col("role").astype(np.int8), col("sizes"), prints)
+
+    @staticmethod
+    def join(parts: list[Members]) -> Members:
+        return parts[0] if len(parts) == 1 else Members(*(np.concatenate([getattr(p, a) for p in parts]) for a in ("key", "rep", "role", "sizes", "prints")))
+
+    def take(self, at) -> Members:
+        return Members(self.key[at], self.rep[at], self.role[at], self.sizes[at], self.prints[at])
+
+    def __len__(self) -> int:
+        return len(self.key)
+
+
+def search(m: Members, shard: np.ndarray, differ: float, tree: np.ndarray, ask: np.ndarray, seen: list | None = None) -> np.ndarray:
+    """Pairs (a, b) of different classes of a shard (numbers, ascending) whose fields may both be alike; differ = 1 - threshold.
+
+    tree and ask: which rows are held by the trees and which look them up. No pair of the wanted likeness is lost: the sizes
+    of its fields and the distances of their sketches are bounded by the words in which the fields may differ.
+    """
+    t, a = np.nonzero(tree)[0], np.nonzero(ask)[0]
+    both, own = slice(LANES[0], None), slice(0, LANES[0])
+    forest = Forest(m.prints[t, both], shard[t])
+    nq, nc = m.sizes // _HALF, m.sizes % _HALF
+    n = nq + nc
+    radius = np.floor(2 * differ / (1 - differ) * n[a] + 1e-9).astype(np.int64)  # differ * (n + the most words of a partner)
+    out = [np.zeros((0, 2), np.int64)]
+    for i, j in forest.within(m.prints[a, both], shard[a], radius):
+        i, j = a[i], t[j]
+        ok = m.rep[i] != m.rep[j]
+        i, j = i[ok], j[ok]
+        for size, lanes in ((n, both), (nq, own), (nc, None)):
+            most = differ * (size[i] + size[j]) + 1e-9
+            ok = np.abs(size[i] - size[j]) <= most
+            if lanes:
+                ok &= sketches.distance(m.prints[i, lanes], m.prints[j, lanes]) <= most
+            i, j = i[ok], j[ok]
+        out.append(np.stack([m.rep[i], m.rep[j]], 1))
+    if seen is not None:
+        seen.append((forest.visited, len(a), len(forest.item)))
+    return np.unique(np.concatenate(out), axis=0)
+
+
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("role", pa.int32()), ("sizes", pa.int64()), *((s, pa.int64()) for s in _SKETCH), ("blk", pa.int32())])
+PAIR = "a bigint, b bigint, key bigint, role int, sizes bigint, " + ", ".join(f"{s} bigint" for s in _SKETCH) + ", blk int"
+
+
+def _table(n: int, **cols) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in _PAIR], schema=_PAIR)
+
+
+def _oriented(ab: np.ndarray, role_free: bool) -> np.ndarray:
+    """Each pair once, smaller class first, where the sides of a pair play no part."""
+    return np.unique(np.sort(ab, axis=1), axis=0) if role_free and len(ab) else ab
+
+
+def _search_shards(differ: float, block: int, cross: bool, gather: int = 1 << 17):
+    """Over rows (key, rep, role, sizes, sketch) sorted by (key, rep): links of shards up to block members; rows of larger
+    shards as they are, with the number of their block, and one row (a, b, sizes NULL) per such shard with its number of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ck, cr, cs = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
+        held: list[Members] = []
         big_key, big_n = None, 0  # a large shard that is being passed on
-        links: set[tuple[int, int]] = set()
-
-        def flush_links() -> pa.RecordBatch:
-            ab = list(links)
-            links.clear()
-            n = len(ab)
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in ab], pa.int64()), pa.array([y for _, y in ab], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], schema=_PAIR)
-
-        def overflow(key: int, reps: np.ndarray, sims: np.ndarray, at: int) -> pa.RecordBatch:
-            n = len(reps)
-            blk = ((at + np.arange(n)) // block).astype(np.int32)
-            return pa.RecordBatch.from_arrays([pa.array(reps), pa.nulls(n, pa.int64()), pa.array(np.full(n, key)), *(pa.array(sims[:, k].copy().view(np.int64)) for k in (0, 1)), pa.array(blk)], schema=_PAIR)
-
-        def close_big() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([big_key]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([-(-big_n // block)], pa.int32())], schema=_PAIR)
-
-        def work(k, r, s, last: bool) -> Iterator[pa.RecordBatch]:
-            """Handles all runs but the last one, which may go on in the next batch, and keeps that."""
-            nonlocal big_key, big_n, ck, cr, cs
-            new = np.ones(len(k), dtype=bool)  # a class can come from several batches
-            new[1:] = (k[1:] != k[:-1]) | (r[1:] != r[:-1])
-            k, r, s = k[new], r[new], s[new]
-            edge = np.nonzero(k[1:] != k[:-1])[0] + 1
-            starts, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(k)]])
-            size = ends - starts
-            todo = np.nonzero(size > 1)[0] if len(size) else []
-            tail = 0 if last else 1
-            for i in todo:
-                if i >= len(size) - tail:
-                    break
-                a, z = starts[i], ends[i]
-                if big_key is not None and k[a] == big_key:
-                    continue
-                if size[i] <= block:
-                    shard(s[a:z], r[a:z], links)
-                else:
-                    yield overflow(int(k[a]), r[a:z], s[a:z], 0)
-                    big, n = int(k[a]), int(size[i])
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([big]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([-(-n // block)], pa.int32())], schema=_PAIR)
-            if not last:
-                a = starts[-1]
-                if len(k) - a > block and big_key is None:
-                    big_key, big_n = int(k[a]), 0
-                ck, cr, cs = k[a:], r[a:], s[a:]
+
+        def overflow(m: Members, at: int) -> pa.RecordBatch:
+            blk = (at + np.arange(len(m))) // block
+            return _table(len(m), a=m.rep, key=m.key, role=m.role, sizes=m.sizes, blk=blk, **{s: m.prints[:, k].copy().view(np.int64) for k, s in enumerate(_SKETCH)})
+
+        def close(key: int, n: int) -> pa.RecordBatch:
+            return _table(1, key=[key], blk=[-(-n // block)])
+
+        def work(m: Members) -> Iterator[pa.RecordBatch]:
+            """Whole shards only."""
+            new = np.ones(len(m), dtype=bool)  # a class can come from several batches
+            new[1:] = (m.key[1:] != m.key[:-1]) | (m.rep[1:] != m.rep[:-1]) | (m.role[1:] != m.role[:-1])
+            m = m.take(new)
+            edge = np.nonzero(m.key[1:] != m.key[:-1])[0] + 1
+            size = np.diff(np.concatenate([[0], edge, [len(m)]]))
+            shard = np.repeat(np.arange(len(size)), size)
+            small = ((size > 1) & (size <= block))[shard]
+            s = m.take(small)
+            if len(s):
+                ab = _oriented(search(s, shard[small], differ, s.role < 2, s.role != 1), not cross)
+                if len(ab):
+                    yield _table(len(ab), a=ab[:, 0].copy(), b=ab[:, 1].copy())
+            for i in np.nonzero(size > block)[0]:
+                big = m.take(shard == i)
+                yield overflow(big, 0)
+                yield close(int(big.key[0]), len(big))
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k = np.concatenate([ck, batch.column(0).to_numpy(zero_copy_only=False)])
-            r = np.concatenate([cr, batch.column(1).to_numpy(zero_copy_only=False)])
-            s = np.concatenate([cs, np.stack([batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in (2, 3)], 1)])
+            m = Members.of(batch)
             if big_key is not None:
-                m = int(np.searchsorted(k != big_key, True)) if (k != big_key).any() else len(k)
-                yield overflow(big_key, r[:m], s[:m], big_n)
-                big_n += m
-                k, r, s = k[m:], r[m:], s[m:]
-                if len(k):
-                    yield close_big()
-                    big_key = None
-                else:
-                    ck, cr, cs = k, r, s
+                k = int((m.key == big_key).sum())  # a run at the start
+                yield overflow(m.take(slice(0, k)), big_n)
+                big_n += k
+                m = m.take(slice(k, None))
+                if not len(m):
                     continue
-            yield from work(k, r, s, False)
-            if big_key is not None:
-                yield overflow(big_key, cr, cs, 0)
-                big_n = len(cr)
-                ck, cr, cs = ck[:0], cr[:0], cs[:0]
-            if len(links) > 50_000:
-                yield flush_links()
+                yield close(big_key, big_n)
+                big_key = None
+            held.append(m)
+            if sum(map(len, held)) < gather:
+                continue
+            m = Members.join(held)
+            last = len(m) - int((m.key == m.key[-1]).sum())
+            yield from work(m.take(slice(0, last)))
+            rest = m.take(slice(last, None))
+            held = [rest]
+            if len(rest) > block:
+                big_key, big_n, held = int(rest.key[0]), len(rest), []
+                yield overflow(rest, 0)
         if big_key is not None:
-            yield close_big()
-            big_key = None
-        elif len(ck):
-            yield from work(ck, cr, cs, True)
-        if links:
-            yield flush_links()
+            yield close(big_key, big_n)
+        if held:
+            yield from work(Members.join(held))
 
     return run
 
 
-def _search_blocks(radius: int):
-    """Over rows (key, i, j, blk, rep, sim, sim_q) sorted by (key, i, j, blk): links between blocks i and j, or within i = j."""
+def _search_blocks(differ: float, cross: bool):
+    """Over rows (key, i, j, blk, rep, role, sizes, sketch) sorted by (key, i, j, blk): links between blocks i and j, or within i = j."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, tree = None, BKTree()
+        held: list[pa.RecordBatch] = []
+
+        def work(part: pa.Table) -> pa.RecordBatch:
+            part = part.combine_chunks().to_batches()[0]
+            m = Members.of(part)
+            blk, i, j = (part.column(c).to_numpy(zero_copy_only=False) for c in ("blk", "i", "j"))
+            if cross:
+                tree, ask = m.role == 1, m.role == 2
+            else:
+                tree, ask = blk == i, blk == j
+            ab = _oriented(search(m, np.zeros(len(m), np.int64), differ, tree, ask), not cross)
+            return pa.RecordBatch.from_arrays([pa.array(ab[:, 0].copy()), pa.array(ab[:, 1].copy())], ["a", "b"])
+
+        def groups(whole: bool) -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(held)
+            k = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], 1)
+            cut = np.concatenate([[0], np.nonzero((k[1:] != k[:-1]).any(axis=1))[0] + 1, [len(k)]])
+            for a, z in zip(cut[:-1], cut[1:] if whole else cut[1:-1]):
+                yield work(t.slice(a, z - a))
+            held[:] = [] if whole else t.slice(cut[-2]).combine_chunks().to_batches()
+
         for batch in batches:
-            a, b = [], []
-            for key, i, j, blk, rep, sim, sim_q in zip(*(c.to_pylist() for c in batch.columns)):
-                if (key, i, j) != at:
-                    at, tree = (key, i, j), BKTree()
-                fp = sim & 0xFFFFFFFFFFFFFFFF
-                if i == j or blk == j:
-                    for other, other_q in tree.within(fp, radius):
-                        if other != rep and ((sim_q ^ other_q) & 0xFFFFFFFFFFFFFFFF).bit_count() <= radius:
-                            a.append(min(other, rep))
-                            b.append(max(other, rep))
-                if blk == i:
-                    tree.add(fp, (rep, sim_q))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            if batch.num_rows:
+                held.append(batch)
+                if sum(b.num_rows for b in held) > 4 * BLOCK:
+                    yield from groups(False)
+        if held:
+            yield from groups(True)
 
     return run
 
 
-def link_classes(fp: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """(a, b): classes that share a shard and lie within radius of each other in both fields; a < b, each pair once.
+def link_classes(fp: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, sides: str | None = None) -> DataFrame:
+    """(a, b): classes that share a shard and whose sketches allow the likeness in both fields, each pair once, a < b.
 
-    fp: (cls, sim, sim_q, bands) of ``fingerprints``.
+    fp: (cls, sizes, sketch, bands) of ``fingerprints``. sides names a Boolean column of fp: then a is a class with it false and
+    b one with it true, and other pairs are not looked for.
     """
-    rows = fp.select(F.explode("bands").alias("key"), F.col("cls").alias("rep"), "sim", "sim_q").repartition("key").sortWithinPartitions("key", "rep")
-    found = materialise(rows.mapInArrow(_search_shards(radius, block), "a bigint, b bigint, key bigint, sim bigint, sim_q bigint, blk int"))
-    links = found.where("key is null").select("a", "b")
-    many = found.where("key is not null and a is null").select("key", F.col("blk").alias("n"))
-    big = found.where("key is not null and a is not null").select("key", "blk", F.col("a").alias("rep"), "sim", "sim_q").join(many, "key")
-    pairs = big.select(
-        "key", "blk", "rep", "sim", "sim_q", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("o")
-    ).select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "rep", "sim", "sim_q")
-    more = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "blk").mapInArrow(_search_blocks(radius), "a bigint, b bigint")
-    return links.unionByName(more).distinct()
+    role = F.lit(0) if sides is None else F.when(F.col(sides), 2).otherwise(1)
+    rows = fp.select(F.explode("bands").alias("key"), F.col("cls").alias("rep"), role.alias("role"), "sizes", *_SKETCH).repartition("key").sortWithinPartitions("key", "rep", "role")
+    found = materialise(rows.mapInArrow(_search_shards(1 - threshold, block, sides is not None), PAIR))
+    pair = (F.col("a"), F.col("b")) if sides is None else (F.col("b").alias("a"), F.col("a").alias("b"))
+    links = found.where("key is null").select(*pair)
+    many = found.where("key is not null and sizes is null").select("key", F.col("blk").alias("n"))
+    big = found.where("key is not null and sizes is not null").select("key", "blk", F.col("a").alias("rep"), "role", "sizes", *_SKETCH).join(many, "key")
+    pairs = big.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "rep", "role", "sizes", *_SKETCH)
+    more = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "blk").mapInArrow(_search_blocks(1 - threshold, sides is not None), "a bigint, b bigint")
+    return links.unionByName(more.select(*pair)).distinct()
 
 
 def _verify(threshold: float):
+    """Over rows (ga, gb, a, b, q, c) sorted by (ga, gb, a is NULL last): texts (b NULL) of a pair of blocks, then its links."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[tuple[int, str], list[int]] = {}
+        at, text, bag = None, {}, {}
 
-        def bag(key: int, kind: str, text: str | None) -> list[int]:
-            k = (key, kind)
-            got = cache.get(k)
+        def words(cls: int, k: int) -> list[int]:
+            got = bag.get((cls, k))
             if got is None:
-                if len(cache) > 4000:
-                    cache.clear()
-                got = cache[k] = bags.word_hashes(bags.words(text))
+                got = bag[cls, k] = bags.word_hashes(bags.words(text[cls][k]))
             return got
 
         for batch in batches:
             out = []
-            for a, b, qa, ca, qb, cb in zip(*(c.to_pylist() for c in batch.columns)):
-                x = bags.likeness(bag(a, "q", qa), bag(b, "q", qb))
+            for ga, gb, a, b, q, c in zip(*(c.to_pylist() for c in batch.columns)):
+                if (ga, gb) != at:
+                    at, text, bag = (ga, gb), {}, {}
+                if b is None:
+                    text[a] = (q, c)
+                    continue
+                x = bags.likeness(words(a, 0), words(b, 0))
                 if x < threshold:
                     continue
-                y = bags.likeness(bag(a, "c", ca), bag(b, "c", cb))
+                y = bags.likeness(words(a, 1), words(b, 1))
                 if y >= threshold:
                     out.append((a, b, x, y))
             yield pa.RecordBatch.from_arrays(
@@ -317,23 +313,27 @@ def _verify(threshold: float):
 BROADCAST_ROWS = 1_000_000
 
 
-def at_most(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df to be broadcast if it has no more than so many rows (of a few numbers each), else as it is."""
+def at_most(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """df to be broadcast if it has no more than so many rows (of a few numbers each), else as it is and joined by shuffle."""
+    rows = BROADCAST_ROWS if rows is None else rows
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def verify(links: DataFrame, rows: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b, like_q, like_c) of the linked classes whose two fields are both alike.
 
-    rows: (cls, row), the class of each row; texts: (row, q, c).
+    rows: (cls, row), the class of each row; texts: (row, q, c). Classes are spread over blocks of about BLOCK_CHARACTERS;
+    links are grouped by the blocks of their two classes and each text goes to a group once, however many links it has there.
     """
-    need = links.select(F.col("a").alias("cls")).unionByName(links.select(F.col("b").alias("cls"))).distinct()
+    need = links.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     first = materialise(rows.join(need, "cls", "left_semi").groupBy("cls").agg(F.min("row").alias("row")))
     t = materialise(texts.join(at_most(first), "row").select("cls", "q", "c"))
-    ta = t.select(F.col("cls").alias("a"), F.col("q").alias("qa"), F.col("c").alias("ca"))
-    tb = t.select(F.col("cls").alias("b"), F.col("q").alias("qb"), F.col("c").alias("cb"))
-    both = links.join(ta, "a").join(tb, "b").select("a", "b", "qa", "ca", "qb", "cb")
-    return both.mapInArrow(_verify(threshold), "a bigint, b bigint, like_q double, like_c double")
+    size = t.agg(F.sum(F.coalesce(F.length("q"), F.lit(0)) + F.coalesce(F.length("c"), F.lit(0))).alias("n")).first()["n"] or 0
+    block = lambda c: F.pmod(F.xxhash64(F.lit(5), c), F.lit(1 + 2 * int(size) // BLOCK_CHARACTERS)).cast("int")
+    both = links.select(block("a").alias("ga"), block("b").alias("gb"), "a", "b")
+    sent = both.select("ga", "gb", F.explode(F.array("a", "b")).alias("cls")).distinct().join(t, "cls").select("ga", "gb", F.col("cls").alias("a"), F.lit(None).cast("bigint").alias("b"), "q", "c")
+    every = sent.unionByName(both.withColumn("q", F.lit(None).cast("string")).withColumn("c", F.lit(None).cast("string")))
+    return every.repartition("ga", "gb").sortWithinPartitions("ga", "gb", F.col("b").asc_nulls_first(), "a").mapInArrow(_verify(threshold), "a bigint, b bigint, like_q double, like_c double")
 
 
 def expand(links: DataFrame, members: DataFrame) -> DataFrame:
@@ -344,30 +344,42 @@ def expand(links: DataFrame, members: DataFrame) -> DataFrame:
     return across.unionByName(inside).select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
 
 
-def records(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", extra: list[str] | None = None, apart: str | None = None, simhash: bool = True, bands: int = sketches.BANDS, rows: int = sketches.ROWS) -> DataFrame:
-    """Fingerprints (id, row, ...extra, cls, sim, sim_q, bands) of all rows with an id, written once."""
+def records(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", extra: list[str] | None = None, apart: str | None = None) -> DataFrame:
+    """Fingerprints (id, row, ...extra, cls, sizes, sketch, bands) of all rows with an id, written once."""
     src = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(row_col).cast("bigint").alias("row"), *(extra or []), F.col(q).alias("q"), F.col(c).alias("c"))
-    return materialise(fingerprints(src, "q", "c", ["id", "row", *(extra or [])], apart, simhash, bands, rows))
+    return materialise(fingerprints(src, "q", "c", ["id", "row", *(extra or [])], apart))
 
 
-def near_duplicates(
-    df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id",
-    threshold: float = THRESHOLD, radius: int = RADIUS, block: int = BLOCK,
-) -> tuple[DataFrame, DataFrame]:
+def texts_of(df: DataFrame, q: str = "question", c: str = "context", row_col: str = "row_id") -> DataFrame:
+    return df.select(F.col(row_col).cast("bigint").alias("row"), F.col(q).alias("q"), F.col(c).alias("c"))
+
+
+def near_duplicates(df: DataFrame, q: str = "question", c: str = "context", id_col: str = "id", row_col: str = "row_id", threshold: float = THRESHOLD, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(links between classes (a, b, like_q, like_c), members (id, cls)).
 
     A class is a set of records with equal word bags in both fields. Rows with a NULL id are no records; rows that repeat an
     id are the same record and count once, with the texts of the smallest row. NULL and empty texts are alike (likeness 1),
     an empty and a non-empty text are not (0). Other columns of df are ignored. An empty df gives empty results.
-    """
+    """
     fp = records(df, q, c, id_col, row_col)
     members = fp.groupBy("id").agg(F.min_by("cls", "row").alias("cls"))
-    links = materialise(link_classes(fp, radius, block))
-    texts = df.select(F.col(row_col).cast("bigint").alias("row"), F.col(q).alias("q"), F.col(c).alias("c"))
-    return verify(links, fp.select("cls", "row"), texts, threshold), members
+    links = materialise(link_classes(fp.where(F.size("bands") > 0), threshold, block))
+    return verify(links, fp.select("cls", "row"), texts_of(df, q, c, row_col), threshold), members
 
 
 def near_duplicate_pairs(df: DataFrame, **kw) -> DataFrame:
     """(id_a, id_b): all pairs of different records whose two fields are alike; see ``near_duplicates``."""
     links, members = near_duplicates(df, **kw)
     return expand(links, materialise(members))
+
+
+def groups(df: DataFrame, **kw) -> DataFrame:
+    """(id, cls, copies, links): a row per record with the key of its class, the other records of the class and the number of
+    records of other classes that are alike. No pair of records is formed, so a group of any size costs its rows only."""
+    links, members = near_duplicates(df, **kw)
+    members = materialise(members)
+    size = materialise(members.groupBy("cls").agg(F.count("*").alias("n")))
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = both.join(size.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("links"))
+    per = size.join(linked, "cls", "left").select("cls", (F.col("n") - 1).alias("copies"), F.coalesce("links", F.lit(0)).alias("links"))
+    return members.join(per, "cls").select("id", "cls", "copies", "links")

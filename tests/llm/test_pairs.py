@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from qaforge.llm import bags, crosssplit, neardup, quota_sample, sketches, strata
+from qaforge.llm.bktree import Forest
+from qaforge.llm.fmindex import FMIndex
 
 SCHEMA = "row_id bigint, id string, question string, context string, split string, source string, extra string"
 WORDS = [f"w{i}" for i in range(400)]
@@ -97,8 +99,23 @@ def test_near_duplicates_in_blocks(spark):
     rows = [(i, f"r{i:03d}", "one and the same question", edited(random.Random(i), base, 1) if i % 3 else base + f" v{i}", "train", "s", "x") for i in range(60)]
     rows += [(100 + i, f"s{i:03d}", text(random.Random(i), 8), text(random.Random(-i), 40), "train", "s", "x") for i in range(120)]  # a third is one group
     df = spark.createDataFrame(rows, SCHEMA)
+    want = brute(rows)[0]
     got = {tuple(r) for r in neardup.near_duplicate_pairs(df, block=7).collect()}
-    assert got == brute(rows)[0] and len(got) > 1700
+    assert got == want and len(got) > 1700
+    count = {}
+    for a, b in want:
+        count[a], count[b] = count.get(a, 0) + 1, count.get(b, 0) + 1
+    got = {r["id"]: r["copies"] + r["links"] for r in neardup.groups(df).collect()}
+    assert {k: v for k, v in got.items() if v} == count and len(got) == 180
+
+
+def test_verify_in_many_blocks_and_by_shuffle(spark, monkeypatch):
+    """Links spread over several blocks of texts, and class texts joined by shuffle instead of a broadcast, give the same pairs."""
+    rows = corpus()
+    df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(neardup, "BLOCK_CHARACTERS", 900)
+    monkeypatch.setattr(neardup, "BROADCAST_ROWS", 0)
+    assert {tuple(r) for r in neardup.near_duplicate_pairs(df).collect()} == brute(rows)[0]
 
 
 def test_empty(spark):
@@ -106,25 +123,31 @@ def test_empty(spark):
     assert neardup.near_duplicate_pairs(df).count() == 0 and crosssplit.overlap_pairs(df).count() == 0 and crosssplit.overlap_report(df).count() == 0
 
 
-def test_bk_tree():
-    rng = random.Random(5)
-    fps = [rng.getrandbits(64) for _ in range(300)]
-    fps += [f ^ (1 << rng.randrange(64)) for f in fps[:100]]
-    tree = neardup.BKTree()
-    for i, f in enumerate(fps):
-        tree.add(f, i)
-    for f in fps[:40]:
-        assert sorted(tree.within(f, 5)) == [i for i, g in enumerate(fps) if (f ^ g).bit_count() <= 5]
-
-
-def test_simhash_of_long_texts():
-    f = bags.mix(np.arange(5000, dtype=np.uint64))
-    inv = np.full(5000, sketches.UNIT, dtype=np.uint64)
-    n = np.array([2500, 1, 2499])
-    got = sketches.simhash(f, inv, n)
-    for (a, z), g in zip(((0, 2500), (2500, 2501), (2501, 5000)), got):
-        bits = np.unpackbits(f[a:z].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0)
-        assert bin(int(g)).count("1") == int((2 * bits > z - a).sum())
+def test_forest():
+    rng = np.random.default_rng(5)
+    prints = rng.integers(0, 2**63, (400, 2), dtype=np.uint64)
+    prints[300:] = prints[:100] ^ (np.uint64(1) << rng.integers(0, 63, (100, 1), dtype=np.uint64))
+    prints[50:60] = prints[40]  # equal prints share a node
+    shard = np.sort(rng.integers(0, 5, 400))
+    forest = Forest(prints, shard)
+    radius = rng.integers(0, 50, 400)
+    got = {(q, i) for qs, items in forest.within(prints, shard, radius) for q, i in zip(qs.tolist(), items.tolist())}
+    d = np.bitwise_count(prints[:, None] ^ prints[None]).sum(axis=2, dtype=int)
+    assert got == {(q, i) for q in range(400) for i in range(400) if shard[q] == shard[i] and d[q, i] <= radius[q]}
+    assert list(Forest(prints[:0], shard[:0]).within(prints, shard, radius)) == []
+    near = Forest(prints, np.zeros(400, np.int64))
+    list(near.within(prints, np.zeros(400, np.int64), np.full(400, 3)))
+    assert near.visited < 0.35 * 400 * 400  # a small radius leaves out most of a tree
+
+
+def test_odd_sketches_never_break_the_bound():
+    rng = np.random.default_rng(7)
+    for size in (3, 40, 900):
+        a = bags.mix(rng.integers(0, 2**62, size, dtype=np.uint64))
+        for differ in (0, 1, size // 3, size):
+            b = np.concatenate([a[differ:], bags.mix(rng.integers(0, 2**62, differ, dtype=np.uint64))])
+            s = sketches.odd_sketch(np.concatenate([a, b]), np.array([len(a), 0, len(b)]), 3)
+            assert sketches.distance(s[:1], s[2:])[0] <= 2 * differ and not s[1].any()
 
 
 def test_overlaps(spark):
@@ -140,17 +163,89 @@ def test_overlaps(spark):
 def test_fm_index():
     rng = np.random.default_rng(1)
     docs = [rng.integers(2, 12, rng.integers(5, 60)) for _ in range(20)]
-    fm = crosssplit.FMIndex(docs)
-    probe = np.concatenate([docs[3][:20], docs[7][-15:]])
-    own, doc, covered, runs = fm.matches([probe], [4])
-    by = dict(zip(doc.tolist(), covered.tolist()))
-    assert by[3] >= min(len(docs[3]), 20) - 3 and by[7] >= min(len(docs[7]), 15) - 3
-    lo, hi = np.array([0]), np.array([fm.n])
-    for w in reversed(docs[0][2:5].tolist()):
-        lo, hi = fm.step(np.array([w]), lo, hi)
-    at = sorted(fm.locate(np.arange(lo[0], hi[0])).tolist())
-    flat = fm.text.tolist()
-    assert at == [i for i in range(len(flat) - 2) if flat[i : i + 3] == docs[0][2:5].tolist()]
+    docs += [docs[3].copy(), np.zeros(0, np.int64)]
+    fm = FMIndex(docs)
+    flat = [w for d in docs for w in [*d.tolist(), 1]] + [0]
+    for a, w in ((2, 3), (0, 1), (1, 4)):
+        tile = docs[0][a : a + w]
+        lo, hi = fm.ranges(docs[0], np.array([a]), np.array([w]))
+        assert sorted(fm.locate(np.arange(lo[0], hi[0])).tolist()) == [i for i in range(len(flat) - w) if flat[i : i + w] == tile.tolist()]
+    lo, hi = fm.ranges(np.array([fm.unknown, 3]), np.array([0]), np.array([2]))
+    assert lo[0] == hi[0]
+    # walks over the whole text in both directions
+    row, back, seen = np.array([0]), [], []
+    for _ in range(len(flat)):
+        back.append(int(fm.before(row)[0]))
+        row = fm.back(row, fm.before(row))
+    for _ in range(len(flat)):
+        word, row = fm.ahead(row)
+        seen.append(int(word[0]))
+    assert back[:-1][::-1] + [0] == flat and sorted(seen) == sorted(flat)
+    same = FMIndex([docs[0]] * 200)
+    assert same.nbytes < 0.25 * 8 * same.n  # repeats cost next to nothing
+
+
+def test_maximal_matches():
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(2, 5000, 40) for _ in range(30)]
+    fm = FMIndex(docs)
+    probe = np.concatenate([docs[3][5:25], [fm.unknown], docs[7][-15:], [fm.unknown], docs[7][:9]])
+    own, doc, covered, runs = crosssplit.matches(fm, [probe, docs[9]], np.array([4, 4]))
+    got = {(o, d): (c, r) for o, d, c, r in zip(own.tolist(), doc.tolist(), covered.tolist(), runs.tolist())}
+    assert got[0, 3] == (20, 1) and got[0, 7] == (24, 2) and got[1, 9] == (40, 1)
+
+
+def zh(rng, n):
+    return [chr(0x4E00 + rng.randrange(900)) for _ in range(n)]
+
+
+def altered(rng, ws, likeness, how, word):
+    """ws with as many edits, spread evenly, as the likeness allows."""
+    n, out = len(ws), list(ws)
+    k = int(n * (1 - likeness) + 1e-9)
+    if how == "replace":
+        for j in range(k):
+            out[(2 * j + 1) * n // (2 * k)] = word(rng)
+    elif how == "insert":
+        k = int(2 * n * (1 - likeness) / likeness + 1e-9)
+        for j in reversed(range(k)):
+            out.insert((2 * j + 1) * n // (2 * k), word(rng))
+    else:
+        rng.shuffle(out)
+        for j in range(k // 2):
+            out[j] = word(rng)
+    return out
+
+
+@pytest.mark.parametrize("script", ["words", "zh"])
+@pytest.mark.parametrize("how", ["replace", "insert", "shuffle"])
+@pytest.mark.parametrize("likeness", [0.85, 0.9])
+def test_no_edit_pattern_hides_a_routed_text(script, how, likeness):
+    """Recall of the index search is 1 for every length from 2 words on, edits as hostile as the likeness allows."""
+    rng = random.Random(8)
+    word = (lambda r: "x" + str(r.randrange(10**6))) if script == "words" else (lambda r: chr(0x6E00 + r.randrange(900)))
+    make = (lambda n: [rng.choice(WORDS) for _ in range(n)]) if script == "words" else (lambda n: zh(rng, n))
+    glue = (" " if script == "words" else "").join
+    sizes = [*range(2, 20), 25, 33, 40, 60, 90, 160, 300]
+    base = [make(n) for n in sizes]
+    shard = crosssplit.Shard([(k, "q", glue(t)) for k, t in enumerate(base)])
+    asked = [altered(rng, t, likeness, how, word) for t in base]
+    want = {(100 + k, k) for k, (a, b) in enumerate(zip(base, asked)) if bags.likeness(a, b) >= 0.85}
+    got = shard.search([(100 + k, "q", glue(t), [k]) for k, t in enumerate(asked)], 0.85)
+    assert {(t, e) for t, e, *_ in got if t == 100 + e} == want and len(want) > len(sizes) / 2
+
+
+def test_hostile_texts_are_found_end_to_end(spark):
+    """Short texts with a changed middle word, Chinese texts with a change in every eighth character, shuffled words."""
+    rng = random.Random(21)
+    w7, w40 = [f"a{i}" for i in range(7)], [f"b{i}" for i in range(40)]
+    z15, z160 = zh(rng, 15), zh(rng, 160)
+    other = list(w40)
+    rng.shuffle(other)
+    pairs = [(" ".join(w7), " ".join([*w7[:3], "x", *w7[4:]])), (" ".join(w40), " ".join(other)), ("".join(z15), "".join([*z15[:7], "龘", *z15[8:]])), ("".join(z160), "".join("龘" if i % 8 == 4 else c for i, c in enumerate(z160)))]
+    rows = [(2 * i + k, f"{i}{s}", "q", t[k], s, "src", "x") for i, t in enumerate(pairs) for k, s in enumerate(("train", "test"))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {tuple(r) for r in crosssplit.overlap_pairs(df).collect()} == {(f"{i}test", f"{i}train") for i in range(4)}
 
 
 def test_strata_take(spark):
