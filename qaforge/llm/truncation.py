@@ -2,9 +2,13 @@
 
 Every value gets an *ending class* from its last characters (``ending``). Per source and field the lengths of whole prose
 are a log-normal distribution, of which cut values show only a lower bound: they are right-censored. ``fit_lengths`` fits
-it by maximum likelihood (EM over a histogram of lengths), finds the candidate limits (lengths at which values with open
-endings pile up), and gives each limit the hazard of being cut there. A value's censoring posterior, from hazard times
-survival at a limit against the density of whole values of that length, is then combined with the evidence of its ending.
+it by maximum likelihood over a histogram of lengths and ending classes, by an EM whose hidden variable is whether a value was
+cut: the M-step fits the censored lengths, the hazard of being cut at each candidate limit (lengths at which values without a
+closed ending pile up), the rate of values that lost their end at any length, and how often cut and whole values show each
+ending; the E-step gives the posterior of each length and ending, from hazard times survival against the density of whole
+values of that length, and from the ratio of the two ending rates. The posterior decides open ends, abbreviations and list-like
+lines. Fixed beforehand is only what is proof by itself: a mark left by a cut inside a sentence; on the other side a closed
+sentence, and labels and figures, which have no end to lose.
 """
 
 from __future__ import annotations
@@ -24,9 +28,11 @@ from . import bags
 from ..session import materialise
 
 FIELDS = ("model_reasoning", "model_answer")
-EMPTY, MARK, OPEN, DOUBT, CLOSED, WHOLE = range(6)
-#: Log likelihood ratio, cut against whole, of each ending class. EMPTY is never cut.
-EVIDENCE = {EMPTY: -30.0, MARK: 12.0, OPEN: 9.0, DOUBT: -3.0, CLOSED: -12.0, WHOLE: -12.0}
+EMPTY, MARK, OPEN, DOUBT, CLOSED, WHOLE, LINE = range(7)
+#: Pseudo-counts of the ending classes among cut and among whole values. A class without one is never cut inside a sentence; a mark is proof of a cut.
+CUT_ENDINGS = {MARK: 1.0, OPEN: 1.0, DOUBT: 0.05, LINE: 0.05}
+WHOLE_ENDINGS = {MARK: 0.001, OPEN: 0.005, DOUBT: 0.1, LINE: 1.0}
+MOST_LOST = 0.2  # share of a source's values that the fit starts with as having lost their end at any length
 
 _MARK = re.compile(
     r"(?:\s*+(?:\[\s*(?:output |text |response )?(?:truncated|cut|cut off)\b[^\]\n]{0,20}\]?|\(\s*(?:output |text )?(?:truncated|cut off)\s*\)?|"
@@ -66,8 +72,9 @@ def _unbalanced_json(t: str) -> bool:
 
 def ending(text: str | None, question: str | None = None) -> int:
     """Ending class of a text: EMPTY, MARK (a mark left by a cut, inside a sentence), OPEN (stops inside a sentence), DOUBT (an
-    abbreviation that may or may not end the sentence), CLOSED (ends with a sentence), WHOLE (a figure, label, option,
-    list item, conclusion line or copied question, which need no stop)."""
+    abbreviation that may or may not end the sentence), CLOSED (ends with a sentence), WHOLE (a figure, label, option or copied
+    question, which need no stop), LINE (stops in a list item, conclusion line, choice, table row or bracket, which need none
+    either but can be cut)."""
     t = (text or "").rstrip(" \t\r\n　​﻿\xa0")
     if not t.strip("​﻿ "):
         return EMPTY
@@ -82,15 +89,11 @@ def ending(text: str | None, question: str | None = None) -> int:
     if _STOP.search(core):
         return DOUBT if _ABBREVIATION.search(core) else CLOSED
     line = t.rsplit("\n", 1)[-1]
-    if _BULLET.match(line) or _RESULT.match(line) or _CHOICE.search(line):
-        return WHOLE
-    if t[-1] in "}>":
-        return WHOLE
-    if "|" in line and "\n" in t or line.count("|") >= 2:
-        return WHOLE
+    n = len(bags.words(t))
+    if _BULLET.match(line) or _RESULT.match(line) or _CHOICE.search(line) or t[-1] in "}>" or "|" in line and "\n" in t or line.count("|") >= 2:
+        return LINE if n > 5 else WHOLE
     if copied(t, question):
         return WHOLE
-    n = len(bags.words(t))
     prose = re.search(r"[.!?]\s|[。！？]", t)
     if not prose and n <= (24 if _CJK.search(t) else 10):
         return WHOLE
@@ -143,37 +146,69 @@ def censored_lognormal(x: np.ndarray, w: np.ndarray, cx: np.ndarray, cw: np.ndar
     return mu, sd
 
 
-FIT = "source string, field_name string, at int, mu double, sigma double, prior double"
+FIT = "source string, field_name string, at int, ending int, mu double, sigma double, prior double, post double"
+_erfc = np.vectorize(math.erfc, otypes=[float])
+
 
+def _near(length: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Mean number of values of the ten lengths on either side of each."""
+    lo, hi = np.searchsorted(length, length - 10), np.searchsorted(length, length + 10, side="right")
+    total = np.concatenate([[0.0], np.cumsum(n)])
+    return (total[hi] - total[lo] - n) / 20
 
-def fit_lengths(hist: pd.DataFrame) -> pd.DataFrame:
+
+def _limits(length: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which lengths are candidate limits: those with far more values (n, without closed endings) than their neighbours."""
+    near = _near(length, n)
+    return n - near >= np.maximum(3.0, 4 * np.sqrt(near + 0.25))
+
+
+def fit_lengths(hist: pd.DataFrame, limits: bool = True, rounds: int = 12) -> pd.DataFrame:
     """Fit of one source and field. hist: (source, field_name, length, ending, n).
 
-    One row per length that occurs, with the prior log odds that a value of that length is cut, before its ending is seen.
+    One row per length and ending that occur: prior, the log odds that a value of that length is cut, before its ending is
+    seen, and post, the probability that one of that length and ending is. limits=False leaves the candidate limits out.
     """
     src, field = hist.source.iloc[0], hist.field_name.iloc[0]
-    cut = hist[hist.ending.isin([MARK, OPEN])].groupby("length").n.sum()
-    whole = hist[hist.ending.isin([CLOSED, DOUBT])].groupby("length").n.sum()
-    both = hist[hist.ending != EMPTY].groupby("length").n.sum()
-    log = lambda s: np.log(np.maximum(s.index.to_numpy(dtype=float), 1))
-    mu, sd = censored_lognormal(log(whole), whole.to_numpy(float), log(cut), cut.to_numpy(float))
-    n_cut, n_all = float(cut.sum()), float(max(both.sum(), 1))
-    spread = max(len(cut), 1)
-    usual = float(np.median(cut)) if len(cut) >= 8 else 1.0
-    limits = {int(k): float(v) for k, v in cut.items() if v >= 3 and v > 4 * max(usual, n_cut / (10 * spread))}
-    loose = n_cut - sum(limits.values())
-    survive = lambda k: 0.5 * math.erfc((math.log(max(k, 1)) - mu) / sd / math.sqrt(2))
-    density = lambda k: math.exp(-(((math.log(max(k, 1)) - mu) / sd) ** 2) / 2) / (max(k, 1) * sd * math.sqrt(2 * math.pi))
-    rows = []
-    for k in both.index:
-        # hazard: of the values that would be longer, the share that ends here; lost ends may fall on any length
-        s = max(survive(k), 1e-9)
-        at_risk = max(n_all * s, 1.0)
-        hazard = min(0.9, limits.get(int(k), 0.0) / at_risk)
-        lost = (loose + 0.5) / (n_all + 1) / max(k, 50)
-        odds = (hazard * s + lost) / max(density(k) * (1 - hazard), 1e-9)
-        rows.append((src, field, int(k), mu, sd, min(6.0, max(-6.0, math.log(max(odds, 1e-9))))))
-    return pd.DataFrame(rows, columns=["source", "field_name", "at", "mu", "sigma", "prior"])
+    length, ending, n = (hist[c].to_numpy() for c in ("length", "ending", "n"))
+    at, k = np.unique(length, return_inverse=True)
+    x, wide = np.log(np.maximum(at, 1).astype(float)), np.maximum(at, 1).astype(float)
+    n = n.astype(float)
+    n_all = max(float(n[ending != EMPTY].sum()), 1.0)
+    may, prose = np.isin(ending, list(CUT_ENDINGS)), np.isin(ending, [CLOSED, DOUBT, OPEN, MARK])
+    limit = _limits(at, np.bincount(k, n * may, len(at))) & limits
+    lines = _near(at, np.bincount(k, n * (ending == LINE), len(at)))
+    open_ = np.isin(ending, [OPEN, MARK])
+    lost = n[open_ & ~limit[k]].sum()
+    post = np.where(open_, np.where(limit[k] | (ending == MARK), 1.0, min(1.0, (MOST_LOST * n_all + 5) / max(lost, 1.0))), np.where(may, 0.02, 0.0))
+    for _ in range(rounds):
+        cut = np.bincount(k, n * post, len(at))
+        whole = np.bincount(k, n * (1 - post) * prose, len(at))
+        mu, sd = censored_lognormal(x, whole, x, cut)
+        z = (x - mu) / sd
+        survive, density = np.maximum(_erfc(z / math.sqrt(2)) / 2, 1e-9), np.maximum(np.exp(-z * z / 2) / (wide * sd * math.sqrt(2 * math.pi)), 1e-9)
+        hazard = np.where(limit, np.minimum(0.9, cut / np.maximum(n_all * survive, 1.0)), 0.0)  # of the values that would be longer, the share that ends here
+        loose = (cut[~limit].sum() + 0.5) / (n_all + 1) / np.maximum(wide, 50)  # lost ends may fall on any length
+        prior = np.log((hazard * survive + loose) / (density * (1 - hazard)))
+        sums = {c: (float((n * post)[ending == c].sum()), float((n * (1 - post))[ending == c].sum())) for c in CUT_ENDINGS}
+        n_cut, n_whole = sum(v for v, _ in sums.values()) + sum(CUT_ENDINGS.values()), n_all - sum(v for v, _ in sums.values()) + sum(WHOLE_ENDINGS.values()) + 1
+        odds = np.full(len(n), -np.inf)
+        for c, (a, b) in sums.items():
+            own = ending == c
+            if c == MARK:
+                odds[own] = np.inf
+                continue
+            of_cut = math.log((a + CUT_ENDINGS[c]) / n_cut)
+            if c == LINE:  # such lines have lengths of their own, so only more of them at a limit than beside it tell of cuts
+                odds[own] = (of_cut + np.log(np.maximum(hazard * survive, 1e-12)) - np.log((lines + 0.5) / n_all))[k[own]]
+            else:
+                odds[own] = prior[k[own]] + of_cut - math.log((b + WHOLE_ENDINGS[c]) / n_whole)
+        new = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        done = np.abs(new - post).max(initial=0) < 1e-6
+        post = new
+        if done:
+            break
+    return pd.DataFrame({"source": src, "field_name": field, "at": length.astype(np.int32), "ending": ending.astype(np.int32), "mu": mu, "sigma": sd, "prior": prior[k], "post": np.where(np.isneginf(odds), 0.0, post)})
 
 
 def score(df: DataFrame) -> DataFrame:
@@ -185,11 +220,8 @@ def score(df: DataFrame) -> DataFrame:
     e = materialise(endings(df).withColumn("source", F.coalesce("source", F.lit(""))).dropDuplicates(["id", "field_name"]))
     hist = e.groupBy("source", "field_name", "length", "ending").agg(F.count("*").alias("n"))
     fit = hist.groupBy("source", "field_name").applyInPandas(fit_lengths, FIT)
-    weight = F.element_at(F.create_map(*[x for k, v in EVIDENCE.items() for x in (F.lit(k), F.lit(v))]), F.col("ending"))
-    odds = F.coalesce(F.col("prior"), F.lit(-6.0)) + weight
     return (
-        e.join(fit.withColumnRenamed("at", "length"), ["source", "field_name", "length"], "left")
-        .withColumn("posterior", 1 / (1 + F.exp(-odds)))
+        e.join(fit.select("source", "field_name", F.col("at").alias("length"), "ending", F.col("post").alias("posterior")), ["source", "field_name", "length", "ending"])
         .select("id", "source", "field_name", "length", "ending", "posterior", (F.col("posterior") > 0.5).alias("cut"))
     )
 

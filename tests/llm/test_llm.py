@@ -17,8 +17,8 @@ QA = "id string, source string, question string, model_reasoning string, model_a
     [
         (None, truncation.EMPTY), (" \n", truncation.EMPTY), ("All done.", truncation.CLOSED), ("The rate is 5 percent of the", truncation.WHOLE), ("First it fell. Then the rate of the", truncation.OPEN),
         ("It fell. Then it\n[TRUNCATED]", truncation.MARK), ("It fell. Then it…", truncation.MARK), ("It fell. Then it ...[output truncated", truncation.MARK), ("先看第一行。再看第二�", truncation.MARK),
-        ("It fell.\n[TRUNCATED]", truncation.CLOSED), ("41,569", truncation.WHOLE), ("positive", truncation.WHOLE), ("Reason.\nConclusion: 5", truncation.WHOLE), ("理由充分。\n结论:收购", truncation.WHOLE),
-        ("理由充分。因此选择 选项C", truncation.WHOLE), ("Key points:\n- a: $5\n- b: $6", truncation.WHOLE), ('{"reasoning": "a. b', truncation.OPEN), ('{"a": "b."}', truncation.CLOSED), ("1 | 2 | net income", truncation.WHOLE),
+        ("It fell.\n[TRUNCATED]", truncation.CLOSED), ("41,569", truncation.WHOLE), ("positive", truncation.WHOLE), ("5\nConclusion: 5", truncation.WHOLE), ("All is well here so far.\nConclusion: 5", truncation.LINE), ("理由充分。\n结论:收购", truncation.LINE),
+        ("理由充分。因此选择 选项C", truncation.LINE), ("Key points:\n- a: $5\n- b: $6", truncation.LINE), ('{"reasoning": "a. b', truncation.OPEN), ('{"a": "b."}', truncation.CLOSED), ("1 | 2 | net income", truncation.WHOLE),
         ("先看第一行,再看第二行,最后看第三", truncation.WHOLE), ("先看。再看第二行,最后看第三", truncation.OPEN), ("(B)", truncation.WHOLE), ("One column was [TRUNCATED] here.", truncation.CLOSED),
     ],
 )
@@ -45,6 +45,30 @@ def test_limit_raises_prior():
     assert fit[600] > fit[300] + 2
 
 
+def _fit(rows, **kw):
+    h = pd.DataFrame(rows, columns=["length", "ending"]).value_counts().rename("n").reset_index()
+    fit = truncation.fit_lengths(h.assign(source="s", field_name="f"), **kw)
+    return {(a, e): p for a, e, p in zip(fit["at"], fit["ending"], fit["post"])}
+
+
+def test_the_limit_decides_lines_and_open_ends():
+    """Without the limit both verdicts change: the fit decides, not the form of the ending."""
+    rng = np.random.default_rng(3)
+    closed = [(int(x), truncation.CLOSED) for x in np.exp(rng.normal(5, 0.4, 2000))]
+    lines = closed + [(int(x), truncation.LINE) for x in np.exp(rng.normal(5, 0.4, 600))] + [(160, truncation.LINE)] * 80
+    assert _fit(lines)[160, truncation.LINE] > 0.5 > _fit(lines, limits=False)[160, truncation.LINE]
+    assert all(p < 0.5 for (a, e), p in _fit(lines).items() if e == truncation.LINE and a != 160)
+    # a source whose whole values often have no stop
+    loose = closed[:400] + [(int(x), truncation.OPEN) for x in np.exp(rng.normal(5, 0.4, 1600))] + [(170, truncation.OPEN)] * 150
+    got = _fit(loose)
+    assert got[170, truncation.OPEN] > 0.5 > _fit(loose, limits=False)[170, truncation.OPEN]
+    assert np.mean([got[x, e] < 0.5 for x, e in loose if e == truncation.OPEN and x != 170 and 110 < x < 220]) > 0.98  # of usual lengths
+    # a source whose values end with a stop: open ends are cut wherever they fall, marks too
+    usual = closed + [(111, truncation.OPEN), (133, truncation.OPEN), (97, truncation.MARK), (140, truncation.DOUBT)]
+    got = _fit(usual)
+    assert got[111, truncation.OPEN] > 0.9 and got[97, truncation.MARK] > 0.9 and got[140, truncation.DOUBT] < 0.5 and got[closed[0]] == 0
+
+
 def test_cut_values(spark):
     whole = "The first part is fine. The second part is fine as well."
     rows = [(f"w{i}", "s", "q?", whole + " And more of it." * (i % 7), "5", 1) for i in range(60)]
