@@ -62,7 +62,7 @@ def test_the_limit_decides_lines_and_open_ends():
     loose = closed[:400] + [(int(x), truncation.OPEN) for x in np.exp(rng.normal(5, 0.4, 1600))] + [(170, truncation.OPEN)] * 150
     got = _fit(loose)
     assert got[170, truncation.OPEN] > 0.5 > _fit(loose, limits=False)[170, truncation.OPEN]
-    assert np.mean([got[x, e] < 0.5 for x, e in loose if e == truncation.OPEN and x != 170 and 110 < x < 220]) > 0.98  # of usual lengths
+    assert np.mean([got[x, e] < 0.5 for x, e in loose if e == truncation.OPEN and x != 170 and 140 < x < 240]) > 0.98  # of usual lengths
     # a source whose values end with a stop: open ends are cut wherever they fall, marks too
     usual = closed + [(111, truncation.OPEN), (133, truncation.OPEN), (97, truncation.MARK), (140, truncation.DOUBT)]
     got = _fit(usual)
