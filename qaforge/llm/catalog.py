@@ -20,7 +20,7 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.defective_pairs(table(spark, sf_dir, "qa_samples"))
+    return pairs.defective_pairs(table(spark, sf_dir, "qa_samples"), langid.fit(table(spark, sf_dir, "documents")))
 
 
 def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -219,7 +219,7 @@ def score(df: DataFrame) -> DataFrame:
     """
     e = materialise(endings(df).withColumn("source", F.coalesce("source", F.lit(""))).dropDuplicates(["id", "field_name"]))
     hist = e.groupBy("source", "field_name", "length", "ending").agg(F.count("*").alias("n"))
-    fit = hist.groupBy("source", "field_name").applyInPandas(fit_lengths, FIT)
+    fit = hist.groupBy("source", "field_name").applyInPandas(lambda h: fit_lengths(h), FIT)
     return (
         e.join(fit.select("source", "field_name", F.col("at").alias("length"), "ending", F.col("post").alias("posterior")), ["source", "field_name", "length", "ending"])
         .select("id", "source", "field_name", "length", "ending", "posterior", (F.col("posterior") > 0.5).alias("cut"))

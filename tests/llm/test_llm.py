@@ -112,18 +112,37 @@ def test_copies():
     assert not pairs.copies_question("What was the percentage change - the answer is 5, i.e. $6 after higher freight costs of several regional units are taken into account", q) and not pairs.copies_question("5", q) and not pairs.copies_question("x y", None)
 
 
-def test_languages():
+@pytest.fixture(scope="module")
+def model(spark):
+    return langid.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def test_languages(model):
     en, zh, de = "What was the change in the order backlog of the group?", "材料中的公司预计何时完成交易?", "Die Anleihe wird mit zwei Prozent verzinst und läuft noch zehn Monate."
-    assert pairs.wrong_language(en, "消极", None) and pairs.wrong_language(en, "5", de) and not pairs.wrong_language(en, "B", "The total of the group is given in the table.") and not pairs.wrong_language(zh, "Foo Holdings", "材料给出了金额。")
-    assert not pairs.wrong_language("Please answer in German. " + en, de, "The text is in the passage of the note.") and pairs.wrong_language("Please answer in French. " + en, de, None) and pairs.wrong_language(zh, "收购", "The table of the group shows that it is so.")
+
+    def wrong(q, a, r):
+        return pairs.wrong_language(q, a, *pairs.languages([q, a, r], model))
+
+    assert wrong(en, "消极", None) and wrong(en, "5", de) and not wrong(en, "B", "The total of the group is given in the table.") and not wrong(zh, "Foo Holdings", "材料给出了金额。")
+    assert not wrong("Please answer in German. " + en, de, "The text is in the passage of the note.") and wrong("Please answer in French. " + en, de, None) and wrong(zh, "收购", "The table of the group shows that it is so.")
+    long = en + " The group reported orders of 5 million in its note on the year." * 12
+    assert not wrong(long + " Please answer in German.", de, None) and wrong(long, de, None)  # a request holds wherever it stands
+    assert pairs.languages([None, "", "5,000 | 7", "(B)", "Marfell Oyj"], model) == [None] * 5
+
+
+def test_refusals_with_gaps_and_later_clauses():
+    yes = ["Thank you for your question. I am sorry, but I cannot help with that request.", "I really cannot help with this request.", "Es tut mir leid, aber ich kann bei dieser Anfrage leider nicht helfen.", "Je suis désolé, mais je ne peux malheureusement pas répondre à cette question.",
+           "Lo siento, pero no puedo ayudarle con eso.", "感谢您的提问。很抱歉,我无法回答这个问题。", "Hm. I cannot assist with questions of this type."]
+    no = ["I can't see how that would help the firm.", "The loan is secured by the plant. The rate is fixed for ten years and the lender may not raise it. I cannot comment on the tax.", "The bank said it cannot provide a date. The plant opens in May.", "感谢您的提问。该公司毛利率为5%。"]
+    assert all(map(pairs.is_refusal, yes)) and not any(map(pairs.is_refusal, no))
 
 
-def test_defective_pairs(spark):
+def test_defective_pairs(spark, model):
     q = "What was the change in the order backlog of the group?"
     rows = [("a", "s", q, "It is in the table.", "5", 1), ("b", "s", q, "x", None, 1), ("c", "s", q, None, None, 1), ("d", "s", q, "It is.", q, 1), ("e", "s", q, "It is.", "It rose. Then it fell to the", 1), ("e", "s", q, "It is.", "It rose. Then it fell to the", 1), ("f", "s", None, None, "5", 1), (None, "s", q, "x", "", 1)]
-    got = {tuple(r) for r in pairs.defective_pairs(spark.createDataFrame(rows, QA)).collect()}
+    got = {tuple(r) for r in pairs.defective_pairs(spark.createDataFrame(rows, QA), model).collect()}
     assert got == {("b", "empty_answer"), ("d", "copies_question"), ("e", "truncated_answer")}
-    assert pairs.defective_pairs(spark.createDataFrame([], QA)).count() == 0
+    assert pairs.defective_pairs(spark.createDataFrame([], QA), model).count() == 0
 
 
 def words(rng, n, stem="w"):
