@@ -1,11 +1,11 @@
 """Evaluation texts leaking into training text.
 
-Evaluation items are cut into windows of WORDS words (CJK characters count as words, windows of them are longer), each with
-a 64-bit SimHash; together the windows of an item span it whole, so an item may stand in a document as one run, in pieces,
-or with single words replaced. Every window of every document is fingerprinted in the same way by running sums, and
-looked up in a multi-index of the items' fingerprints: four blocks of 16 bits, of which at least one is equal whenever the
-distance is at most RADIUS = 3. A document and item with a window in common are a candidate, which is verified by the
-weighted share of the item's own shingles that the document holds. Weights fall with the number of different texts that
+Evaluation items are cut into windows of WINDOW words (CJK characters count as words, windows of them are longer; a shorter
+item is one window of its own size), each with a 64-bit SimHash; together the windows of an item span it whole, so an item may
+stand in a document as one run, in pieces, or with single words replaced. Every window of every document is fingerprinted in
+the same way by running sums, and looked up in a multi-index of the items' fingerprints: four blocks of 16 bits, of which at
+least one is equal whenever the distance is at most RADIUS = 3. A document and item with a window in common are a candidate,
+which is verified by the weighted share of the item's own shingles that the document holds. Weights fall with the number of different texts that
 hold a shingle, so that disclaimers and stock phrases count next to nothing; copies of a text, reformatted ones included,
 count once, so that a leak does not become a stock phrase by being copied.
 
@@ -19,6 +19,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,13 @@ from .bags import chunks as _chunks
 from ..session import materialise
 
 #: Words of a window and of a shingle, for texts of letters and of CJK characters.
-WINDOW, SHINGLE = (8, 12), (3, 6)
+WINDOW, SHINGLE = (6, 10), (3, 6)
 STRIDE = 2  # between an item's windows; documents have one at each word
 RADIUS = 3
-FIRST_SHARE = 0.2  # unweighted share of an item's shingles below which a candidate is not passed on
+STOCK_ITEMS = 0.02  # a window that more than this share of the items (and more than 5) hold is a stock phrase, no item's own wording
 SHARE = 0.3  # weighted share from which a document repeats about half of an item
 STOCK_SHARE, STOCK_WEIGHT = 0.1, 0.05  # shingles in so many texts have the smallest weight
-BLOCK_ITEMS = 5_000
+BLOCK_ITEMS = 20_000
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,60}>")
 U = np.uint64
 
@@ -135,45 +136,52 @@ class MultiIndex:
 
 
 class Items:
-    """Index of a block of items: window fingerprints by kind of text, own shingles and which items hold them."""
+    """Index of a block of items: window fingerprints by kind of text and size, own shingles and which items hold them."""
 
     def __init__(self, texts: list[str | None]) -> None:
         h, n, cjk = _hashes(texts)
-        per = np.array([cjk[a:b].mean() > 0.5 if b > a else False for a, b in zip(np.cumsum(n) - n, np.cumsum(n))], dtype=bool)
+        ends = np.cumsum(n)
+        per = np.array([cjk[a:b].mean() > 0.5 if b > a else False for a, b in zip(ends - n, ends)], dtype=bool)
         self.count = len(texts)
-        self.index, sh, own = [], [], []
+        self.index: list[tuple[int, int, MultiIndex]] = []  # kind, size, fingerprints
+        self.shingle_sizes: list[tuple[int, int]] = []
+        sh, own = [], []
         for kind in (0, 1):
-            starts, owner = _runs(n, WINDOW[kind])
-            first = np.cumsum(n) - n
-            rel = starts - first[owner]
-            mine = (per[owner] == bool(kind)) & ((rel % STRIDE == 0) | (rel + WINDOW[kind] == n[owner]))
-            starts, owner = starts[mine], owner[mine]
-            fp = window_prints(h, starts, WINDOW[kind]) if len(starts) else np.zeros(0, np.uint64)
-            # windows that many items share are stock phrases, no item's own wording
-            u, inv = np.unique(fp, return_inverse=True)
-            pairs = np.unique(np.stack([inv, owner], 1), axis=0) if len(fp) else np.zeros((0, 2), np.int64)
-            many = np.bincount(pairs[:, 0], minlength=len(u)) > max(5, 0.02 * self.count)
-            keep = ~many[pairs[:, 0]]
-            self.index.append(MultiIndex(u[pairs[keep, 0]], pairs[keep, 1]))
-            starts, owner = _runs(n, SHINGLE[kind])
-            mine = per[owner] == bool(kind)
-            sh.append(_shingles(h, starts[mine], SHINGLE[kind]))
-            own.append(owner[mine])
-        sh, own = np.concatenate(sh), np.concatenate(own)
+            mine = (per == bool(kind)) & (n > 0)
+            for size in np.unique(np.minimum(n[mine], WINDOW[kind])).tolist():
+                take = mine & (np.minimum(n, WINDOW[kind]) == size)
+                starts, owner = _runs(n, size)
+                rel = starts - (ends - n)[owner]
+                keep = take[owner] & ((rel % STRIDE == 0) | (rel + size == n[owner]))
+                starts, owner = starts[keep], owner[keep]
+                u, inv = np.unique(window_prints(h, starts, size), return_inverse=True)
+                pairs = np.unique(np.stack([inv, owner], 1), axis=0)
+                many = (np.bincount(pairs[:, 0], minlength=len(u)) > max(5, STOCK_ITEMS * self.count))[pairs[:, 0]]
+                # an item that would lose half of its windows keeps them all
+                few = 2 * np.bincount(pairs[many, 1], minlength=self.count) >= np.bincount(pairs[:, 1], minlength=self.count)
+                pairs = pairs[~many | few[pairs[:, 1]]]
+                self.index.append((kind, size, MultiIndex(u[pairs[:, 0]], pairs[:, 1])))
+            for size in np.unique(np.minimum(n[mine], SHINGLE[kind])).tolist():
+                starts, owner = _runs(n, size)
+                keep = (mine & (np.minimum(n, SHINGLE[kind]) == size))[owner]
+                sh.append(_shingles(h, starts[keep], size))
+                own.append(owner[keep])
+                self.shingle_sizes.append((kind, size))
+        sh, own = np.concatenate([np.zeros(0, np.uint64), *sh]), np.concatenate([np.zeros(0, np.int64), *own])
         self.known, idx = np.unique(sh, return_inverse=True)
         pairs = np.unique(np.stack([own, idx], 1), axis=0) if len(sh) else np.zeros((0, 2), np.int64)
-        self.by_item = [pairs[pairs[:, 0] == i, 1] for i in range(self.count)] if self.count <= 500 else np.split(pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(1, self.count)))
+        self.by_item = np.split(pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(1, self.count))) if self.count else []
         self.filter = np.zeros(1 << 22, dtype=bool)
         self.filter[(self.known >> U(42)).astype(np.int64)] = True
 
     def known_shingles(self, h: np.ndarray, n: np.ndarray, cjk_texts: np.ndarray, other_texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(text, number of the shingle) of all shingles of items, each once per text."""
-        got = []
-        for kind, take in ((0, other_texts), (1, cjk_texts)):
-            starts, owner = _runs(n, SHINGLE[kind])
-            ok = take[owner]
+        got = [np.zeros(0, np.int64)]
+        for kind, size in self.shingle_sizes:
+            starts, owner = _runs(n, size)
+            ok = (other_texts, cjk_texts)[kind][owner]
             starts, owner = starts[ok], owner[ok]
-            s = _shingles(h, starts, SHINGLE[kind])
+            s = _shingles(h, starts, size)
             maybe = self.filter[(s >> U(42)).astype(np.int64)]
             s, owner = s[maybe], owner[maybe]
             at = np.minimum(np.searchsorted(self.known, s), max(len(self.known) - 1, 0))
@@ -209,19 +217,20 @@ def _scan(items: Items):
                 if not len(h):
                     continue
                 zh = bags.segment_sum(cjk.astype(np.int64), n)
-                is_zh, other = zh >= SHINGLE[1], n - zh >= SHINGLE[0]
+                is_zh, other = zh > 0, n > zh
                 text, shingle = items.known_shingles(h, n, is_zh, other)
                 first = np.searchsorted(text, np.arange(z - a + 1))
                 for d, key in enumerate(_text_keys(h, n).tolist()):
                     if key not in seen:
                         seen[key] = [EVERY, *shingle[first[d] : first[d + 1]].tolist()]
                 pairs = []
-                for kind, take in ((0, other), (1, is_zh)):
+                for kind, size, index in items.index:
+                    take = (other, is_zh)[kind]
                     rows = np.nonzero(take)[0]
-                    starts, owner = _runs(n[rows], WINDOW[kind])
-                    if len(starts) and len(items.index[kind].prints):
+                    starts, owner = _runs(n[rows], size)
+                    if len(starts):
                         own = h if len(rows) == len(n) else h[np.repeat(take, n)]
-                        who, item = items.index[kind].probe(window_prints(own, starts, WINDOW[kind]))
+                        who, item = index.probe(window_prints(own, starts, size))
                         pairs.append(rows[owner[who]] * items.count + item)
                 if not pairs:
                     continue
@@ -229,7 +238,7 @@ def _scan(items: Items):
                     d, i = divmod(p, items.count)
                     own = items.by_item[i]
                     have = np.intersect1d(own, shingle[first[d] : first[d + 1]], assume_unique=True)
-                    if len(have) >= FIRST_SHARE * len(own):
+                    if len(have):
                         out.append((ids[a + d], i, have.tolist()))
             k = len(seen)
             yield pa.RecordBatch.from_arrays(
@@ -259,14 +268,14 @@ def _verify(weight: np.ndarray, total: np.ndarray, item_ids: list[int], share: f
 def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, share): documents that repeat at least about half of an item's own wording, and what weighted share.
 
-    docs: (doc_id, text); items: (item_id, text), read to the driver in blocks of BLOCK_ITEMS. NULL and blank texts hold
-    nothing, and items of fewer words than a shingle can not be found. Empty tables give no rows. Whole texts are scanned.
+    docs: (doc_id, text); items: (item_id, text), of which the driver holds BLOCK_ITEMS at a time, with one pass over docs for
+    each. NULL and blank texts hold nothing; an item of any length is found, one shorter than a window only as a whole. Empty
+    tables give no rows. Whole texts are scanned.
     """
-    rows = [(r["item_id"], r["text"]) for r in items.where("text is not null").select("item_id", "text").orderBy("item_id").toLocalIterator()]
+    rows = ((r["item_id"], r["text"]) for r in items.where("text is not null").select("item_id", "text").orderBy("item_id").toLocalIterator())
     src = docs.select(F.col("doc_id").cast("bigint"), "text")
     out = None
-    for a in range(0, len(rows), BLOCK_ITEMS):
-        block = rows[a : a + BLOCK_ITEMS]
+    while block := list(islice(rows, BLOCK_ITEMS)):
         index = Items([t for _, t in block])
         found = materialise(src.mapInArrow(_scan(index), _FOUND))
         df, n_texts = np.ones(max(len(index.known), 1)), 1

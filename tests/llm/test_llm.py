@@ -166,6 +166,28 @@ def test_leaks(spark):
     assert {r["item_id"]: r["documents"] for r in leakage.leaked_items(d, e).collect()} == {2: 1, 4: 1, 8: 1}
 
 
+def test_leaks_of_items_of_any_length(spark):
+    """An item of six words is found in a document that is that item, and in running text; so are items of one window or less."""
+    rng = random.Random(9)
+    items = [(k, words(rng, k)) for k in (1, 2, 3, 4, 5, 6, 7, 9)] + [(50, "".join(chr(0x4E00 + rng.randrange(800)) for _ in range(8)))]
+    filler = [(500 + i, words(rng, 80)) for i in range(60)]
+    docs = [(i, t) for i, t in items] + [(100 + i, words(rng, 30) + " " + t + " " + words(rng, 30)) for i, t in items] + filler
+    d, e = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in leakage.leaks(d, e).collect()}
+    want = {(i + a, i) for i, _ in items for a in (0, 100)}
+    assert want <= got and all(i == 1 for _, i in got - want)  # a single word stands in other texts as well
+
+
+@pytest.mark.parametrize("density,least", [(0.05, 1.0), (0.1, 0.98), (0.15, 0.9)])
+def test_leaks_with_replaced_words(spark, density, least):
+    rng = random.Random(10)
+    items = [(i, words(rng, 60)) for i in range(60)]
+    docs = [(i, " ".join(f"z{rng.randrange(10**6)}" if rng.random() < density else w for w in t.split())) for i, t in items] + [(500 + i, words(rng, 80)) for i in range(100)]
+    d, e = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in leakage.leaks(d, e).collect()}
+    assert got <= {(i, i) for i, _ in items} and len(got) >= least * len(items)
+
+
 def test_leak_in_many_copies(spark):
     """Half of an item in a document that a third of the rows repeat, some of them reformatted, is a leak in each of them."""
     rng = random.Random(16)
