@@ -32,6 +32,7 @@ SAMPLE_DOCS = 1500  # labelled documents to train on, about
 DIM = 1 << 16
 MIN_LETTERS = 12  # a shorter sentence has no language of its own
 SURE = 0.6
+LEAST = 3  # sentences from which a language counts as one of the document
 REJECTED = (0.15, 0.35, 0.5)  # a label that the model gives less than this after 1, 2, more rounds is taken for wrong
 
 _LINE = re.compile(r"[\r\n]+")
@@ -301,10 +302,32 @@ def labels(docs: DataFrame, model: Model | None = None) -> DataFrame:
     )
 
 
+def _count(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, named, texts = (c.to_pylist() for c in batch.columns)
+            for a, z in _chunks([texts], 400_000):
+                flat, owner = [], []
+                for i in range(a, z):
+                    ss = sentences(texts[i])
+                    flat.extend(ss)
+                    owner.extend([i - a] * len(ss))
+                if not flat:
+                    continue
+                p, size = model.probabilities(flat)
+                best = p.argmax(axis=1)
+                sure = (size >= MIN_LETTERS) & (p[np.arange(len(flat)), best] >= SURE)
+                n = np.bincount(np.array(owner)[sure] * len(LANGUAGES) + best[sure], minlength=(z - a) * len(LANGUAGES)).reshape(-1, len(LANGUAGES))
+                doc, lang = np.nonzero(n >= LEAST)
+                got = [(ids[a + d], LANGUAGES[k]) for d, k in zip(doc.tolist(), lang.tolist()) if named[a + d] != LANGUAGES[k]]
+                yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in got], pa.int64()), pa.array([k for _, k in got], pa.string())], ["doc_id", "lang_found"])
+
+    return run
+
+
 def unnamed_languages(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """(doc_id, lang_found): languages of at least three sentences that the document's label does not name."""
+    """(doc_id, lang_found): languages of at least LEAST sentences that the document's label does not name. All of a document
+    stands in one row, so nothing is shuffled; rows that repeat a doc_id count each for itself."""
     model = model or fit(docs)
-    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    found = src.mapInArrow(_label(model), _SEG).groupBy("doc_id", "lang_found").agg(F.sum("sentences").alias("k")).where("k >= 3")
-    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), named_language(F.col("lang")).alias("named"))
-    return found.join(named, "doc_id").where("named is null or named <> lang_found").select("doc_id", "lang_found")
+    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), named_language(F.col("lang")).alias("named"), "text")
+    return src.mapInArrow(_count(model), "doc_id bigint, lang_found string")

@@ -54,9 +54,12 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     return src.mapInArrow(_count(tokenizer), "doc_id bigint, source string, chars bigint, tokens bigint")
 
 
+LIGHTEST = 0.1  # smallest weight of a document
+
+
 def quality(chars: Column, tokens: Column) -> Column:
-    """Weight in [0.1, 1]: running text has more characters per token than tables and markup; very short texts count less."""
-    return F.greatest(F.lit(0.1), F.least(F.lit(1.0), chars / (tokens * 4.0)) * F.least(F.lit(1.0), tokens / 100.0))
+    """Weight in [LIGHTEST, 1]: running text has more characters per token than tables and markup; very short texts count less."""
+    return F.greatest(F.lit(LIGHTEST), F.least(F.lit(1.0), chars / (tokens * 4.0)) * F.least(F.lit(1.0), tokens / 100.0))
 
 
 def mix(docs: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -84,7 +87,8 @@ def mix(docs: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: i
     )
     plan = materialise(plan)  # one row per mix and source
     rows = tok.where("tokens > 0").join(F.broadcast(plan.select("mix_id", "source", "epochs", "budget")), "source")
-    key = F.pow(strata.uniform("mix_id", "doc_id", seed=seed), 1 / quality(F.col("chars"), F.col("tokens")))
+    # u ** (LIGHTEST / w) orders as u ** (1 / w) does, but spreads the keys of light documents over all ranges
+    key = F.pow(strata.uniform("mix_id", "doc_id", seed=seed), LIGHTEST / quality(F.col("chars"), F.col("tokens")))
     part = strata.take(rows.where("budget > 0").select("mix_id", "source", "doc_id", "tokens", (1 - key).alias("u")), plan.where("budget > 0"), ["mix_id", "source"], "u", "tokens", "doc_id")
     whole = rows.where("epochs > 0").select("mix_id", "source", "doc_id", "tokens", F.col("epochs").alias("repeats"))
     drawn = whole.unionByName(part.select("mix_id", "source", "doc_id", "tokens", F.lit(1).alias("repeats"))).groupBy("mix_id", "source", "doc_id", "tokens").agg(F.sum("repeats").alias("repeats"))
