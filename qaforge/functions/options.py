@@ -26,7 +26,7 @@ def _letter_index(letter: Column) -> Column:
 
 
 def choice_index(answer: Column, options: Column) -> Column:
-    """Index from 0 of the option an answer selects, or NULL (C14): a stand-alone letter a to f anywhere, a 1-based number,
+    """Index from 0 of the option an answer selects, or NULL (C14): a letter a to f that stands alone or right after an option word, a 1-based number,
     an option's text, or a text that holds that of an option of at least 4 characters."""
     n = F.size(F.coalesce(options, F.array().cast("array<string>")))
 
@@ -41,7 +41,7 @@ def choice_index(answer: Column, options: Column) -> Column:
         )
 
     def parts(t: Column) -> Column:
-        letter = F.regexp_extract(t, r"(?i)(?:^|[^\p{L}\p{N}_])([a-f])(?:$|[^\p{L}\p{N}_])", 1)
+        letter = F.regexp_extract(t, r"(?i)(?:^|[^\p{L}\p{N}_])(?:(?:option|choice|answer)\s*[:=-]?\s*)?([a-f])(?:$|[^\p{L}\p{N}_])", 1)
         return T.record(letter=letter, number=F.when(t.rlike("^[0-9]{1,6}$"), t.cast("int") - 1), norm=T.choice_text(t))
 
     return T.let(T.strip(answer), lambda t: F.when(t != "", T.let(parts(t), index)))

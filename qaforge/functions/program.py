@@ -129,12 +129,15 @@ def flat_value(c: Column) -> Column:
     """Value of a program of one two-argument call, or of two of which the second begins with #0, of plain numbers; NULL for
     anything else. Stays in the JVM; ``execute`` handles the rest."""
     ops = "(add|subtract|multiply|divide)"
-    one, two = rf"^{ops}\({_NUM}, ?{_NUM}\)$", rf"^{ops}\({_NUM}, ?{_NUM}\), ?{ops}\(#0, ?{_NUM}\)$"
-    t = T.strip(c)
+    shape = rf"^{ops}\({_NUM}, ?{_NUM}\)(?:, ?{ops}\(#0, ?{_NUM}\))?$"
 
     def apply(op: Column, a: Column, b: Column) -> Column:
-        return F.when(op == "add", a + b).when(op == "subtract", a - b).when(op == "multiply", a * b).when(op == "divide", F.try_divide(a, b))
+        return F.when(op == "add", a + b).when(op == "subtract", a - b).when(op == "multiply", a * b).otherwise(F.try_divide(a, b))
 
-    num = lambda p, k: F.regexp_extract(t, p, k).cast("double")
-    first = apply(F.regexp_extract(t, two, 1), num(two, 2), num(two, 3))
-    return F.when(t.rlike(one), apply(F.regexp_extract(t, one, 1), num(one, 2), num(one, 3))).when(t.rlike(two), apply(F.regexp_extract(t, two, 4), first, num(two, 5)))
+    def value(m: Column) -> Column:
+        first = apply(m["op"], m["a"], m["b"])
+        return F.when(m["op"] == "", None).when(m["then"] == "", first).otherwise(T.let(first, lambda x: apply(m["then"], x, m["c"])))
+
+    part = lambda t, k: F.regexp_extract(t, shape, k)
+    num = lambda t, k: part(t, k).try_cast("double")
+    return T.let(T.strip(c), lambda t: T.let(T.record(op=part(t, 1), a=num(t, 2), b=num(t, 3), then=part(t, 4), c=num(t, 5)), value))

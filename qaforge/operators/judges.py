@@ -107,13 +107,17 @@ def sentiment(answer: Column, reference: Column) -> Column:
     return T.let(T.record(a=O.sentiment(answer), r=O.sentiment(reference), empty=T.strip(answer) == "", shy=T.abstains(answer, "sentiment")), verdict)
 
 
-def by_source(df_task: Column, source: Column, question: Column, options: Column, answer: Column, reference: Column) -> Column:
-    """The judge of each source's kind of data, by task type (F2); numeric reasoning has no rule."""
+def by_source(df_task: Column, source: Column, question: Column, options: Column, answer: Column, reference: Column, task: Column | None = None) -> Column:
+    """The judge of each source's kind of data, by task type (F2); numeric reasoning has no rule. task names the sub-task of
+    instruction samples, whose rules apply if it is given."""
     none = _verdict(F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(None).cast("string"))
     kind = F.lower(T.strip(df_task))
-    return (
+    out = (
         F.when(kind == "mcq", exam(options, answer, reference)).when(kind == "sentiment", sentiment(answer, reference))
-        .when((kind == "instruction") & source.rlike("alpaca"), open_question(question, answer, reference)).otherwise(none)
+        .when((kind == "instruction") & source.rlike("alpaca"), open_question(question, answer, reference))
     )
+    if task is not None:
+        out = out.when(kind == "instruction", instruction(task, question, answer, reference))
+    return out.otherwise(none)
 
 

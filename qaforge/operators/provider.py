@@ -48,7 +48,7 @@ class MockProvider:
             return Reply(False, error="mock failure")
         if self.broken_every and h % self.broken_every == 0:
             return Reply(True, "the model answers: 42", latency_ms=h % 500)
-        return Reply(True, json.dumps({"reasoning": f"seed {h}", "final_answer": str(h % 1000), "score": h % 2}), latency_ms=h % 500)
+        return Reply(True, json.dumps({"reasoning": f"seed {h}", "final_answer": str(h % 1000), "score": h % 2, "is_consistent": h % 3 == 0, "mismatch_type": "rounding" if h % 5 == 0 else "value_error"}), latency_ms=h % 500)
 
 
 def stream_text(lines: Iterator[str]) -> str:

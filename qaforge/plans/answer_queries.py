@@ -10,9 +10,9 @@ from ..functions import numbers as N
 from ..functions import options as O
 from ..functions import program as P
 from ..functions import text as T
-from ..operators import badcases, judges, repair
+from ..operators import badcases, execution, judges, repair
 from ..session import table
-from .sqlbits import GOLD_NUM, MCQ, NUMERIC_PAIRS, PRED_NUM, PROGRAMS, WS, answer_text, close, label_text, strip
+from .sqlbits import GOLD, GOLD_NUM, MCQ, NUMERIC_PAIRS, PRED_NUM, PROGRAMS, WS, answer_text, close, label_text, strip
 
 
 def _qa(spark: SparkSession, d: str) -> DataFrame:
@@ -92,8 +92,8 @@ def examples_per_category(spark: SparkSession, d: str) -> DataFrame:
 
 
 def program_eval(spark: SparkSession, d: str) -> DataFrame:
-    x = _view(spark, d, "lineitem", PROGRAMS).withColumn("r", P.execute("program"))
-    return _key(x, num=F.col("r.num"), executable=F.col("r.executable"))
+    x = execution.executed(_view(spark, d, "lineitem", PROGRAMS), "program", "r")
+    return _key(x, num=F.col("r.num"), txt=F.col("r.txt"), executable=F.col("r.executable"))
 
 
 def program_flat(spark: SparkSession, d: str) -> DataFrame:
@@ -165,7 +165,7 @@ def sentiment_badcases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def judgment_rule(spark: SparkSession, d: str) -> DataFrame:
-    q = _qa(spark, d).where("source = 'tatqa' and model_answer is not null")
+    q = _qa(spark, d).where("source <> 'financeiq' and model_answer is not null").withColumn("options", F.lit(None).cast("array<string>"))  # exam answers are those of rule_mcq and exam_judge
     g = judges.generic(F.col("question"), F.col("options"), F.col("model_answer"), F.col("reference_answer"))
     return q.select(g["score"].alias("score"), g["method"].alias("method")).groupBy("score", "method").agg(F.count("*").alias("n"))
 
@@ -179,10 +179,30 @@ def repair_route(spark: SparkSession, d: str) -> DataFrame:
     return repair.route(q, max_repairs=50).groupBy("route").agg(F.count("*").alias("n"))
 
 
+def _raw_records(spark: SparkSession, d: str) -> DataFrame:
+    """Records of one table-text source whose answers are programs; one in eleven has another gold answer, one in three none but that of its raw record."""
+    x = _view(spark, d, "lineitem", PROGRAMS)
+    gold = F.when(F.col("l_orderkey") % 11 == 0, F.lit("another")).otherwise(F.col("gold"))
+    raw = F.to_json(F.struct(F.struct(F.struct(gold.alias("answer"), F.col("program")).alias("qa")).alias("raw_sample")))
+    return x.select("l_orderkey", "l_linenumber", "kind", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.lit("finqa").alias("source"),
+                    F.when(F.col("l_orderkey") % 3 == 0, F.lit("")).otherwise(gold).alias("reference_answer"), raw.alias("metadata"), F.col("program").alias("model_answer"))
+
+
+def execution_eval(spark: SparkSession, d: str) -> DataFrame:
+    return _key(execution.evaluated(_raw_records(spark, d)), gold=F.col("gold_answer"), program=F.col("gold_program"), correct=F.col("correct"), executable=F.col("executable"))
+
+
 def execution_report(spark: SparkSession, d: str) -> DataFrame:
-    x = _view(spark, d, "lineitem", PROGRAMS).withColumn("r", P.execute("program"))
-    ok = N.is_close(F.col("r.num"), F.col("expected"), 1e-4, 1e-4)
-    return x.agg(F.count("*").alias("n"), F.avg(F.coalesce(ok, F.lit(False)).cast("double")).alias("accuracy"), F.avg(F.col("r.executable").cast("double")).alias("executable_rate"))
+    return execution.report(execution.evaluated(_raw_records(spark, d)), ["kind"])
+
+
+def gold_answers(spark: SparkSession, d: str) -> DataFrame:
+    return execution.gold(_view(spark, d, "orders", GOLD)).select("o_orderkey", F.col("gold_answer").alias("gold"), F.col("gold_program").alias("program"))
+
+
+def turn_benchmark(spark: SparkSession, d: str) -> DataFrame:
+    m = C.benchmark_turn_match(_question(), F.lit("Amounts in dollars"), F.col(_P), F.col(_G))
+    return _pairs(spark, d).groupBy("kind", m.alias("correct")).agg(F.count("*").alias("n"))
 
 
 QUERIES = {
@@ -190,7 +210,7 @@ QUERIES = {
     for f in (
         isclose, strict_match, lenient_match, sign_error, mismatch_ladder, badcase_counts, multi_turn_match, benchmark_match, unit_scaled, percent_unit_error, rounding_error, examples_per_category, program_eval,
         program_flat, choice_index, rule_mcq, exam_judge, exam_letters, exam_badcases, table_badcases, instruction_judge, yesno_judge, sentiment_judge, sentiment_confusion, sentiment_badcases, judgment_rule,
-        topk_subjects, repair_route, execution_report,
+        topk_subjects, repair_route, execution_report, execution_eval, gold_answers, turn_benchmark,
     )
 }
 
@@ -223,12 +243,15 @@ ORACLES = {
     "examples_per_category": _NP
     + f"""select category, rank, l_orderkey, l_linenumber, gold from (select {_CAT} as category, l_orderkey, l_linenumber, gold, row_number() over (partition by {_CAT} order by l_orderkey, l_linenumber, gold)::int as rank
           from (select *, {_KIND} as k from v)) where category is not null and rank <= 8""",
-    "program_eval": f"select l_orderkey, l_linenumber, expected as num, true as executable from ({PROGRAMS})",
-    "program_flat": f"select l_orderkey, l_linenumber, expected as num, true as is_program from ({PROGRAMS})",
-    "execution_report": f"select count(*) as n, 1.0e0 as accuracy, 1.0e0 as executable_rate from ({PROGRAMS})",
-    "choice_index": f"select p_partkey, case p_partkey % 5 when 0 then ascii(reference_answer) - 65 when 1 then 2 when 2 then 1 end::int as chosen, (ascii(reference_answer) - 65)::int as right from ({MCQ})",
-    "rule_mcq": f"""select p_partkey, case p_partkey % 5 when 0 then 1 when 1 then (reference_answer = 'C')::int when 2 then (reference_answer = 'B')::int end::int as score,
-        case when p_partkey % 5 < 3 then 'rule_mcq' else 'rule_mcq_unresolved' end as method from ({MCQ})""",
+    "program_eval": f"select l_orderkey, l_linenumber, expected as num, expected_txt as txt, runs as executable from ({PROGRAMS})",
+    "program_flat": f"select l_orderkey, l_linenumber, case when kind = 0 then expected end as num, true as is_program from ({PROGRAMS})",
+    "execution_eval": f"""select l_orderkey, l_linenumber, case when l_orderkey % 11 = 0 then 'another' else gold end as gold, program, runs and l_orderkey % 11 <> 0 as correct, runs as executable from ({PROGRAMS})""",
+    "execution_report": f"select kind, count(*) as n, avg((runs and l_orderkey % 11 <> 0)::int::double) as accuracy, avg(runs::int::double) as executable_rate from ({PROGRAMS}) group by kind",
+    "gold_answers": f"""select o_orderkey, case kind when 0 then reference_answer when 1 then json_extract_string(metadata, '$.raw_sample.qa.exe_ans') when 2 then json_extract_string(metadata, '$.raw_sample.qa_1.answer')
+        when 3 then json_extract_string(metadata, '$.raw_sample.qa_10.exe_ans') else '' end as gold,
+        case kind when 0 then json_extract_string(metadata, '$.raw_sample.qa.program_re') when 1 then 'add(3, 4)' when 2 then 'exp(2, 3)' else '' end as program from ({GOLD})""",
+    "choice_index": f"select p_partkey, selects::int as chosen, (ascii(reference_answer) - 65)::int as right from ({MCQ})",
+    "rule_mcq": f"""select p_partkey, (selects = ascii(reference_answer) - 65)::int as score, case when selects is null then 'rule_mcq_unresolved' else 'rule_mcq' end as method from ({MCQ})""",
     "exam_letters": "select row_id, regexp_extract(model_answer, '([A-D])', 1) as letter from qa_samples where source = 'financeiq' and regexp_matches(coalesce(model_answer, ''), '^(选择 |选项)?[A-D]$') union all "
     "select row_id, '' from qa_samples where false",
     "yesno_judge": f"""select row_id, case when asks and x <> '' and y <> '' then (x = y)::int when item and a <> '' and r <> '' then (a = r)::int end::int as score, x as said from (
@@ -248,7 +271,7 @@ ORACLES = {
           from (select *, {_WHY} as why, lower({strip('reference_answer')}) as ref from (select *, {label_text('model_reasoning')} as w from s))) group by all) select category, n, n::double / (select sum(n) from c) as rate from c""",
     "judgment_rule": f"""select score, case when not judged then 'rule_not_applicable' when score is null then 'rule_judgment_unresolved' else 'rule_judgment' end as method, count(*) as n from (
         select judged, case when judged and x <> '' and y <> '' then (x = y)::int end::int as score from (select {_BOOL('model_answer')} as x, {_BOOL('reference_answer')} as y,
-          regexp_matches(lower(coalesce(question, '')), 'true or false|yes or no|是否|判断') or {_BOOL('reference_answer')} <> '' as judged from qa_samples where source = 'tatqa' and model_answer is not null)) group by all""",
+          regexp_matches(lower(coalesce(question, '')), 'true or false|yes or no|是否|判断') or {_BOOL('reference_answer')} <> '' as judged from qa_samples where source <> 'financeiq' and model_answer is not null)) group by all""",
     "topk_subjects": f"select value, n from (select coalesce(nullif({strip(chr(109) + 'etadata->>' + chr(39) + '$.file_name' + chr(39))}, ''), 'unknown') as value, count(*) as n from qa_samples group by all) order by n desc, value limit 10",
 }
 ORACLES["exam_letters"] = (
@@ -263,6 +286,12 @@ ORACLES["multi_turn_match"] = (
         when x is not null then 'calculation_error' else 'text_mismatch' end as mismatch, count(*) as n
       from (select *, strict or {_TURN_LEN} as lenient from (select *, prediction <> '' and replace(prediction, '$', '') = gold as strict from v)) group by all"""
 )
+ORACLES["turn_benchmark"] = (
+    _NP
+    + f"""select kind, strict or (lenient and prediction <> 'cannot be determined') or near as correct, count(*) as n
+      from (select *, strict or {_TURN_LEN} as lenient, coalesce({close('x', 'y', '0.01e0', '0.51e0')} or (pct and {close('x / 100.0e0', 'y', '0.01e0', '0.51e0')}), false) as near
+        from (select *, prediction <> '' and replace(prediction, '$', '') = gold as strict from v)) group by all"""
+)
 ORACLES["unit_scaled"] = (
     _NP
     + f"""select kind, case when kind = 7 then {close('floor(y) * 1e6', 'y * 1e6', '0.01e0', '0.51e0')} or {close('floor(y) * 1e6', 'y', '0.01e0', '0.51e0')}

@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import answer_queries, pipeline_queries, split_queries, text_queries
+from . import answer_queries, pipeline_queries, source_queries, split_queries, text_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-for _m in (split_queries, text_queries, answer_queries, pipeline_queries):
+for _m in (split_queries, text_queries, answer_queries, pipeline_queries, source_queries):
     QUERIES.update(_m.QUERIES)
     ORACLES.update(_m.ORACLES)

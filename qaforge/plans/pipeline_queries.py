@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import filtering, judges, manifest, merge, provider, reply, splits
+from ..operators import filtering, jobs, judges, manifest, merge, provider, reply, splits
 from ..session import table
+from . import text_queries
 from .sqlbits import canonical
 
 #: Weights of domains and of sources within them, as a user would configure them.
@@ -44,14 +45,66 @@ def soft_keep(spark: SparkSession, d: str) -> DataFrame:
 
 
 def two_stage_filter(spark: SparkSession, d: str) -> DataFrame:
-    first = F.when(F.col("judge_success"), F.col("judge.score"))
-    second = F.when(F.col("judge_latency_ms") % 4 > 0, 1).otherwise(0)  # a stand-in for the second judge
-    b = _judged(spark, d).groupBy(filtering.stage_buckets(first, second).alias("bucket")).agg(F.count("*").alias("n"))
-    return b.withColumn("rate", F.col("n") / F.lit(_judged(spark, d).count()))
+    """Both stages over the sources that no rule settles: the second judge is asked about rows that the first kept."""
+    q = _qa(spark, d).where("source in ('finqa', 'tatqa') and model_answer is not null").withColumn("task_type", F.lit("reasoning"))
+    b = jobs.two_stages(q, provider.MockProvider(), provider.MockProvider(fail_every=9, broken_every=8), "row_id")
+    per = b.groupBy("source", "bucket").agg(F.count("*").alias("n"))
+    return per.withColumn("rate", F.col("n") / F.sum("n").over(Window.partitionBy("source")))  # a row per source and bucket
+
+
+def _judged_samples(spark: SparkSession, d: str) -> DataFrame:
+    return _qa(spark, d).where("model_answer is not null")
+
+
+def reasoning_scores(spark: SparkSession, d: str) -> DataFrame:
+    s = jobs.scored_reasoning(_judged_samples(spark, d), provider.MockProvider(), "row_id")
+    return s.select("row_id", "score_success", F.col("score.score").alias("score"), F.col("score.domain_relevance").alias("relevance"), (F.col("score_error") == "").alias("clean"), "score_latency_ms", "bucket")
+
+
+def lenient_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    s = jobs.leniently_judged(_judged_samples(spark, d), provider.MockProvider(), "row_id")
+    return s.select("row_id", "judge_success", F.col("lenient.is_consistent").alias("consistent"), "bucket")
+
+
+def model_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    s = jobs.judged_by_model(_judged_samples(spark, d), provider.MockProvider(), "answer", "row_id")
+    return s.select("row_id", "judge_success", F.col("judge.score").alias("score"), F.col("judge.mismatch_type").alias("mismatch_type"), "judge_latency_ms")
+
+
+def answer_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Rules first, then the model, for every source: who scored and what came of it."""
+    s = jobs.scored_answers(_judged_samples(spark, d), provider.MockProvider(), "row_id")
+    return s.groupBy("source", F.coalesce("judge.scoring_mode", F.lit("failed")).alias("mode"), "bucket").agg(F.count("*").alias("n"))
+
+
+def distilled(spark: SparkSession, d: str) -> DataFrame:
+    """A distil job that resumes: finished rows are reused, filled ones and other splits pass, the rest are asked."""
+    q = _qa(spark, d).withColumn("split", splits.canonical(F.col("split"))).withColumn("model_reasoning", F.when(F.col("row_id") % 3 > 0, F.col("model_reasoning")))
+    done = _qa(spark, d).where("row_id % 4 = 0").select("row_id", F.lit("a").alias("model_answer"), F.lit("r").alias("model_reasoning"))
+    s = jobs.distil(q, provider.MockProvider(broken_every=0), "mock", "v2", done, "row_id")
+    return s.select("row_id", "action", "distill.parse_status", "distill.api_success", "distill.api_latency_ms", F.md5("model_reasoning").alias("reasoning_md5"), (F.length("model_answer") > 0).alias("answered"))
+
+
+def benchmark_run(spark: SparkSession, d: str) -> DataFrame:
+    """A benchmark run that resumes: rows done before keep their prediction."""
+    q = _qa(spark, d).where("source in ('finqa', 'convfinqa', 'tatqa')")
+    before = jobs.benchmark(q.where("row_id % 5 = 0"), provider.MockProvider(fail_every=2, broken_every=0), key="row_id")
+    b = jobs.benchmark(q, provider.MockProvider(broken_every=0), before, "row_id")
+    return b.select("row_id", "api_success", "extracted_answer", "extraction_method", (F.col("mismatch_type") == "api_error").alias("failed"), (F.col("correct") & ~F.col("api_success")).alias("wrongly_right"))
+
+
+def model_repairs(spark: SparkSession, d: str) -> DataFrame:
+    q = _qa(spark, d).where("source = 'convfinqa' and model_answer is not null")
+    return jobs.repaired(q, provider.MockProvider(), key="row_id").groupBy("route", F.col("repaired_answer").isNotNull().alias("repaired")).agg(F.count("*").alias("n"))
+
+
+def task_hints(spark: SparkSession, d: str) -> DataFrame:
+    h = jobs.hints(F.col("metadata"))
+    return _qa(spark, d).select("row_id", *(c.alias(k) for k, c in h.items()))
 
 
 def rule_first_counts(spark: SparkSession, d: str) -> DataFrame:
-    rule = judges.by_source(F.col("task_type"), F.col("source"), F.col("question"), F.col("options"), F.col("model_answer"), F.col("reference_answer"))
+    rule = judges.by_source(F.col("task_type"), F.col("source"), F.col("question"), F.col("options"), F.col("model_answer"), F.col("reference_answer"), F.get_json_object("metadata", "$.file_name"))
     q = filtering.rule_first(_qa(spark, d).where("model_answer is not null"), rule)
     return q.groupBy("source", F.coalesce("judge.scoring_mode", F.lit("open")).alias("mode"), F.col("judge.score").alias("score")).agg(F.count("*").alias("n"))
 
@@ -127,7 +180,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         keep_drop_join, score_summary, mismatch_counts, soft_keep, two_stage_filter, rule_first_counts, call_report, last_calls, resume_skip, fixed_sample, hash_uniform, weighted_pick, pool_stats, quota_draws,
-        manifest_rows, manifest_replay, manifest_join, llm_map_mock, props_payload,
+        manifest_rows, manifest_replay, manifest_join, llm_map_mock, props_payload, reasoning_scores, lenient_verdicts, model_verdicts, answer_scores, distilled, benchmark_run, model_repairs, task_hints,
     )
 }
 
@@ -145,8 +198,6 @@ ORACLES = {
     "mismatch_counts": "select source, judge.mismatch_type as mismatch_type, count(*) as n from judged_rows where coalesce(judge.mismatch_type, '') <> '' group by all",
     "soft_keep": """select source, case when coalesce(judge.judgment = 'correct', false) or coalesce(judge.mismatch_type, '') in ('rounding', 'percent_decimal_equivalent', 'format_only', 'none') then 'keep' else 'drop' end as bucket,
         count(*) as n from judged_rows group by all""",
-    "two_stage_filter": """select bucket, count(*) as n, count(*)::double / (select count(*) from judged_rows) as rate from (select case when not coalesce(judge_success and judge.score = 1, false) then 'answer_drop'
-        when not coalesce(judge_latency_ms % 4 > 0, false) then 'reasoning_drop' else 'keep' end as bucket from judged_rows) group by bucket""",
     "call_report": """select prompt_version, teacher_model, count(*) as n, count(*) filter (parse_status = 'success') as parsed, count(*) filter (parse_status = 'failed') as parse_failed,
         count(*) filter (not coalesce(api_success, false)) as api_failed, coalesce(avg(api_latency_ms) filter (api_latency_ms > 0), 0.0e0) as mean_latency_ms from distill_calls group by all""",
     "last_calls": "select id, call_id, parse_status from (select *, row_number() over (partition by id order by called_at desc nulls last, call_id desc) as o from distill_calls where id is not null and id <> '') where o = 1",
@@ -176,3 +227,35 @@ ORACLES["quota_draws"] = f"""
   src as (select w.d, w.s, dq.q, dq.q * sw / sum(sw) over (partition by w.d) as want from w join dq on w.d = dq.d),
   sq as (select d, s, floor(want) + case when row_number() over (partition by d order by floor(want) - want, s) <= q - sum(floor(want)) over (partition by d) then 1 else 0 end as draws from src)
   select d as task_domain, sq.s as source, n as train_size, draws::bigint as draws, ceil(n * 3.0e0)::bigint as max_draws, draws::double / n as oversample_factor from sq join size on sq.s = size.s"""
+
+
+_H = lambda p: f"cast('0x' || substr(md5({p}), 1, 8) as bigint)"
+_ASKED = f"(select *, {_H(text_queries.PROMPT)} as h from {text_queries.SOURCE_ROWS})"
+
+
+def _hashed(template: str, name: str = "h", rows: str = text_queries.SOURCE_ROWS) -> str:
+    return f"(select *, {_H(text_queries.rendered(jobs.JUDGE_TEMPLATES[template]))} as {name} from {rows})"
+
+
+ORACLES["two_stage_filter"] = f"""
+  with b as (select source, case when a % 10 = 0 or a % 7 = 0 or a % 2 = 0 then 'answer_drop' when h % 9 = 0 or h % 8 = 0 or h % 2 = 0 then 'reasoning_drop' else 'keep' end as bucket
+    from {_hashed('reasoning', 'h', _hashed('answer', 'a'))} where source in ('finqa', 'tatqa') and model_answer is not null)
+  select source, bucket, count(*) as n, count(*) / sum(count(*)) over (partition by source) as rate from b group by source, bucket"""
+ORACLES["reasoning_scores"] = f"""select row_id, ok as score_success, case when ok then h % 2 end::int as score, case when ok then 0 end::int as relevance, ok as clean, case when h % 10 = 0 then 0 else h % 500 end::int as score_latency_ms,
+    case when ok and h % 2 = 1 then 'keep' else 'drop' end as bucket from (select row_id, h, h % 10 <> 0 and h % 7 <> 0 as ok from {_hashed('reasoning')} where model_answer is not null)"""
+ORACLES["lenient_verdicts"] = f"""select row_id, ok as judge_success, ok and h % 3 = 0 as consistent, case when ok and (h % 3 = 0 or h % 5 = 0) then 'keep' else 'drop' end as bucket
+    from (select row_id, h, h % 10 <> 0 and h % 7 <> 0 as ok from {_hashed('lenient')} where model_answer is not null)"""
+ORACLES["model_verdicts"] = f"""select row_id, ok as judge_success, case when ok then h % 2 end::int as score, case when ok then case when h % 5 = 0 then 'rounding' else 'value_error' end end as mismatch_type,
+    case when h % 10 = 0 then 0 else h % 500 end::int as judge_latency_ms from (select row_id, h, h % 10 <> 0 and h % 7 <> 0 as ok from {_hashed('answer')} where model_answer is not null)"""
+_FULL = "trim(coalesce(model_answer, ''), ' ') <> '' and trim(coalesce(case when row_id % 3 > 0 then model_reasoning end, ''), ' ') <> ''"
+ORACLES["distilled"] = f"""
+  select row_id, action, case when action = 'pending' then case when h % 10 = 0 then 'api_failed' else 'success' end end as parse_status, case when action = 'pending' then h % 10 <> 0 end as api_success,
+    case when action = 'pending' then case when h % 10 = 0 then 0 else h % 500 end end::int as api_latency_ms,
+    md5(case action when 'reuse' then 'r' when 'skip' then coalesce(case when row_id % 3 > 0 then model_reasoning end, '') else case when h % 10 = 0 then '' else concat('seed ', h) end end) as reasoning_md5,
+    case action when 'reuse' then true when 'skip' then length(coalesce(model_answer, '')) > 0 else h % 10 <> 0 end as answered
+  from (select *, case when {canonical('split')} not in ('train', 'val') then 'skip' when row_id % 4 = 0 then 'reuse' when {_FULL} then 'skip' else 'pending' end as action from {_ASKED})"""
+ORACLES["benchmark_run"] = f"""
+  select row_id, ok as api_success, case when ok then cast(h % 1000 as varchar) else '' end as extracted_answer, case when ok then 'json' else 'none' end as extraction_method, not ok as failed, false as wrongly_right
+  from (select row_id, h, case when row_id % 5 = 0 then h % 2 <> 0 else h % 10 <> 0 end as ok from {_ASKED} where source in ('finqa', 'convfinqa', 'tatqa'))"""
+_M = lambda k: f"{text_queries.strip(f'metadata->>{chr(39)}$.{k}{chr(39)}')}"
+ORACLES["task_hints"] = f"select row_id, coalesce(nullif({_M('subject')}, ''), 'N/A') as subject, coalesce(nullif({_M('file_name')}, ''), 'N/A') as task, coalesce(nullif({_M('desc')}, ''), 'N/A') as task_desc from qa_samples"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import numbers as N
 from ..functions import options as O
 from ..functions import text as T
-from ..operators import prompts, repair, reply, sft
+from ..operators import jobs, prompts, repair, reply, sft
 from ..session import table
 from .sqlbits import REPLIES, WS, answer_text, label_text, squash, strip
 
@@ -87,7 +87,7 @@ def sft_messages(spark: SparkSession, d: str) -> DataFrame:
 def prompt_render(spark: SparkSession, d: str) -> DataFrame:
     q = _qa(spark, d)
     name = prompts.route(prompts.RULES, {"source": F.col("source"), "task_type": F.col("task_type")}, "instruction")
-    slots = prompts.limited({"question": (F.col("question"), 400), "context": (F.col("context"), 500), "options": (O.relabelled(F.col("options")), 300), "history": (F.lit(""), 100)})
+    slots = jobs.slots(q)
     df = prompts.render_routed(q.withColumn("template", name), "template", prompts.TEMPLATES, slots)
     return df.select("row_id", "template", F.md5("prompt").alias("prompt_md5"), F.length("prompt").alias("characters"))
 
@@ -149,12 +149,14 @@ _NUMS = r"""list_transform(regexp_extract_all(coalesce(context, ''), '(\(?[-+]?\
   struct_pack(neg := t like '(%)', pct := ends_with(translate(t, '()', ''), '%'), v := cast(translate(t, '()$,%', '') as double)))"""
 _VALS = f"flatten(list_transform({_NUMS}, lambda s: case when s.neg and s.pct then [-abs(s.v), -abs(s.v / 100.0e0)] when s.neg then [-abs(s.v)] when s.pct then [s.v, s.v / 100.0e0] else [s.v] end))"
 _FILL = {
-    "question": f"coalesce(nullif({_clip('question', 400)}, ''), 'N/A')", "context": f"coalesce(nullif({_clip('context', 500)}, ''), 'N/A')",
-    "options": f"coalesce(nullif({_clip('opts', 300)}, ''), 'N/A')", "history": "'N/A'",
+    "question": f"coalesce(nullif({_clip('question', 4000)}, ''), 'N/A')", "context": f"coalesce(nullif({_clip('context', 24000)}, ''), 'N/A')",
+    "options": f"coalesce(nullif({_clip('opts', 4000)}, ''), 'N/A')", "history": "'N/A'",
+    **{k: f"coalesce(nullif({_clip(c, 4000)}, ''), 'N/A')" for k, c in (("reference", "reference_answer"), ("answer", "model_answer"), ("reasoning", "model_reasoning"))},
 }
 
 
-def _rendered(template: str) -> str:
+def rendered(template: str) -> str:
+    """SQL that fills a template from qa_samples with opts, the option text of SOURCE_ROWS."""
     out = []
     for is_slot, s in prompts.pieces(template):
         out.append(_FILL[s] if is_slot else "'" + s.replace("'", "''").replace("\n", "' || chr(10) || '") + "'")
@@ -162,7 +164,9 @@ def _rendered(template: str) -> str:
 
 
 _TEMPLATE = f"case when lower({strip('source')}) = 'convfinqa' then 'dialogue' when lower({strip('task_type')}) = 'mcq' then 'mcq' when lower({strip('task_type')}) = 'sentiment' then 'sentiment' when lower({strip('task_type')}) = 'reasoning' then 'reasoning' else 'instruction' end"
-_PROMPT = "case template " + " ".join(f"when '{k}' then {_rendered(v)}" for k, v in prompts.TEMPLATES.items()) + " end"
+#: qa_samples with the option text and template name of each row.
+SOURCE_ROWS = f"(select *, {_OPT} as opts, {_TEMPLATE} as template from qa_samples)"
+PROMPT = "case template " + " ".join(f"when '{k}' then {rendered(v)}" for k, v in prompts.TEMPLATES.items()) + " end"
 
 ORACLES = {
     "normalise_text": f"select row_id, md5({answer_text('context')}) as context_md5, {label_text('question')} as question from qa_samples",
@@ -190,7 +194,7 @@ ORACLES = {
           lambda x: x is not null), chr(10)) as line from qa_samples where source = 'convfinqa' and origin_key is not null)""",
     "sft_messages": f"""select row_id, 'system,user,assistant' as roles, md5({_USER}) as user_md5, md5(concat('<reasoning>', chr(10), {strip('model_reasoning')}, chr(10), '</reasoning>', chr(10), '<final_answer>', chr(10),
         {strip('model_answer')}, chr(10), '</final_answer>')) as assistant_md5 from (select *, {_OPT} as opts from qa_samples where model_answer is not null and model_reasoning is not null)""",
-    "prompt_render": f"select row_id, template, md5(p) as prompt_md5, length(p)::int as characters from (select row_id, template, {_PROMPT} as p from (select *, {_OPT} as opts, {_TEMPLATE} as template from qa_samples))",
+    "prompt_render": f"select row_id, template, md5(p) as prompt_md5, length(p)::int as characters from (select row_id, template, {PROMPT} as p from {SOURCE_ROWS})",
     "reply_extract": f"""with r as ({REPLIES}) select row_id, case row_id % 5 when 0 then 'xml_tags' when 2 then 'final_answer_marker' when 3 then 'last_line_fallback' else 'json' end as method,
         cast(row_id * 2 as varchar) as answer, concat('step ', cast(row_id as varchar)) as reasoning from r""",
     "reply_parse": f"""with r as ({REPLIES}) select row_id, 'success' as status, cast(row_id * 2 as varchar) as answer from r""",
