@@ -1,13 +1,16 @@
 """Operators of the llm subpackage on small fixtures, against brute force and planted cases."""
 
+import glob
+import os
 import random
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from qaforge.llm import bags, langid, leakage, mixing, pairs, truncation
+from qaforge.llm import bags, catalog, langid, leakage, mixing, pairs, truncation
 
 QA = "id string, source string, question string, model_reasoning string, model_answer string, extra int"
 
@@ -277,8 +280,37 @@ def test_sentences_beside_tables(spark):
     assert {tuple(r) for r in got} == {(900, "de"), (901, "en"), (902, "zh")}
 
 
-def test_queries_run(spark, small):
-    from qaforge.llm import catalog
-
-    for name in ("p2_report", "p4_report", "p6_report", "p7_report", "p8_labels"):
-        assert catalog.QUERIES[name](spark, small).count() > 0
+@pytest.fixture(scope="module")
+def sql(small):
+    con = duckdb.connect()
+    con.execute("set timezone='UTC'")
+    for f in glob.glob(f"{small}/*.parquet"):
+        con.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
+def test_queries_against_sql(spark, small, sql, name):
+    df = catalog.QUERIES[name](spark, small)
+    cols = sorted(df.columns)
+    cur = sql.execute(catalog.ORACLES[name])
+    at = [[c[0] for c in cur.description].index(c) for c in cols]
+    assert len(at) == len(cur.description) == len(cols)
+    assert sorted(map(tuple, df.select(cols).collect()), key=repr) == sorted((tuple(r[i] for i in at) for r in cur.fetchall()), key=repr)
+
+
+def test_reports_agree_with_what_they_report(spark, small):
+    run = lambda name: catalog.QUERIES[name](spark, small)
+    cut = run("p2_found").toPandas()
+    rep = run("p2_report").toPandas()
+    assert rep.cut_records.sum() == cut.id.nunique() and (rep.cut_share == rep.cut_records / rep.records).all() and rep.source.is_unique
+    found = run("p4_found").toPandas()
+    assert found.id.is_unique and found.defect.value_counts().to_dict() == {r["defect"]: r["records"] for r in run("p4_report").collect()}
+    assert set(found[found.defect == "truncated_answer"].id) <= set(cut[cut.field_name == "model_answer"].id)
+    leaks = run("p6_found").toPandas()
+    assert leaks.groupby("item_id").doc_id.nunique().to_dict() == {r["item_id"]: r["documents"] for r in run("p6_report").collect()}
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id").toPandas()
+    labels = run("p8_labels").toPandas()
+    assert labels.doc_id.is_unique and set(labels.doc_id) <= set(docs.doc_id) and labels.confidence.between(0, 1).all() and set(labels.language) <= set(langid.LANGUAGES)
+    pairs_found, drawn = run("p8_found").toPandas(), run("p7_mix").toPandas()
+    assert not pairs_found.duplicated().any() and not drawn.duplicated(["mix_id", "source", "doc_id"]).any() and (drawn.repeats > 0).all()
