@@ -36,12 +36,26 @@ def sign_error(pred: Column, gold: Column) -> Column:
 
 
 def mismatch(pred: Column, gold: Column) -> Column:
-    """First that applies: match, abstain_error, rounding_or_format, sign_error, calculation_error, text_mismatch (C4)."""
-    return T.let(
+    """First that applies: match, abstain_error, rounding_or_format, sign_error, calculation_error, text_mismatch (C4).
+
+    Two plain numbers are compared as such; candidate lists are made for other answers only.
+    """
+    bare = lambda c: T.drop_chars(T.strip(c), "$,")
+    plain = lambda c: F.regexp_extract(bare(c), r"^([-+]?[0-9]+(?:\.[0-9]+)?)$", 1)
+    as_numbers = lambda s: F.when(
+        (s["p"] != "") & (s["g"] != ""),
+        T.let(
+            T.record(x=s["p"].try_cast("double"), y=s["g"].try_cast("double")),
+            lambda v: F.when(N.is_close(v["x"], v["y"], 1e-4, 1e-4), "match").when(N.is_close(v["x"], v["y"], 0.01, 0.5), "rounding_or_format")
+            .when((v["x"] * v["y"] < 0) & N.is_close(F.abs(v["x"]), F.abs(v["y"]), 0.01, 0.5), "sign_error").otherwise("calculation_error"),
+        ),
+    )
+    listed = T.let(
         _sides(pred, gold),
         lambda s: F.when(_matches(s), "match").when(T.contains_any(s["p"], T.ABSTAIN_NUMERIC), "abstain_error").when(N.any_close(s["pa"], s["ga"], 0.01, 0.5), "rounding_or_format")
         .when(N.flipped(s["pa"], s["ga"]), "sign_error").when((F.size(s["pa"]) > 0) & (F.size(s["ga"]) > 0), "calculation_error").otherwise("text_mismatch"),
     )
+    return F.coalesce(T.let(T.record(p=plain(pred), g=plain(gold)), as_numbers), listed)
 
 
 def turn_answer(answer: Column) -> Column:

@@ -33,8 +33,16 @@ def fixed_sample(df: DataFrame, size: int, key: str = "id", seed: int = 42, mode
         at = sorted(random.Random(seed).sample(range(n), size))
         want = df.sparkSession.createDataFrame([(i,) for i in at], "position bigint")
         return slice_rows(df, order).join(want, "position")
-    picked = df.withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))).orderBy("_h", key).limit(size).drop("_h")
-    return picked.withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1)  # size rows
+    h = df.withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))))
+    # rows of hash ranges that fit whole are taken; only the range in which the sample ends is ordered row by row
+    h = h.withColumn("_bin", F.substring("_h", 1, 3))
+    sums = h.groupBy("_bin").agg(F.count("*").alias("_n")).withColumn("_upto", F.sum("_n").over(Window.orderBy("_bin")))  # at most 4,096 ranges
+    ends = F.broadcast(sums.where(F.col("_upto") - F.col("_n") < size).select("_bin", F.least(F.col("_n"), F.lit(size) - (F.col("_upto") - F.col("_n"))).alias("_take"), (F.col("_upto") <= size).alias("_whole")))
+    j = h.join(ends, "_bin")
+    cut = j.where("not _whole").withColumn("_at", F.row_number().over(Window.partitionBy("_bin").orderBy("_h", key))).where("_at <= _take").drop("_at")
+    from .merge import slice_rows
+
+    return slice_rows(j.where("_whole").unionByName(cut).select(*df.columns), order).withColumn("position", F.col("position").cast("int"))
 
 
 def weighted_choice(u: Column, items: list[tuple[str, float]]) -> Column:
@@ -106,11 +114,11 @@ def quotas(sizes: dict[tuple[str, str], tuple[float, int]], domain_weights: dict
     return out
 
 
-def numbered(refs: DataFrame, by: str = "source", order: list[str] | None = None, parts: int = 4096) -> DataFrame:
-    """refs with row_index, the position from 0 within its group in an order fixed by a hash, found without sorting a whole
-    group in one task."""
-    order = order or ["sample_id", "line_number"]
-    r = refs.withColumn("_h", F.xxhash64(*order)).withColumn("_p", F.pmod(F.shiftright("_h", 20), F.lit(parts)).cast("int"))
+def numbered(refs: DataFrame, by: str = "source", order: list[str] | None = None, digits: int = 3) -> DataFrame:
+    """refs with row_index, the position from 0 within its group in the order of the md5 of some columns, found without sorting a
+    whole group in one task: only rows that agree in so many leading digits are ranked together."""
+    order = order or ["sample_id", "line_number", "dataset_path"]
+    r = refs.withColumn("_h", F.md5(F.concat_ws(":", *(F.col(c).cast("string") for c in order)))).withColumn("_p", F.substring("_h", 1, digits))
     c = r.groupBy(by, "_p").agg(F.count("*").alias("_n"))
     c = c.select(by, "_p", (F.sum("_n").over(Window.partitionBy(by).orderBy("_p")) - F.col("_n")).alias("_before"))
     at = F.col("_before") + F.row_number().over(Window.partitionBy(by, "_p").orderBy("_h", *order)) - 1

@@ -20,20 +20,20 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 def json_issues(line: Column, fields: list[str], strings: tuple[str, ...] = STRINGS) -> Column:
     """Sorted list of what is wrong with a sample's JSON text (P10): field_set_mismatch or field_order_mismatch,
     {field}_not_string, options_not_list, metadata_not_dict; not_json for a line that is no object."""
-    v = F.try_parse_json(line)
-    keys = F.json_object_keys(line)
-    kind = lambda f: F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant"))
     want = F.array(*map(F.lit, fields))
-    shape = F.when(F.array_sort(keys) != F.array_sort(want), "field_set_mismatch").when(keys != want, "field_order_mismatch")
-    found = [shape]
-    for f in fields:
-        if f in strings:
-            found.append(F.when(F.coalesce(kind(f) != "STRING", F.lit(True)), f"{f}_not_string"))
-    if "options" in fields:
-        found.append(F.when(~F.coalesce(F.startswith(kind("options"), F.lit("ARRAY")), F.lit(False)), "options_not_list"))
-    if "metadata" in fields:
-        found.append(F.when(~F.coalesce(F.startswith(kind("metadata"), F.lit("OBJECT")), F.lit(False)), "metadata_not_dict"))
-    return F.when(keys.isNull(), F.array(F.lit("not_json"))).otherwise(F.array_sort(F.array_compact(F.array(*found))))
+
+    def found(s: Column) -> Column:
+        keys, of = s["keys"], s["fields"]
+        kind = lambda f: F.schema_of_variant(F.try_element_at(of, F.lit(f)))
+        out = [F.when(F.array_sort(keys) != F.array_sort(want), "field_set_mismatch").when(keys != want, "field_order_mismatch")]
+        out += [F.when(F.coalesce(kind(f) != "STRING", F.lit(True)), f"{f}_not_string") for f in fields if f in strings]
+        for f, shape, issue in (("options", "ARRAY", "options_not_list"), ("metadata", "OBJECT", "metadata_not_dict")):
+            if f in fields:
+                out.append(F.when(~F.coalesce(F.startswith(kind(f), F.lit(shape)), F.lit(False)), issue))
+        return F.when(keys.isNull(), F.array(F.lit("not_json"))).otherwise(F.array_sort(F.array_compact(F.array(*out))))
+
+    # the text is parsed once for its keys in order and once for all values
+    return T.let(T.record(keys=F.json_object_keys(line), fields=F.try_variant_get(F.try_parse_json(line), "$", "map<string,variant>")), found)
 
 
 def validate(lines: DataFrame, fields: list[str], line: str = "value") -> DataFrame:

@@ -120,7 +120,7 @@ def exam_judge(spark: SparkSession, d: str) -> DataFrame:
 
 
 def exam_letters(spark: SparkSession, d: str) -> DataFrame:
-    q = _qa(spark, d).where("source = 'financeiq' and regexp_like(coalesce(model_answer, ''), '^(选择 |选项|[(])?[A-D][.)]?$')")
+    q = _qa(spark, d).where("source = 'financeiq'")
     return q.select("row_id", O.exam_letter(F.col("model_answer"), O.option_letters(F.col("options"))).alias("letter"))
 
 
@@ -252,8 +252,6 @@ ORACLES = {
         case kind when 0 then json_extract_string(metadata, '$.raw_sample.qa.program_re') when 1 then 'add(3, 4)' when 2 then 'exp(2, 3)' else '' end as program from ({GOLD})""",
     "choice_index": f"select p_partkey, selects::int as chosen, (ascii(reference_answer) - 65)::int as right from ({MCQ})",
     "rule_mcq": f"""select p_partkey, (selects = ascii(reference_answer) - 65)::int as score, case when selects is null then 'rule_mcq_unresolved' else 'rule_mcq' end as method from ({MCQ})""",
-    "exam_letters": "select row_id, regexp_extract(model_answer, '([A-D])', 1) as letter from qa_samples where source = 'financeiq' and regexp_matches(coalesce(model_answer, ''), '^(选择 |选项)?[A-D]$') union all "
-    "select row_id, '' from qa_samples where false",
     "yesno_judge": f"""select row_id, case when asks and x <> '' and y <> '' then (x = y)::int when item and a <> '' and r <> '' then (a = r)::int end::int as score, x as said from (
         select row_id, {_YN('model_answer')} as x, {_YN('reference_answer')} as y, {answer_text('model_answer')} as a, {answer_text('reference_answer')} as r,
           {_YN('reference_answer')} <> '' or regexp_matches({answer_text('question')}, '^(?:is|are|do|does|did|can|should|will|was|were|could) ') as asks,
@@ -274,11 +272,48 @@ ORACLES = {
           regexp_matches(lower(coalesce(question, '')), 'true or false|yes or no|是否|判断') or {_BOOL('reference_answer')} <> '' as judged from qa_samples where source <> 'financeiq' and model_answer is not null)) group by all""",
     "topk_subjects": f"select value, n from (select coalesce(nullif({strip(chr(109) + 'etadata->>' + chr(39) + '$.file_name' + chr(39))}, ''), 'unknown') as value, count(*) as n from qa_samples group by all) order by n desc, value limit 10",
 }
-ORACLES["exam_letters"] = (
-    "select row_id, case when regexp_matches(model_answer, '^(选择 |选项)?[A-D]$') then regexp_extract(model_answer, '([A-D])', 1) else '' end as letter from qa_samples "
-    "where source = 'financeiq' and regexp_matches(coalesce(model_answer, ''), '^(选择 |选项|[(])?[A-D][.)]?$')"
-)
-
+_EXAM = lambda x: f"regexp_replace(translate({strip(x)}, '　（）：，。', ' ():,.'), '{WS}+', '', 'g')"
+_BARE = lambda x: f"regexp_replace({x}, '^[A-Da-d][.):：、 \t\n\r\f\x0B]*', '')"
+_OPTS = f"""list_transform(list_filter(coalesce(options, []), lambda o: regexp_matches({strip('o')}, '(?i)^[A-D][.):：、 \t\n\r\f\x0B]')),
+    lambda o: struct_pack(k := upper(substr({strip('o')}, 1, 1)), v := {_BARE(_EXAM(f"regexp_replace({strip('o')}, '^[A-Da-d][.):：、 {chr(92)}t{chr(92)}n{chr(92)}r{chr(92)}f{chr(92)}x0B]+', '')"))}))"""
+
+
+def _letter(x: str) -> str:
+    t = f"upper({_EXAM(x)})"
+    lead, plain = f"regexp_extract({t}, '^(?:答案|选项|故选|应选|选择|最终答案)[是为: ]*([A-D])', 1)", f"regexp_extract({t}, '^(?:选|选项)?([A-D])(?:选项)?$', 1)"
+    only = lambda test: f"case when len(list_filter(entries, lambda e: {test})) = 1 then list_filter(entries, lambda e: {test})[1].k end"
+    norm = _BARE(_EXAM(x))
+    held = f"e.v <> '' and contains({norm}, e.v)"
+    return f"case when {t} = '' then '' when {lead} <> '' then {lead} when {plain} <> '' then {plain} else coalesce({only(f'e.v = {norm}')}, {only(held)}, '') end"
+
+
+def _said(x: str) -> str:
+    quoted = lambda words: ", ".join(f"'{w}'" for w in words)
+    t = _EXAM(x)
+    return f"case when {t} in ({quoted(O.EXAM_TRUE)}) or regexp_matches({t}, '^(?:判断|答案)为正确') then 'true' when {t} in ({quoted(O.EXAM_FALSE)}) or regexp_matches({t}, '^(?:判断|答案)为错误') then 'false' else '' end"
+
+
+_ANY = lambda x, words: "(" + " or ".join(f"contains({x}, '{w}')" for w in words) + ")"
+_EXAM_ROWS = f"(select *, {_OPTS} as entries from qa_samples where source = 'financeiq')"
+ORACLES["exam_letters"] = f"select row_id, {_letter('model_answer')} as letter from {_EXAM_ROWS}"
+ORACLES["exam_judge"] = f"""
+  with f as (select {_letter('model_answer')} as a, {_letter('reference_answer')} as r, {_said('model_answer')} as x, {_said('reference_answer')} as y, {strip('model_answer')} = '' as empty, {strip('reference_answer')} = '' as none,
+      {_ANY(_EXAM('model_answer'), T.ABSTAIN_EXAM)} or {_ANY(strip('model_answer'), T.ABSTAIN_EXAM)} as shy from {_EXAM_ROWS} where model_answer is not null),
+  s as (select *, case when none then null when empty or shy then 0 when r <> '' then case when a <> '' then (a = r)::int end when y <> '' then case when x <> '' then (x = y)::int end end::int as score from f)
+  select score, case when score is null then null when score = 1 then 'none' when empty then 'format_error' when shy then 'abstain_error' when r <> '' then 'option_error' else 'judgment_error' end as mismatch_type, count(*) as n from s group by all"""
+_OPTION = lambda o: strip(f"regexp_replace({strip(o)}, '(?i)^[A-G][ {chr(92)}t{chr(92)}n{chr(92)}r{chr(92)}f{chr(92)}x0B]*[.)．、:：-]?[ {chr(92)}t{chr(92)}n{chr(92)}r{chr(92)}f{chr(92)}x0B]*', '')")
+_ST = strip("model_answer")
+_CHOSE = lambda words: f"list_last(regexp_extract_all(coalesce(model_reasoning, ''), '(?i)(?:{words})[ {chr(92)}t{chr(92)}n{chr(92)}r{chr(92)}f{chr(92)}x0B]*[:：]?[ {chr(92)}t{chr(92)}n{chr(92)}r{chr(92)}f{chr(92)}x0B]*([A-D])(?:$|[^{chr(92)}p{{L}}{chr(92)}p{{N}}_])', 1))"
+_WHY_OPTS = "list_filter(list_transform(bare, lambda o, i: case when length(o) >= 2 and contains(coalesce(model_reasoning, ''), o) then chr((64 + i)::int) end), lambda x: x is not null)"
+ORACLES["exam_badcases"] = f"""
+  with o as (select *, list_transform(coalesce(options, []), lambda o: {strip('o')}) as plain, list_transform(coalesce(options, []), lambda o: {_OPTION('o')}) as bare, {_ST} as t from qa_samples where source = 'financeiq'),
+  f as (select *, upper(t) in ('A', 'B', 'C', 'D') as exact, upper(regexp_extract(t, '(?s)^([A-Da-d])[ \t\n\r\f\x0B]*[.)．、:：-]?[ \t\n\r\f\x0B]*.+$', 1)) as lead, greatest(coalesce(list_position(plain, t), 0), coalesce(list_position(bare, t), 0)) as place,
+      coalesce({', '.join(_CHOSE(w) for w in O.REASONED_LEADS)}) as said, {_WHY_OPTS} as held from o),
+  g as (select *, case when exact then upper(t) when lead <> '' then lead when place > 0 then chr((64 + place)::int) else '' end as letter, case when said is not null then upper(said) when len(held) = 1 then held[1] else '' end as why from f),
+  c as (select case when model_answer is null then 'parse_error' when {_ANY('lower(t)', T.ABSTAIN_EXAM_ANALYSIS)} then 'abstain_error' when letter = '' and t <> '' then 'answer_text_mismatch' when letter = '' then 'unknown'
+      when letter = upper({strip('reference_answer')}) and not exact then 'option_format_error' when why <> '' and why <> letter then 'reasoning_answer_inconsistent'
+      when letter <> upper({strip('reference_answer')}) and exact then 'wrong_option_selection' when letter <> upper({strip('reference_answer')}) then 'answer_text_mismatch' end as category from g)
+  select category, count(*) as n, count(*)::double / (select count(*) from c) as rate from c where category is not null group by category"""
 _TURN_LEN = f"(coalesce({close('x', 'y', '0.01e0', '0.005e0')}, false) or coalesce(kind = 4 and ({close('x', 'y', '0.01e0', '0.5e0')} or {close('x / 100.0e0', 'y', '0.01e0', '0.5e0')}), false))"
 ORACLES["multi_turn_match"] = (
     _NP
@@ -330,3 +365,21 @@ ORACLES["instruction_judge"] = f"""
   select task, score::int as score, case when score is null then null when score = 1 then 'none' when none then 'incompleteness' when t = 'FINFE' then 'sentiment_error' when t = 'FINNL' then 'category_error'
       when sa or sr then 'abstain_error' when t = 'FINRE' then 'relation_error' when t = 'FINCQA' then 'event_error' when t in ('FINQA', 'FINESE') then 'entity_error' else 'label_error' end as mismatch_type, count(*) as n
   from k group by all"""
+
+#: All rows with an answer and the verdict of the rules of their kind of data (rule_score).
+RULED = f"""
+  (select * exclude (e, s0, s1, s2, y, i), case lower({strip('task_type')}) when 'mcq' then e when 'sentiment' then s0 when 'instruction' then case when source like '%alpaca%' then y else i end end as rule_score from (
+    select *,
+      case when er0 = '' then null when ea0 = '' or eshy then 0 when er <> '' then case when ea <> '' then (ea = er)::int end when ey <> '' then case when ex <> '' then (ex = ey)::int end end::int as e,
+      case when {strip('model_answer')} = '' or {_ABS_S} then 0 when la <> '' and lr <> '' then (la = lr)::int end::int as s0, null as s1, null as s2,
+      case when asks and yx <> '' and yy <> '' then (yx = yy)::int when item and ya <> '' and yr <> '' then (ya = yr)::int end::int as y,
+      case when tk = 'FINNA' or regexp_matches(coalesce(question, ''), '生成标题|摘要|简述|总结') or length(er0) > 64 then null when ea0 = '' or er0 = '' then 0
+        when tk = 'FINFE' then (({_held('ia', O.SENTIMENT_ZH)}) = ({_held('ir', O.SENTIMENT_ZH)}))::int when tk = 'FINNL' then (({_held('ia', [(c, c) for c in O.CATEGORIES_ZH])}) = ({_held('ir', [(c, c) for c in O.CATEGORIES_ZH])}))::int
+        when {_SHY('ia')} or {_SHY('ir')} then ({_SHY('ia')} and {_SHY('ir')})::int else (ia <> '' and ir <> '' and (contains(ia, ir) or contains(ir, ia)))::int end::int as i
+    from (select *, {strip('model_answer')} as ea0, {strip('reference_answer')} as er0, {_letter('model_answer')} as ea, {_letter('reference_answer')} as er, {_said('model_answer')} as ex, {_said('reference_answer')} as ey,
+        {_ANY(_EXAM('model_answer'), T.ABSTAIN_EXAM)} or {_ANY(strip('model_answer'), T.ABSTAIN_EXAM)} as eshy, {_LABEL('model_answer')} as la, {_LABEL('reference_answer')} as lr,
+        {_YN('model_answer')} as yx, {_YN('reference_answer')} as yy, {answer_text('model_answer')} as ya, {answer_text('reference_answer')} as yr,
+        {_YN('reference_answer')} <> '' or regexp_matches({answer_text('question')}, '^(?:is|are|do|does|did|can|should|will|was|were|could) ') as asks,
+        contains({answer_text('question')}, 'multiple choice') or regexp_matches(lower(coalesce(reference_answer, '')), '(?m)^a\\.') as item,
+        {_span('model_answer')} as ia, {_span('reference_answer')} as ir, coalesce(metadata->>'$.file_name', '') as tk
+      from (select *, {_OPTS} as entries from qa_samples where model_answer is not null))))"""

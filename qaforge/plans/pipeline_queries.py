@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import filtering, jobs, judges, manifest, merge, provider, reply, splits
 from ..session import table
 from . import text_queries
+from .answer_queries import RULED
 from .sqlbits import canonical
 
 #: Weights of domains and of sources within them, as a user would configure them.
@@ -259,3 +260,14 @@ ORACLES["benchmark_run"] = f"""
   from (select row_id, h, case when row_id % 5 = 0 then h % 2 <> 0 else h % 10 <> 0 end as ok from {_ASKED} where source in ('finqa', 'convfinqa', 'tatqa'))"""
 _M = lambda k: f"{text_queries.strip(f'metadata->>{chr(39)}$.{k}{chr(39)}')}"
 ORACLES["task_hints"] = f"select row_id, coalesce(nullif({_M('subject')}, ''), 'N/A') as subject, coalesce(nullif({_M('file_name')}, ''), 'N/A') as task, coalesce(nullif({_M('desc')}, ''), 'N/A') as task_desc from qa_samples"
+ORACLES["rule_first_counts"] = f"select source, case when rule_score is null then 'open' else 'rule' end as mode, rule_score as score, count(*) as n from {RULED} group by all"
+ORACLES["answer_scores"] = f"""
+  with b as (select r.source, r.rule_score, h, h % 10 <> 0 and h % 7 <> 0 as ok from {RULED} r join {_hashed('answer')} a on r.row_id = a.row_id)
+  select source, case when rule_score is not null then 'rule' when ok then 'llm' else 'failed' end as mode,
+    case when rule_score = 1 or rule_score is null and ok and h % 2 = 1 then 'keep' else 'drop' end as bucket, count(*) as n from b group by all"""
+ORACLES["manifest_rows"] = f"""
+  with q as (select *, sum(draws) over (order by task_domain, source) - draws as first from ({ORACLES['quota_draws']})),
+  k as (select *, unnest(range(draws)) as k from q),
+  p as (select *, floor(cast('0x' || substr(md5(concat('42:', source, ':', k)), 1, 8) as bigint) / 4294967296.0::double * train_size)::bigint as row_index from k),
+  r as (select source, sample_id, dataset_path, line_number, row_number() over (partition by source order by md5(concat_ws(':', sample_id, cast(line_number as varchar), dataset_path)), sample_id, line_number, dataset_path) - 1 as row_index from sample_refs)
+  select (first + k)::bigint as manifest_index, p.source, task_domain, 'train' as split, sample_id, dataset_path, line_number, k + 1 as draw_index_within_dataset from p join r on p.source = r.source and p.row_index = r.row_index"""

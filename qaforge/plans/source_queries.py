@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values
-from ..operators import splits
 from ..session import shared_dir, table
 from ..sources import adapters, readers, sinks
 from ..sources.adapters import Kind
+from . import split_queries
 from .sqlbits import strip
 
 
@@ -37,9 +37,8 @@ def json_lines_by_source(spark: SparkSession, d: str) -> DataFrame:
 def split_files(spark: SparkSession, d: str) -> DataFrame:
     """Split, write a folder per source and split, and count what stands in each."""
     to = _folder(spark)
-    q = splits.split_dataset(_qa(spark, d).withColumn("id", F.col("row_id").cast("string")))
-    n = sinks.write_json_lines(q.select("source", "split", "id"), to, ["source", "split"])
-    back = readers.json_lines(spark, f"{to}/*/*", "id string").withColumn("split", F.regexp_replace("parent", "^split=", ""))
+    n = sinks.write_json_lines(split_queries.assigned(spark, d).select("source", "split", "row_id"), to, ["source", "split"])
+    back = readers.json_lines(spark, f"{to}/*/*", "row_id bigint").withColumn("split", F.regexp_replace("parent", "^split=", ""))
     return back.groupBy("split").agg(F.count("*").alias("n")).withColumn("written", F.lit(n).cast("bigint"))
 
 
@@ -217,3 +216,4 @@ ORACLES = {
         from qa_samples where source = 'financeiq'""",
     "instruction_adapters": f"select source, {_Q} as question, md5({_C}) as context_md5, md5({_R}) as answer_md5 from qa_samples where source in ('fincuge_instruction', 'finance_alpaca')",
 }
+ORACLES["split_files"] = f"select split, sum(n)::bigint as n, sum(sum(n)) over ()::bigint as written from ({split_queries.ORACLES['split_dataset_counts']}) group by split"

@@ -36,10 +36,14 @@ def preserved_split(spark: SparkSession, d: str) -> DataFrame:
     return splits.preserved(_qa(spark, d).select("row_id", "split")).select("row_id", "raw_split", "split")
 
 
-def split_dataset_counts(spark: SparkSession, d: str) -> DataFrame:
+def assigned(spark: SparkSession, d: str) -> DataFrame:
     named = _qa(spark, d).where(splits.canonical(F.col("split")) != "").select("row_id", "source", "split")
     whole = named.where("source <> 'finqa' or lower(trim(split)) not like 'test%'")  # one source lacks a split and is split anew
-    return splits.split_dataset(whole, key="row_id").groupBy("source", "split").agg(F.count("*").alias("n"))
+    return splits.split_dataset(whole, key="row_id")
+
+
+def split_dataset_counts(spark: SparkSession, d: str) -> DataFrame:
+    return assigned(spark, d).groupBy("source", "split").agg(F.count("*").alias("n"))
 
 
 def global_merge_fields(spark: SparkSession, d: str) -> DataFrame:
