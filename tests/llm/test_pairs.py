@@ -114,8 +114,12 @@ def test_verify_in_many_blocks_and_by_shuffle(spark, monkeypatch):
     rows = corpus()
     df = spark.createDataFrame(rows, SCHEMA)
     monkeypatch.setattr(neardup, "BLOCK_CHARACTERS", 900)
-    monkeypatch.setattr(neardup, "BROADCAST_ROWS", 0)
-    assert {tuple(r) for r in neardup.near_duplicate_pairs(df).collect()} == brute(rows)[0]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {tuple(r) for r in neardup.near_duplicate_pairs(df).collect()} == brute(rows)[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_empty(spark):
