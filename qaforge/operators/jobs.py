@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import compare as C
 from ..functions import options as O
 from ..functions import text as T
-from . import execution, filtering, judges, merge, prompts, provider, repair, reply
+from ..session import materialise
+from ..sources import config, sinks
+from . import execution, filtering, judges, manifest, merge, prompts, provider, repair, reply, splits
 
 #: Characters of question, context, options and history that prompts of models take, and of shorter fields in prompts of judges.
 LIMITS = {"question": 4_000, "context": 24_000, "options": 4_000, "history": 4_000}
@@ -169,3 +171,22 @@ def repaired(df: DataFrame, model: provider.Provider | None, max_repairs: int |
     good = F.col("call.success") & (F.col("parsed.status") == "success")
     read = read.withColumn("repaired_answer", F.when(good, C.turn_answer(F.col("parsed.final_answer")))).withColumn("route", F.when(good, "model").otherwise("queued"))
     return merge.union_all([r.where("route <> 'queued'"), read.drop("call", "parsed", "reply", "prompt")])
+
+
+def split_job(spark: SparkSession, samples: DataFrame, out: str, seed: int = 42, ratios: dict[str, float] | None = None) -> dict:
+    """Split, write JSON lines by source and split, and report rows per source and split."""
+    df = splits.split_dataset(samples, seed=seed, ratios=ratios)
+    sinks.write_json_lines(df, f"{out}/rows", ["source", "split"])
+    report = sinks.figures(df.groupBy("source", "split").agg(F.count("*").alias("rows")), ["source", "split"])
+    sinks.write_report(spark, f"{out}/report.json", report)
+    return report
+
+
+def manifest_job(spark: SparkSession, refs: DataFrame, settings: config.Sampling, out: str, mode: str = "hash") -> dict:
+    """Draw a manifest by the settings, write it in order and report how often rows of each pool were drawn (M7)."""
+    m = materialise(manifest.draw(refs, settings.source_weights, settings.domain_weights, settings.target, settings.max_oversample, settings.seed, mode))
+    n = sinks.write_ordered(m, f"{out}/manifest", ["manifest_index"])
+    pool = manifest.pools(refs, settings.source_weights, settings.max_oversample)
+    report = {"draws": n, "pools": sinks.figures(manifest.oversampling(m, pool), ["task_domain", "source"])}
+    sinks.write_report(spark, f"{out}/report.json", report)
+    return report

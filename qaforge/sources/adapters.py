@@ -7,14 +7,14 @@ metadata); split is empty until ``operators.splits`` assigns it. metadata is JSO
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import merge
-from . import readers
+from . import readers, sinks
 
 
 @dataclass(frozen=True)
@@ -175,6 +175,36 @@ def labelled_lines(spark: SparkSession, path: str, kind: Kind, question: str, op
     return sample(df, kind, F.concat_ws("_", F.lit(kind.source), agreement, F.col("row_index")), F.lit(""), F.lit(question), sentence, F.array(*map(F.lit, options)), label, gold_info(label), agreement_split=agreement, member_name=F.col("member"))
 
 
+def exam_folder(spark: SparkSession, path: str, kind: Kind, columns: list[str]) -> DataFrame:
+    """Exam questions of an unpacked archive (N8): CSV files below path, the split being their folder."""
+    df = readers.csv_files(spark, path, columns)
+    col = lambda c: F.col(c) if c in df.columns else F.lit("")
+    row = T.first_filled(col("id"), F.col("row_index"))
+    return sample(df, kind, F.concat_ws("_", F.lit(kind.source), F.col("parent"), F.col("stem"), row), F.col("parent"), col("question"), F.lit(""), T.lettered_options(*map(col, _LETTERS)), col("answer"), gold_info(col("answer")), file_name=F.col("file_name"))
+
+
+#: Adapters by the name that settings use.
+REGISTRY: dict[str, Callable[..., DataFrame]] = {
+    f.__name__: f for f in (table_text_qa, dialogue_qa, table_paragraph_qa, exam_csv, exam_zip, exam_folder, instruction_parquet, instruction_json, labelled_lines)
+}
+
+
 def normalise(spark: SparkSession, jobs: list[Callable[[SparkSession], DataFrame]]) -> DataFrame:
     """All registered data sets as one table, in any order."""
     return merge.union_all([job(spark) for job in jobs])
+
+
+def job(settings: dict) -> Callable[[SparkSession], DataFrame]:
+    """What a data set's settings ask for: adapter, path, source, task_type, task_domain, language, and the adapter's own options. KeyError
+    for an unknown adapter."""
+    own = dict(settings)
+    adapter, path = REGISTRY[own.pop("adapter")], own.pop("path")
+    kind = Kind(*(own.pop(f.name) for f in fields(Kind)))
+    return lambda spark: adapter(spark, path, kind, **own)
+
+
+def normalise_all(spark: SparkSession, datasets: list[dict], out: str) -> list[dict]:
+    """Write each data set as JSON lines below out under its source, and a report in the order of the settings."""
+    report = [{"source": s["source"], "rows": sinks.write_json_lines(job(s)(spark), f"{out}/{s['source']}")} for s in datasets]
+    sinks.write_report(spark, f"{out}/report.json", report)
+    return report
