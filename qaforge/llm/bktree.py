@@ -80,11 +80,7 @@ class Forest:
             hit = d <= r
             if hit.any():
                 yield q[hit], self.item[v[hit]]
-                if len(self.twin):
-                    lo, hi = np.searchsorted(self.twin_node, v[hit]), np.searchsorted(self.twin_node, v[hit], "right")
-                    who, what = _spread(q[hit], lo, hi)
-                    if len(who):
-                        yield who, self.twin[what]
+                yield from self._twins(q[hit], v[hit])
             lo = np.searchsorted(self.kid_key, v * self.wide + np.maximum(d - r, 1))
             hi = np.searchsorted(self.kid_key, v * self.wide + np.minimum(d + r, self.wide - 1), "right")
             q, at = _spread(q, lo, hi)
@@ -92,6 +88,17 @@ class Forest:
                 stack.append((q, self.kid[at]))
 
 
+    def _twins(self, q: np.ndarray, v: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, item) of the other items of nodes that were hit, in pieces of about FRONT."""
+        lo, hi = np.searchsorted(self.twin_node, v), np.searchsorted(self.twin_node, v, "right")
+        some = np.nonzero(hi > lo)[0]
+        piece = np.cumsum(hi[some] - lo[some]) // FRONT
+        for part in np.split(some, np.nonzero(piece[1:] != piece[:-1])[0] + 1):
+            if len(part):
+                who, what = _spread(q[part], lo[part], hi[part])
+                yield who, self.twin[what]
+
+
 def _spread(q: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each q once for every number from lo up to hi."""
     n = np.maximum(hi - lo, 0)

@@ -5,9 +5,10 @@ Two records belong together when both fields have a likeness (see ``bags.likenes
 1. ``fingerprints``: a pass over the texts gives each row the key of its exact class (equal word bags), odd sketches of
    the first field and of both, the number of words of each and ``BANDS`` banded-minima keys of both fields. Rows of one class are collapsed.
 2. ``link_classes``: a *shard* is the set of classes that share one band key. Each shard has a BK-tree over the sketches of
-   its members (children keyed by the integer Hamming distance to their parent), and every member follows only the edges
-   within its radius. The radius is not a guess: texts of the wanted likeness differ in at most (1 - threshold) * (a + b)
-   words and their sketches in no more bits. Shards above ``BLOCK`` members are cut into blocks, one task per pair of blocks.
+   its members' first field (children keyed by the integer Hamming distance to their parent, equal sketches in one node), and
+   every member follows only the edges within its radius. The radius is not a guess: texts of the wanted likeness differ in
+   at most (1 - threshold) * (a + b) words and their sketches in no more bits. It is small because that field is short; a tree
+   over the long field prunes next to nothing. What a search returns must keep the same bound in the sketch of both fields. Shards above ``BLOCK`` members are cut into blocks, one task per pair of blocks.
 3. ``verify``: exact likeness of both fields of the linked classes, on the texts, each sent once per pair of blocks of links.
 4. ``expand``: links between classes and membership give the pairs of records; ``groups`` gives a row per record instead.
 
@@ -123,12 +124,12 @@ def search(m: Members, shard: np.ndarray, differ: float, tree: np.ndarray, ask:
     """
     t, a = np.nonzero(tree)[0], np.nonzero(ask)[0]
     both, own = slice(LANES[0], None), slice(0, LANES[0])
-    forest = Forest(m.prints[t, both], shard[t])
+    forest = Forest(m.prints[t, own], shard[t])
     nq, nc = m.sizes // _HALF, m.sizes % _HALF
     n = nq + nc
-    radius = np.floor(2 * differ / (1 - differ) * n[a] + 1e-9).astype(np.int64)  # differ * (n + the most words of a partner)
+    radius = np.floor(2 * differ / (1 - differ) * nq[a] + 1e-9).astype(np.int64)  # differ * (n + the most words of a partner)
     out = [np.zeros((0, 2), np.int64)]
-    for i, j in forest.within(m.prints[a, both], shard[a], radius):
+    for i, j in forest.within(m.prints[a, own], shard[a], radius):
         i, j = a[i], t[j]
         ok = m.rep[i] != m.rep[j]
         i, j = i[ok], j[ok]

@@ -127,7 +127,7 @@ def test_empty(spark):
     assert neardup.near_duplicate_pairs(df).count() == 0 and crosssplit.overlap_pairs(df).count() == 0 and crosssplit.overlap_report(df).count() == 0
 
 
-def test_forest():
+def test_forest(monkeypatch):
     rng = np.random.default_rng(5)
     prints = rng.integers(0, 2**63, (400, 2), dtype=np.uint64)
     prints[300:] = prints[:100] ^ (np.uint64(1) << rng.integers(0, 63, (100, 1), dtype=np.uint64))
@@ -139,11 +139,33 @@ def test_forest():
     d = np.bitwise_count(prints[:, None] ^ prints[None]).sum(axis=2, dtype=int)
     assert got == {(q, i) for q in range(400) for i in range(400) if shard[q] == shard[i] and d[q, i] <= radius[q]}
     assert list(Forest(prints[:0], shard[:0]).within(prints, shard, radius)) == []
+    same = np.zeros((900, 1), np.uint64)  # all in one node, given back in pieces
+    monkeypatch.setattr("qaforge.llm.bktree.FRONT", 1000)
+    got = [(q, i) for qs, items in Forest(same, np.zeros(900, int)).within(same, np.zeros(900, int), np.zeros(900, int)) for q, i in zip(qs.tolist(), items.tolist())]
+    assert len(got) == len(set(got)) == 900 * 900
     near = Forest(prints, np.zeros(400, np.int64))
     list(near.within(prints, np.zeros(400, np.int64), np.full(400, 3)))
     assert near.visited < 0.35 * 400 * 400  # a small radius leaves out most of a tree
 
 
+def test_searches_leave_out_most_of_a_large_shard():
+    """Records of one filing: one context, many questions. A search looks at less than half of its shard."""
+    rng = random.Random(14)
+    c = text(rng, 120)
+    q = [text(rng, rng.randrange(8, 16)) for _ in range(300)]
+    q += [edited(rng, t, 1) for t in q[:40]] + q[:60]
+    qk, ck, fq, nq, fc, nc = neardup._features(q, [c + f" v{i}" for i in range(len(q))])
+    own = np.concatenate([np.repeat(np.arange(len(q)), nq), np.repeat(np.arange(len(q)), nc)])
+    f = np.concatenate([fq, fc])[np.argsort(own, kind="stable")]
+    m = neardup.Members(np.zeros(len(q), np.int64), np.arange(len(q)), np.zeros(len(q), np.int8), nq * (1 << 32) + nc, np.hstack([sketches.odd_sketch(fq, nq, 1), sketches.odd_sketch(f, nq + nc, 3)]))
+    every, seen = np.ones(len(q), bool), []
+    got = {tuple(sorted(p)) for p in neardup.search(m, np.zeros(len(q), np.int64), 0.15, every, every, seen).tolist()}
+    bag = [bags.words(t) for t in q]
+    assert {(a, b) for a in range(len(q)) for b in range(a + 1, len(q)) if bags.likeness(bag[a], bag[b]) >= 0.85} <= got
+    visited, asked, nodes = seen[0]
+    assert visited < 0.45 * asked * len(q) and nodes < len(q)
+
+
 def test_odd_sketches_never_break_the_bound():
     rng = np.random.default_rng(7)
     for size in (3, 40, 900):
