@@ -245,7 +245,7 @@ def overlaps(
         .select("cls", "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("train"), F.lit(None).cast("array<bigint>").alias("targets"))
     )
     sent = materialise(to_train.unionByName(to_eval).join(first.drop("sizes"), ["cls", "train"]))
-    rows = neardup.texts_of(src, q, c, row_col).join(sent, "row").select("shard", "salt", "train", "cls", "targets", "q", "c")
+    rows = neardup.texts_of(src, q, c, row_col).join(sent.hint("merge"), "row").select("shard", "salt", "train", "cls", "targets", "q", "c")
     found = rows.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "train").mapInArrow(_search(threshold), _OUT)
     half = F.lit(1 << 32)
     words = F.when(F.pmod("sizes", half) > 0, F.pmod("sizes", half)).otherwise(F.floor(F.col("sizes") / half)).cast("int")

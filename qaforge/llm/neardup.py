@@ -316,11 +316,11 @@ def verify(links: DataFrame, rows: DataFrame, texts: DataFrame, threshold: float
 
     rows: (cls, row), the class of each row; texts: (row, q, c). Classes are spread over blocks of about BLOCK_CHARACTERS;
     links are grouped by the blocks of their two classes and each text goes to a group once, however many links it has there.
-    first is a written table of a known size, so Spark broadcasts it below its own threshold and shuffles above.
+    Texts are shuffled to their classes at every size: nothing that grows with the data is broadcast.
     """
     need = links.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     first = materialise(rows.join(need, "cls", "left_semi").groupBy("cls").agg(F.min("row").alias("row")))
-    t = materialise(texts.join(first, "row").select("cls", "q", "c"))
+    t = materialise(texts.join(first.hint("merge"), "row").select("cls", "q", "c"))
     size = t.agg(F.sum(F.coalesce(F.length("q"), F.lit(0)) + F.coalesce(F.length("c"), F.lit(0))).alias("n")).first()["n"] or 0
     block = lambda c: F.pmod(F.xxhash64(F.lit(5), c), F.lit(1 + 2 * int(size) // BLOCK_CHARACTERS)).cast("int")
     both = links.select(block("a").alias("ga"), block("b").alias("gb"), "a", "b")
