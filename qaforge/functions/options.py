@@ -21,6 +21,12 @@ CATEGORIES_ZH = ("公司", "行业", "大盘", "中国", "国际", "经济", "
 REASONED_LEADS = ("最终答案|final_answer|答案|故选|应选|选择|选|因此选|所以选|综上选", "正确的是|错误的是|不正确的是|不属于的是|最合理的是")
 
 
+# fixed values: forms in which an exam answer names its letter, or that a statement is right or wrong
+EXAM_LEAD = r"^(?:答案|选项|故选|应选|选择|最终答案)[是为: ]*([A-D])"
+EXAM_PLAIN = r"^(?:选|选项)?([A-D])(?:选项)?$"
+EXAM_IS_TRUE, EXAM_IS_FALSE = "^(?:判断|答案)为正确", "^(?:判断|答案)为错误"
+
+
 def _letter_index(letter: Column) -> Column:
     return F.ascii(F.upper(letter)) - 65
 
@@ -86,14 +92,14 @@ def exam_letter(answer: Column, letters: Column) -> Column:
         return F.when(s["t"] == "", "").when(s["lead"] != "", s["lead"]).when(s["plain"] != "", s["plain"]).otherwise(by_text)
 
     def parts(t: Column) -> Column:
-        lead = F.regexp_extract(t, r"^(?:答案|选项|故选|应选|选择|最终答案)[是为: ]*([A-D])", 1)
-        return T.record(t=t, lead=lead, plain=F.regexp_extract(t, r"^(?:选|选项)?([A-D])(?:选项)?$", 1), norm=bare_option(answer))
+        lead = F.regexp_extract(t, EXAM_LEAD, 1)
+        return T.record(t=t, lead=lead, plain=F.regexp_extract(t, EXAM_PLAIN, 1), norm=bare_option(answer))
 
     return T.let(F.upper(T.exam_text(answer)), lambda t: T.let(parts(t), letter))
 
 
 def exam_true_false(c: Column) -> Column:
-    said = lambda t: F.when(t.isin(*EXAM_TRUE) | t.rlike("^(?:判断|答案)为正确"), "true").when(t.isin(*EXAM_FALSE) | t.rlike("^(?:判断|答案)为错误"), "false").otherwise("")
+    said = lambda t: F.when(t.isin(*EXAM_TRUE) | t.rlike(EXAM_IS_TRUE), "true").when(t.isin(*EXAM_FALSE) | t.rlike(EXAM_IS_FALSE), "false").otherwise("")
     return T.let(T.exam_text(c), said)
 
 

@@ -46,8 +46,12 @@ def route(df: DataFrame, max_repairs: int | None = None, order: list[str] | None
     return j.withColumn("route", F.when((F.col("route") == "queued") & F.col("_in").isNull(), "over_limit").otherwise(F.col("route"))).drop("_in")
 
 
-def history(turns: DataFrame, conversation: str, turn: str, question: str, answer: str, q_mark: str = "User: ", a_mark: str = "Assistant: ") -> DataFrame:
-    """turns with history: questions and answers of earlier turns of the conversation, in order."""
+def history(turns: DataFrame, conversation: str, turn: str, question: str, answer: str, q_mark: str = "User: ", a_mark: str = "Assistant: ", most: int | None = None) -> DataFrame:
+    """turns with history: questions and answers of earlier turns of the conversation, in order.
+
+    Of all earlier turns, or of the last so many (most): a conversation of n turns has histories of n * n / 2 lines in all, so
+    for very long ones give a bound, which also bounds what a task holds.
+    """
     line = F.array_join(F.filter(F.array(F.when(T.strip(F.col(question)) != "", F.concat(F.lit(q_mark), T.strip(F.col(question)))), F.when(T.strip(F.col(answer)) != "", F.concat(F.lit(a_mark), T.strip(F.col(answer))))), lambda x: x.isNotNull()), "\n")
-    w = Window.partitionBy(conversation).orderBy(turn).rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(conversation).orderBy(turn).rowsBetween(Window.unboundedPreceding if most is None else -most, -1)
     return turns.withColumn("_line", line).withColumn("history", F.array_join(F.filter(F.collect_list("_line").over(w), lambda x: x != ""), "\n")).drop("_line")

@@ -33,10 +33,13 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder named by spark.checkpoint.dir. Where that is unset, a temporary one in local mode (tests); on a cluster a folder
+    of one machine would be of no use to the others, so that is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="qaforge_"))
     return _own_dir[0]
