@@ -30,6 +30,7 @@ from .bags import chunks as _chunks
 from .bktree import Forest
 
 BLOCK = 8192
+PAIRS = 1 << 20  # pairs held by a search before they are passed on
 THRESHOLD = 0.85
 LANES = (1, 3)  # 64-bit words of the sketch of the first field, and of that of both
 _SKETCH = [f"s{k}" for k in range(sum(LANES))]
@@ -116,8 +117,9 @@ class Members:
         return len(self.key)
 
 
-def search(m: Members, shard: np.ndarray, differ: float, tree: np.ndarray, ask: np.ndarray, seen: list | None = None) -> np.ndarray:
-    """Pairs (a, b) of different classes of a shard (numbers, ascending) whose fields may both be alike; differ = 1 - threshold.
+def search(m: Members, shard: np.ndarray, differ: float, tree: np.ndarray, ask: np.ndarray, cross: bool = False, seen: list | None = None) -> Iterator[np.ndarray]:
+    """Pairs (a, b) of different classes of a shard (numbers, ascending) whose fields may both be alike, in pieces of about PAIRS;
+    differ = 1 - threshold. a < b, or with cross a is the class that was looking.
 
     tree and ask: which rows are held by the trees and which look them up. No pair of the wanted likeness is lost: the sizes
     of its fields and the distances of their sketches are bounded by the words in which the fields may differ.
@@ -128,10 +130,11 @@ def search(m: Members, shard: np.ndarray, differ: float, tree: np.ndarray, ask:
     nq, nc = m.sizes // _HALF, m.sizes % _HALF
     n = nq + nc
     radius = np.floor(2 * differ / (1 - differ) * nq[a] + 1e-9).astype(np.int64)  # differ * (n + the most words of a partner)
-    out = [np.zeros((0, 2), np.int64)]
+    same = not cross and np.array_equal(tree, ask)  # then each pair is found from both sides
+    out, held = [], 0
     for i, j in forest.within(m.prints[a, own], shard[a], radius):
         i, j = a[i], t[j]
-        ok = m.rep[i] != m.rep[j]
+        ok = m.rep[i] < m.rep[j] if same else m.rep[i] != m.rep[j]
         i, j = i[ok], j[ok]
         for size, lanes in ((n, both), (nq, own), (nc, None)):
             most = differ * (size[i] + size[j]) + 1e-9
@@ -139,10 +142,17 @@ def search(m: Members, shard: np.ndarray, differ: float, tree: np.ndarray, ask:
             if lanes:
                 ok &= sketches.distance(m.prints[i, lanes], m.prints[j, lanes]) <= most
             i, j = i[ok], j[ok]
-        out.append(np.stack([m.rep[i], m.rep[j]], 1))
+        if len(i):
+            ab = np.stack([m.rep[i], m.rep[j]], 1)
+            out.append(ab if cross or same else np.sort(ab, axis=1))
+            held += len(i)
+        if held > PAIRS:
+            yield np.unique(np.concatenate(out), axis=0)
+            out, held = [], 0
+    if out:
+        yield np.unique(np.concatenate(out), axis=0)
     if seen is not None:
         seen.append((forest.visited, len(a), len(forest.item)))
-    return np.unique(np.concatenate(out), axis=0)
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("role", pa.int32()), ("sizes", pa.int64()), *((s, pa.int64()) for s in _SKETCH), ("blk", pa.int32())])
@@ -153,11 +163,6 @@ def _table(n: int, **cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in _PAIR], schema=_PAIR)
 
 
-def _oriented(ab: np.ndarray, role_free: bool) -> np.ndarray:
-    """Each pair once, smaller class first, where the sides of a pair play no part."""
-    return np.unique(np.sort(ab, axis=1), axis=0) if role_free and len(ab) else ab
-
-
 def _search_shards(differ: float, block: int, cross: bool, gather: int = 1 << 17):
     """Over rows (key, rep, role, sizes, sketch) sorted by (key, rep): links of shards up to block members; rows of larger
     shards as they are, with the number of their block, and one row (a, b, sizes NULL) per such shard with its number of blocks."""
@@ -184,8 +189,7 @@ def _search_shards(differ: float, block: int, cross: bool, gather: int = 1 << 17
             small = ((size > 1) & (size <= block))[shard]
             s = m.take(small)
             if len(s):
-                ab = _oriented(search(s, shard[small], differ, s.role < 2, s.role != 1), not cross)
-                if len(ab):
+                for ab in search(s, shard[small], differ, s.role < 2, s.role != 1, cross):
                     yield _table(len(ab), a=ab[:, 0].copy(), b=ab[:, 1].copy())
             for i in np.nonzero(size > block)[0]:
                 big = m.take(shard == i)
@@ -230,7 +234,7 @@ def _search_blocks(differ: float, cross: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def work(part: pa.Table) -> pa.RecordBatch:
+        def work(part: pa.Table) -> Iterator[pa.RecordBatch]:
             part = part.combine_chunks().to_batches()[0]
             m = Members.of(part)
             blk, i, j = (part.column(c).to_numpy(zero_copy_only=False) for c in ("blk", "i", "j"))
@@ -238,15 +242,15 @@ def _search_blocks(differ: float, cross: bool):
                 tree, ask = m.role == 1, m.role == 2
             else:
                 tree, ask = blk == i, blk == j
-            ab = _oriented(search(m, np.zeros(len(m), np.int64), differ, tree, ask), not cross)
-            return pa.RecordBatch.from_arrays([pa.array(ab[:, 0].copy()), pa.array(ab[:, 1].copy())], ["a", "b"])
+            for ab in search(m, np.zeros(len(m), np.int64), differ, tree, ask, cross):
+                yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0].copy()), pa.array(ab[:, 1].copy())], ["a", "b"])
 
         def groups(whole: bool) -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(held)
             k = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], 1)
             cut = np.concatenate([[0], np.nonzero((k[1:] != k[:-1]).any(axis=1))[0] + 1, [len(k)]])
             for a, z in zip(cut[:-1], cut[1:] if whole else cut[1:-1]):
-                yield work(t.slice(a, z - a))
+                yield from work(t.slice(a, z - a))
             held[:] = [] if whole else t.slice(cut[-2]).combine_chunks().to_batches()
 
         for batch in batches:
