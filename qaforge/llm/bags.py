@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -114,13 +115,13 @@ def segment_sum(x: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def likeness(a: list, b: list) -> float:
     """2 * common / (a + b) over words with multiplicity; two empty texts 1, an empty and a non-empty one 0."""
-    if not a and not b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    from collections import Counter
-
-    ca, cb = Counter(a), Counter(b)
-    if len(ca) > len(cb):
-        ca, cb = cb, ca
-    return 2 * sum(min(k, cb[w]) for w, k in ca.items() if w in cb) / (len(a) + len(b))
+    return counted_likeness(Counter(a), len(a), Counter(b), len(b))
+
+
+def counted_likeness(a: Counter, na: int, b: Counter, nb: int) -> float:
+    """``likeness`` of bags that are counted already."""
+    if not na or not nb:
+        return float(na == nb)
+    if len(a) > len(b):
+        a, b = b, a
+    return 2 * sum([k if k < b[w] else b[w] for w, k in a.items() if w in b]) / (na + nb)

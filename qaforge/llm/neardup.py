@@ -17,6 +17,8 @@ The only loss is that of the bands: texts of likeness exactly 0.85 share no key
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,7 @@ PAIRS = 1 << 20  # pairs held by a search before they are passed on
 THRESHOLD = 0.85
 LANES = (1, 3)  # 64-bit words of the sketch of the first field, and of that of both
 _SKETCH = [f"s{k}" for k in range(sum(LANES))]
-BLOCK_CHARACTERS = 4_000_000  # texts held by a task that verifies links
+BLOCK_CHARACTERS, BLOCK_LINKS = 4_000_000, 50_000  # texts held, and links verified, by a pair of blocks, about
 _HALF = 1 << 32
 
 
@@ -288,10 +290,11 @@ def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, text, bag = None, {}, {}
 
-        def words(cls: int, k: int) -> list[int]:
+        def words(cls: int, k: int) -> tuple[Counter, int]:
             got = bag.get((cls, k))
             if got is None:
-                got = bag[cls, k] = bags.word_hashes(bags.words(text[cls][k]))
+                ws = bags.words(text[cls][k])
+                got = bag[cls, k] = (Counter(ws), len(ws))
             return got
 
         for batch in batches:
@@ -302,10 +305,10 @@ def _verify(threshold: float):
                 if b is None:
                     text[a] = (q, c)
                     continue
-                x = bags.likeness(words(a, 0), words(b, 0))
+                x = bags.counted_likeness(*words(a, 0), *words(b, 0))
                 if x < threshold:
                     continue
-                y = bags.likeness(words(a, 1), words(b, 1))
+                y = bags.counted_likeness(*words(a, 1), *words(b, 1))
                 if y >= threshold:
                     out.append((a, b, x, y))
             yield pa.RecordBatch.from_arrays(
@@ -318,15 +321,16 @@ def _verify(threshold: float):
 def verify(links: DataFrame, rows: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b, like_q, like_c) of the linked classes whose two fields are both alike.
 
-    rows: (cls, row), the class of each row; texts: (row, q, c). Classes are spread over blocks of about BLOCK_CHARACTERS;
-    links are grouped by the blocks of their two classes and each text goes to a group once, however many links it has there.
+    rows: (cls, row), the class of each row; texts: (row, q, c). Classes are spread over blocks, so many that a pair of
+    them holds about BLOCK_CHARACTERS and, in a large group of copies, BLOCK_LINKS; links are grouped by the blocks of their two classes and each text goes to a group once, however many links it has there.
     Texts are shuffled to their classes at every size: nothing that grows with the data is broadcast.
     """
     need = links.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     first = materialise(rows.join(need, "cls", "left_semi").groupBy("cls").agg(F.min("row").alias("row")))
     t = materialise(texts.join(first.hint("merge"), "row").select("cls", "q", "c"))
     size = t.agg(F.sum(F.coalesce(F.length("q"), F.lit(0)) + F.coalesce(F.length("c"), F.lit(0))).alias("n")).first()["n"] or 0
-    block = lambda c: F.pmod(F.xxhash64(F.lit(5), c), F.lit(1 + 2 * int(size) // BLOCK_CHARACTERS)).cast("int")
+    blocks = max(1 + 2 * int(size) // BLOCK_CHARACTERS, math.isqrt(links.count() // BLOCK_LINKS) + 1)
+    block = lambda c: F.pmod(F.xxhash64(F.lit(5), c), F.lit(blocks)).cast("int")
     both = links.select(block("a").alias("ga"), block("b").alias("gb"), "a", "b")
     sent = both.select("ga", "gb", F.explode(F.array("a", "b")).alias("cls")).distinct().join(t, "cls").select("ga", "gb", F.col("cls").alias("a"), F.lit(None).cast("bigint").alias("b"), "q", "c")
     every = sent.unionByName(both.withColumn("q", F.lit(None).cast("string")).withColumn("c", F.lit(None).cast("string")))
